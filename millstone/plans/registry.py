@@ -91,6 +91,25 @@ PLANS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "pf_alert": B.pf_alert,
     "plant_health": B.plant_health,
     "dash_downtime_long": B.dash_downtime_long,
+    # profiling / data quality
+    "profile_by_version": V.profile_by_version,
+    "profile_payload_keys": V.profile_payload_keys,
+    "json_key_count": V.json_key_count,
+    "profile_state_codes": V.profile_state_codes,
+    "profile_quality": V.profile_quality,
+    "duplicate_keys": V.duplicate_keys,
+    "assert_unique_event_id": V.assert_unique_event_id,
+    "counter_resets": V.counter_resets,
+    "profile_hierarchy": V.profile_hierarchy,
+    "quarantine_breakdown": V.quarantine_breakdown,
+    "power_row_audit": V.power_row_audit,
+    "peak_hour_audit": V.peak_hour_audit,
+    "energy_counter_range": V.energy_counter_range,
+    "row_count_audit": V.row_count_audit,
+    "kw_by_weekday": V.kw_by_weekday,
+    "coverage_gaps": V.coverage_gaps,
+    "meter_reconciliation": V.meter_reconciliation,
+    "vibration_route": V.vibration_route,
 }
 
 
