@@ -33,3 +33,16 @@ def with_previous(df: DataFrame, key: str, ts: str, cols: list[str], prefix: str
     out = j.select("*", *[F.when(F.col("_rn") == 1, F.col(f"_edge.{c}")).otherwise(F.col(f"_in_{c}"))
                           .alias(f"{prefix}{c}") for c in fields])
     return out.drop("_bucket", "_rn", "_rn_desc", "_edge", *[f"_in_{c}" for c in fields])
+
+
+def running_max(df: DataFrame, key: str, ts: str, col: str, out: str) -> DataFrame:
+    """``max(col) OVER (PARTITION BY key ORDER BY ts ROWS UNBOUNDED
+    PRECEDING)`` computed per (key, hour bucket) plus a carry from earlier
+    buckets (small per-bucket edge table), so no task holds a whole key."""
+    w = Window.partitionBy(key, "_bucket").orderBy(F.col(ts).asc()).rowsBetween(Window.unboundedPreceding, 0)
+    x = df.withColumn("_bucket", hour_start(ts)).withColumn("_rm_in", F.max(col).over(w))
+    edges = x.groupBy(key, "_bucket").agg(F.max(col).alias("_bmax"))
+    we = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.select(key, "_bucket", F.max("_bmax").over(we).alias("_carry"))
+    j = x.join(edges, [key, "_bucket"], "left")
+    return j.withColumn(out, F.greatest("_rm_in", "_carry")).drop("_bucket", "_rm_in", "_carry")

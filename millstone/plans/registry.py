@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millstone.functions.numeric import stable
 from millstone.plans import business as B
+from millstone.plans import extensions as X
 from millstone.plans import profiling as V
 from millstone.plans.catalog import Pipeline
 
@@ -110,6 +111,20 @@ PLANS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "coverage_gaps": V.coverage_gaps,
     "meter_reconciliation": V.meter_reconciliation,
     "vibration_route": V.vibration_route,
+    # extensions asked for by the brief, range lookups, time-range rolling
+    "alerts": X.alerts,
+    "trend_direction": X.trend_direction,
+    "rms_anomalies": X.rms_anomalies,
+    "days_to_zone_d": X.days_to_zone_d,
+    "ap_score": X.ap_score,
+    "setup_runs": X.setup_runs,
+    "downtime_by_reason": X.downtime_by_reason,
+    "energy_by_shift_floor": X.energy_by_shift_floor,
+    "bearing_flags": X.bearing_flags,
+    "pf_by_floor_hour": X.pf_by_floor_hour,
+    "shift_range_join": X.shift_range_join,
+    "tariff_range_join": X.tariff_range_join,
+    "rolling_7_days": X.rolling_7_days,
 }
 
 
