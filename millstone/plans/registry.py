@@ -40,7 +40,11 @@ def _silver_power(p):
         "is_peak_hour", "is_weekend", "hour_local", "day_of_week", "shift_name", "is_anomaly")
 
 
+AUDIT_COLS = ("loaded_at", "event_date", "hour_date", "day_part")
+
+
 def _stable_doubles(df: DataFrame, drop=()) -> DataFrame:
+    drop = set(drop) | set(AUDIT_COLS)
     return df.select(*[stable(f.name).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
                        for f in df.schema.fields if f.name not in drop])
 
@@ -129,6 +133,9 @@ PLANS: dict[str, Callable[[Pipeline], DataFrame]] = {
 
 
 def query_fn(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    if name not in PLANS:
+        from millstone.streaming.queries import STREAM_QUERIES
+        return STREAM_QUERIES[name][0]
     plan = PLANS[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
