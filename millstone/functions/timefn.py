@@ -53,16 +53,11 @@ def minute_of_day(ts) -> Column:
 
 def micros_text(ts) -> Column:
     """``YYYY-MM-DD HH:MI:SS.ffffff`` — the timestamp part of event keys.
-    Built from calendar fields: ``date_format`` would pass an NTZ value
-    through the session zone (and shift wall clocks inside a DST gap)."""
-    t = _c(ts)
-
-    def pad(x, n):
-        return F.lpad(x.cast("string"), n, "0")
-    micros = (F.extract(F.lit("SECOND"), t) * 1000000).cast("long") % 1000000
-    return F.concat(pad(F.year(t), 4), F.lit("-"), pad(F.month(t), 2), F.lit("-"), pad(F.dayofmonth(t), 2),
-                    F.lit(" "), pad(F.hour(t), 2), F.lit(":"), pad(F.minute(t), 2), F.lit(":"),
-                    pad(F.second(t), 2), F.lit("."), pad(micros, 6))
+    NTZ -> string is zone-free but trims the fraction, so the fraction is
+    re-padded to 6 digits (``date_format`` would pass the value through the
+    session zone and shift wall clocks inside a DST gap)."""
+    s = _c(ts).cast("string")
+    return F.concat(F.substring(s, 1, 19), F.lit("."), F.rpad(F.substring(s, 21, 6), 6, "0"))
 
 
 def event_id(asset="asset", ts="event_ts", version="schema_version") -> Column:

@@ -15,14 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millstone.plans import gold, silver
 from millstone.sources import refdata
-from millstone.sources.bronze import bronze_from_events
+from millstone.sources.bronze import bronze_from_events, load_bronze
 
 
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, tables_dir: str | None = None,
-                 strict_reference: bool = False):
+                 strict_reference: bool = False, bronze_dir: str | None = None):
         self.spark, self.sf_dir, self.tables_dir = spark, sf_dir.rstrip("/"), tables_dir
         self.strict_reference = strict_reference
+        self.bronze_dir = bronze_dir
 
     def _table(self, name: str, build):
         if self.tables_dir:
@@ -41,6 +42,8 @@ class Pipeline:
     # bronze ----------------------------------------------------------------
     @cached_property
     def bronze(self) -> DataFrame:
+        if self.bronze_dir:
+            return load_bronze(self.spark, self.bronze_dir)
         return bronze_from_events(self.spark, self.sf_dir)
 
     # silver ----------------------------------------------------------------
