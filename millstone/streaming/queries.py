@@ -61,7 +61,11 @@ def stream_gold_energy_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.PLANS["energy_daily"](v).drop("loaded_at", "day_part")
 
 
+from millstone.streaming.event_time import stream_dedup_within_watermark, stream_hourly_tumbling  # noqa: E402
+
 STREAM_QUERIES = {
+    "stream_hourly_tumbling": (stream_hourly_tumbling, "stream_hourly_tumbling"),
+    "stream_dedup_within_watermark": (stream_dedup_within_watermark, "stream_dedup_within_watermark"),
     "stream_silver_production": (stream_silver_production, "silver_production"),
     "stream_silver_vibration": (stream_silver_vibration, "silver_vibration"),
     "stream_silver_power": (stream_silver_power, "silver_power"),
