@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millstone.functions.numeric import stable
 from millstone.plans import business as B
 from millstone.plans import extensions as X
+from millstone.plans import ingest as I
 from millstone.plans import profiling as V
 from millstone.plans.catalog import Pipeline
 
@@ -75,6 +76,9 @@ PLANS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "vibration_hourly": _vibration_hourly,
     "energy_hourly": _energy_hourly,
     "energy_daily": _energy_daily,
+    # load path
+    "bronze_load": I.bronze_load,
+    "bronze_file_manifest": I.bronze_file_manifest,
     # business questions
     "q1_uptime_by_group": B.q1_uptime_by_group,
     "q1_silver_state_mix": B.q1_silver_state_mix,
@@ -132,6 +136,9 @@ PLANS: dict[str, Callable[[Pipeline], DataFrame]] = {
 }
 
 
+ROWS_ONLY = {"bronze_file_manifest"}   # no SQL equivalent (physical file layout)
+
+
 def query_fn(name: str) -> Callable[[SparkSession, str], DataFrame]:
     if name not in PLANS:
         from millstone.streaming.queries import STREAM_QUERIES

@@ -57,7 +57,9 @@ def test_entry_one_row(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    from millstone.plans.registry import ROWS_ONLY
+    assert set(E.queries()) - set(E.oracle_sql()) == ROWS_ONLY
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_invariants(spark):
