@@ -215,7 +215,9 @@ def q6_weekend_vs_weekday(p: Pipeline) -> DataFrame:
         F.sum("total_kwh").alias("_sum_kwh"),
         F.sum("total_cost_baht").alias("_sum_cost"),
     )
-    both = Window.partitionBy()  # two rows
+    # a window over the 2-row aggregate reads the chain once (scalar
+    # subqueries would re-run it per value)
+    both = Window.partitionBy()
     wd = F.max(F.when(~F.col("is_weekend"), F.col("_avg_kwh"))).over(both)
     we = F.max(F.when(F.col("is_weekend"), F.col("_avg_kwh"))).over(both)
     return g.select(
