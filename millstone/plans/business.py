@@ -251,10 +251,11 @@ def plant_health(p: Pipeline) -> DataFrame:
     """Q7: one-row plant status.  Both inputs are aggregates evaluated as
     scalar subqueries; nothing is collected to the driver."""
     prod = dash_production_summary(p)
-    avg_uptime = prod.select(F.avg("avg_uptime_pct")).scalar()
+    # one subquery per input chain (a struct carries both production values)
+    prod_stats = prod.select(F.struct(F.avg("avg_uptime_pct").alias("u"), F.count(F.lit(1)).alias("n"))).scalar()
+    avg_uptime, n_groups = prod_stats.getField("u"), prod_stats.getField("n")
     vib = dash_vibration_summary(p).filter(F.col("asset") == FOCUS_MOTOR)
     zone = vib.select(F.max("dominant_zone")).scalar()
-    n_groups = prod.select(F.count(F.lit(1))).scalar()
     row = p.spark.range(1).select(
         stable(avg_uptime).alias("avg_uptime_pct"), n_groups.alias("machine_groups"),
         F.coalesce(zone, F.lit("?")).alias("motor02_zone"),
