@@ -1,7 +1,9 @@
 """Keyed writes on plain Parquet tables partitioned by a date column (M1/M2).
 
-No table format with MERGE is assumed.  Both writes touch only the date
-partitions present in the incoming batch (a bounded list: the days a batch
+No table format with MERGE is assumed.  Precondition: the partition value
+is a function of the key (event ids embed the event time, so the event date
+follows from the key).  Both writes touch only the date partitions present
+in the incoming batch (a bounded list: the days a batch
 covers), so the target read is partition-pruned.
 
 * ``insert_only`` — first committed row wins: anti-join against the keys
