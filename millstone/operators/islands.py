@@ -1,27 +1,55 @@
 """Gaps-and-islands: runs of consecutive readings in one state (ST10/X6).
 
-A run starts at a reading in the state whose predecessor (same key, by
-time) is not in it.  Each reading's run id is the latest start at or
-before it — a running max, computed skew-safely — and runs are then plain
-hash aggregates keyed by (key, run id).
+A run starts at an in-state reading whose predecessor (same key, by time)
+is not in the state; a reading's run id is the latest start at or before
+it.  Everything is computed over ONE exchange on (key, hour bucket):
+
+* inside a bucket: previous state (lag), running max of inner starts, the
+  bucket's first row;
+* a small per-(key, bucket) edge table decides whether each bucket's first
+  row starts a run (it needs the previous bucket's last state) and carries
+  the latest start from earlier buckets;
+* runs are then a hash aggregate on (key, run id).
+
+No task ever holds all readings of one key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millstone.operators.sequence import running_max, with_previous
+from millstone.operators.sequence import _keyed
 
 
 def state_runs(df: DataFrame, key: str, ts: str, in_state, weight: str | None = None) -> DataFrame:
-    """One row per run: key, run_start, run_end, readings[, weight_sum]."""
-    x = df.withColumn("_in", F.coalesce(in_state, F.lit(False)))
-    x = with_previous(x, key, ts, ["_in"])
-    start = F.col("_in") & ~F.coalesce(F.col("prev__in"), F.lit(False))
-    x = x.withColumn("_start_ts", F.when(start, F.col(ts)))
-    x = running_max(x, key, ts, "_start_ts", "_run_id").filter(F.col("_in"))
+    """One row per run: key, run_start, run_end, readings[, <weight>_sum]."""
+    # exactly the columns both branches use (identical subplans -> reuse)
+    src = df.select(key, ts, F.coalesce(in_state, F.lit(False)).alias("_in"), *([weight] if weight else []))
+    w = Window.partitionBy("_k", "_bucket").orderBy(F.col(ts).asc())
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    wd = Window.partitionBy("_k", "_bucket").orderBy(F.col(ts).desc())
+    inner_start = F.col("_in") & ~F.coalesce(F.lag("_in").over(w), F.lit(True))
+    x = _keyed(src, key, ts).select(
+        "*", F.row_number().over(w).alias("_rn"), F.row_number().over(wd).alias("_rn_desc"),
+        F.max(F.when(inner_start, F.col(ts))).over(run).alias("_inner_max"),
+        F.first("_in").over(run).alias("_first_in"), F.first(ts).over(run).alias("_first_ts"))
+    rest = [c for c in src.columns if c != key]
+    # the edge row carries the whole last row: same columns as the row
+    # branch, so both branches share one (reused) exchange
+    e = x.filter(F.col("_rn_desc") == 1).select(
+        "_k", "_bucket", "_inner_max", "_first_in", "_first_ts", F.struct(*rest).alias("_last"))
+    wk = Window.partitionBy("_k").orderBy("_bucket")
+    prev_last_in = F.lag("_last").over(wk).getField("_in")
+    first_starts = F.col("_first_in") & ~F.coalesce(prev_last_in, F.lit(False))
+    e = e.select("_k", "_bucket", "_inner_max", "_first_ts", first_starts.alias("_first_starts"))
+    e = e.withColumn("_bucket_max", F.greatest("_inner_max", F.when(F.col("_first_starts"), F.col("_first_ts"))))
+    e = e.select("_k", "_bucket", "_first_starts",
+                 F.max("_bucket_max").over(wk.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+    j = x.join(e, ["_k", "_bucket"], "left").filter(F.col("_in"))
+    run_id = F.greatest(x["_inner_max"], F.when(F.col("_first_starts"), x["_first_ts"]), F.col("_carry"))
+    j = j.withColumn("_run_id", run_id).withColumn(key, F.col("_k").getField(key))
     aggs = [F.min(ts).alias("run_start"), F.max(ts).alias("run_end"), F.count(F.lit(1)).alias("readings")]
     if weight:
         aggs.append(F.sum(weight).alias(f"{weight}_sum"))
-    return x.groupBy(key, "_run_id").agg(*aggs).drop("_run_id")
+    return j.groupBy(key, "_run_id").agg(*aggs).drop("_run_id")
