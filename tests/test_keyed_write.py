@@ -40,3 +40,18 @@ def test_upsert_null_safe_composite_key(spark, scratch):
     got = sorted((r.floor if r.floor is not None else -1, r.v) for r in spark.read.parquet(path).collect())
     assert got == [(-1, 5), (1, 2)]
     _ = datetime
+
+
+def test_insert_only_time_window_any_session_zone(spark, scratch):
+    """Replay under a non-UTC session must still find the stored rows."""
+    path = f"{scratch}/z"
+    s = "event_id string, event_ts timestamp_ntz, event_date date"
+    t = datetime(2024, 3, 10, 2, 30)      # inside a US DST gap
+    b = spark.createDataFrame([("a", t, date(2024, 3, 10))], s)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        assert insert_only(b, path, "event_id", "event_date") == 1
+        assert insert_only(b, path, "event_id", "event_date") == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
