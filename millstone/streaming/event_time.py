@@ -31,9 +31,10 @@ def land_in_time_order(bronze: DataFrame, landing: str, files: int, files_per_sl
     step = (hi - lo) / files
     for k in range(files):
         a = lo + step * k
-        cond = F.col("event_ts") >= F.lit(a).cast("timestamp_ntz") if k else F.lit(True)
+        # boundaries as text -> NTZ (a Python datetime literal is zone-bound)
+        cond = F.col("event_ts") >= F.lit(str(a)).cast("timestamp_ntz") if k else F.lit(True)
         if k < files - 1:
-            cond = cond & (F.col("event_ts") < F.lit(lo + step * (k + 1)).cast("timestamp_ntz"))
+            cond = cond & (F.col("event_ts") < F.lit(str(lo + step * (k + 1))).cast("timestamp_ntz"))
         bronze.filter(cond).repartition(files_per_slice).write.mode("append").parquet(landing)
 
 
