@@ -1,8 +1,8 @@
 """Event-time streaming operators (ST6, ST8).
 
-Watermarks need an event-time column of TIMESTAMP type, so an LTZ helper
-``event_time`` is derived from the NTZ ``event_ts`` (whole-hour zones keep
-hour windows aligned; the window start is cast back to NTZ).  State is
+Watermarks need an event-time column of TIMESTAMP type, so an instant
+``event_time`` is derived from the NTZ ``event_ts`` through epoch micros
+(UTC, whatever the session zone), and window starts go back the same way.  State is
 bounded by the watermark: a 1-hour window with a 1-hour delay holds at most
 two hours of groups per asset, whatever the volume.
 """
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from millstone import schema as S
 from millstone.operators.keyed_write import insert_only, upsert
+from millstone.functions.timefn import epoch_micros
 from millstone.session import scratch_path
 from millstone.sources.bronze import bronze_from_events
 
@@ -46,7 +47,17 @@ def _production_stream(spark: SparkSession, landing: str) -> DataFrame:
     # one micro-batch = one time slice (its files share a modification window)
     return (spark.readStream.schema(S.BRONZE).option("maxFilesPerTrigger", _slice_files(spark)).parquet(landing)
             .filter(F.col("schema_version") == S.V_PRODUCTION)
-            .withColumn("event_time", F.col("event_ts").cast("timestamp")))
+            .withColumn("event_time", F.timestamp_micros(epoch_micros("event_ts"))))
+
+
+def _ntz_from_instant(c) -> "F.Column":
+    """TIMESTAMP instant -> UTC wall clock as NTZ, independent of the
+    session zone (through epoch micros)."""
+    us = F.unix_micros(c)
+    day = F.lit(86400000000)
+    return (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+            + F.make_dt_interval(F.floor(us / day).cast("int"), F.lit(0), F.lit(0),
+                                 ((us % day) / F.lit(1000000)).cast("decimal(18,6)")))
 
 
 def hourly_message_counts(spark: SparkSession, landing: str, tables: str, checkpoints: str) -> str:
@@ -58,7 +69,7 @@ def hourly_message_counts(spark: SparkSession, landing: str, tables: str, checkp
     out = f"{tables}/hourly_messages"
 
     def write(df: DataFrame, batch_id: int) -> None:
-        rows = df.select("asset", F.col("window.start").cast("timestamp_ntz").alias("hour_utc"), "messages") \
+        rows = df.select("asset", _ntz_from_instant(F.col("window.start")).alias("hour_utc"), "messages") \
             .withColumn("hour_date", F.to_date("hour_utc"))
         upsert(rows, out, ["asset", "hour_utc"], "hour_date", f"tumble-{batch_id}")
     (agg.writeStream.outputMode("update").foreachBatch(write)
