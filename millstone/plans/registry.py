@@ -136,7 +136,8 @@ PLANS: dict[str, Callable[[Pipeline], DataFrame]] = {
 }
 
 
-ROWS_ONLY = {"bronze_file_manifest"}   # no SQL equivalent (physical file layout)
+# no SQL equivalent: physical file layout / wall-clock run log
+ROWS_ONLY = {"bronze_file_manifest", "run_audit"}
 
 
 def query_fn(name: str) -> Callable[[SparkSession, str], DataFrame]:

@@ -13,7 +13,7 @@ from millstone.plans import registry
 from millstone.plans.catalog import Pipeline
 from millstone.session import scratch_path
 from millstone.sources.bronze import bronze_from_events
-from millstone.streaming.runners import land_bronze, run_pipeline_stream, run_silver_stream
+from millstone.streaming.runners import RunAudit, land_bronze, run_pipeline_stream, run_silver_stream
 
 LANDING_FILES = 4
 
@@ -22,14 +22,25 @@ class _TablesView(Pipeline):
     """A Pipeline whose Silver/Gold frames are read from written tables."""
 
 
-def _run(spark: SparkSession, sf_dir: str, domain: str, pipeline: bool) -> str:
+def _run(spark: SparkSession, sf_dir: str, domain: str, pipeline: bool, audit: RunAudit | None = None) -> str:
     root = scratch_path(spark, f"stream-run/{domain}-{uuid.uuid4().hex}")
     land_bronze(bronze_from_events(spark, sf_dir), f"{root}/landing", LANDING_FILES)
     runner = run_pipeline_stream if pipeline else run_silver_stream
-    runner(spark, f"{root}/landing", f"{root}/tables", f"{root}/checkpoints", domain)
+    runner(spark, f"{root}/landing", f"{root}/tables", f"{root}/checkpoints", domain, audit=audit)
     return f"{root}/tables"
 
 
+def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST14/X11/G16: one row per micro-batch of the production pipeline
+    stream (rows in, rows written) plus the Gold ``last_refresh``
+    (max ``loaded_at``).  Wall-clock values: rows-only check."""
+    from pyspark.sql import functions as F
+    audit = RunAudit()
+    tables = _run(spark, sf_dir, "production", True, audit)
+    last = spark.read.parquet(f"{tables}/production_hourly").select(F.max("loaded_at")).scalar()
+    return audit.to_df(spark).withColumn("last_refresh", last)
+
+
 def _view(spark, sf_dir, tables) -> Pipeline:
     return _TablesView(spark, sf_dir, tables_dir=tables)
 
@@ -64,6 +75,7 @@ def stream_gold_energy_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 from millstone.streaming.event_time import stream_dedup_within_watermark, stream_hourly_tumbling  # noqa: E402
 
 STREAM_QUERIES = {
+    "run_audit": (run_audit, None),
     "stream_hourly_tumbling": (stream_hourly_tumbling, "stream_hourly_tumbling"),
     "stream_dedup_within_watermark": (stream_dedup_within_watermark, "stream_dedup_within_watermark"),
     "stream_silver_production": (stream_silver_production, "silver_production"),

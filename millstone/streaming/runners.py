@@ -45,6 +45,11 @@ def land_bronze(bronze: DataFrame, landing: str, files: int) -> None:
     bronze.repartition(files, "asset", "event_ts").write.mode("overwrite").parquet(landing)
 
 
+def _stamp(df: DataFrame) -> DataFrame:
+    """M5 audit column (excluded from every oracle-checked projection)."""
+    return df.withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
+
+
 def _with_part(df: DataFrame) -> DataFrame:
     return df.withColumn(PART, F.to_date("event_ts"))
 
@@ -97,7 +102,8 @@ def refresh_production_hourly(spark: SparkSession, tables: str, days: list) -> N
         return
     s = spark.read.parquet(f"{tables}/production_events").filter(F.col(PART).isin(days))
     g = gold.production_hourly(s, refdata.machine_config(spark))
-    overwrite_partitions(g.withColumn(GOLD_PART, F.to_date("hour_utc")), f"{tables}/production_hourly", GOLD_PART)
+    overwrite_partitions(_stamp(g.withColumn(GOLD_PART, F.to_date("hour_utc"))), f"{tables}/production_hourly",
+                         GOLD_PART)
 
 
 def refresh_energy(spark: SparkSession, tables: str, days: list) -> None:
@@ -105,12 +111,12 @@ def refresh_energy(spark: SparkSession, tables: str, days: list) -> None:
         return
     s = spark.read.parquet(f"{tables}/power_events").filter(F.col(PART).isin(days))
     h = gold.energy_hourly(s).withColumn(GOLD_PART, F.to_date("hour_utc"))
-    overwrite_partitions(h, f"{tables}/energy_hourly", GOLD_PART)
+    overwrite_partitions(_stamp(h), f"{tables}/energy_hourly", GOLD_PART)
     # local days whose hours were touched, recomputed from the hourly table
     local_days = touched_values(h.select(F.to_date("hour_local").alias("d")), "d")
     eh = spark.read.parquet(f"{tables}/energy_hourly").filter(F.to_date("hour_local").isin(local_days))
-    d = gold.energy_daily(eh.drop(GOLD_PART)).withColumn("day_part", F.col("day_local"))
-    overwrite_partitions(d, f"{tables}/energy_daily", "day_part")
+    d = gold.energy_daily(eh.drop(GOLD_PART, "loaded_at")).withColumn("day_part", F.col("day_local"))
+    overwrite_partitions(_stamp(d), f"{tables}/energy_daily", "day_part")
 
 
 def refresh_vibration_hourly(spark: SparkSession, tables: str, days: list, rows: int = 168) -> None:
@@ -122,6 +128,7 @@ def refresh_vibration_hourly(spark: SparkSession, tables: str, days: list, rows:
     first = min(days)
     s = spark.read.parquet(f"{tables}/vibration_events").filter(F.col(PART) >= F.lit(first))
     base = gold.vibration_hourly(s).drop("rolling_7day_avg_rms", "rolling_7d_time_avg_rms")
+    base = _stamp(base)
     path = f"{tables}/vibration_hourly"
     if table_exists(spark, path):
         w = Window.partitionBy("asset").orderBy(F.col("hour_utc").desc())
