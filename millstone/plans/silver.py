@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from millstone import schema as S
 from millstone.functions import classify as K
 from millstone.functions.payload import json_int, key_count, key_present, parse, text_flag, text_int
-from millstone.functions.timefn import event_id, hour_start, iso_dow, to_local
+from millstone.functions.timefn import event_id, iso_dow, to_local
 from millstone.operators.dedup import latest_per_key
 
 HIERARCHY = ["enterprise", "site", "area", "work_center", "work_cell", "asset"]
@@ -152,5 +152,4 @@ def silver_power(bronze: DataFrame) -> DataFrame:
     return out.select(*S.POWER_EVENTS_COLS)
 
 
-__all__ = ["silver_production", "route_vibration", "silver_vibration", "silver_quarantine",
-           "silver_power", "hour_start"]
+__all__ = ["silver_production", "route_vibration", "silver_vibration", "silver_quarantine", "silver_power"]

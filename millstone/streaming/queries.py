@@ -18,10 +18,6 @@ from millstone.streaming.runners import RunAudit, land_bronze, run_pipeline_stre
 LANDING_FILES = 4
 
 
-class _TablesView(Pipeline):
-    """A Pipeline whose Silver/Gold frames are read from written tables."""
-
-
 def _run(spark: SparkSession, sf_dir: str, domain: str, pipeline: bool, audit: RunAudit | None = None) -> str:
     root = scratch_path(spark, f"stream-run/{domain}-{uuid.uuid4().hex}")
     land_bronze(bronze_from_events(spark, sf_dir), f"{root}/landing", LANDING_FILES)
@@ -42,7 +38,8 @@ def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _view(spark, sf_dir, tables) -> Pipeline:
-    return _TablesView(spark, sf_dir, tables_dir=tables)
+    """Silver/Gold frames read from the tables the stream wrote."""
+    return Pipeline(spark, sf_dir, tables_dir=tables)
 
 
 def stream_silver_production(spark: SparkSession, sf_dir: str) -> DataFrame:

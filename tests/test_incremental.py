@@ -2,7 +2,7 @@
 ends in the same tables as one backfill (ST13, T3, T6, ST4)."""
 
 import random
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -53,4 +53,3 @@ def test_batch_splits_equal_backfill(spark, tmp_path_factory, seed, cuts, replay
     exp_last = {r[0]: r for r in rows}                # latest arrival wins
     assert _final(spark, f"{base}/ins") == sorted((k, r[2]) for k, r in exp_first.items())
     assert _final(spark, f"{base}/ups") == sorted((k, r[2]) for k, r in exp_last.items())
-    _ = datetime

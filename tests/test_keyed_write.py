@@ -39,7 +39,6 @@ def test_upsert_null_safe_composite_key(spark, scratch):
     upsert(spark.createDataFrame([("m", None, 5, d)], s), path, ["asset", "floor"], "event_date", "y")
     got = sorted((r.floor if r.floor is not None else -1, r.v) for r in spark.read.parquet(path).collect())
     assert got == [(-1, 5), (1, 2)]
-    _ = datetime
 
 
 def test_insert_only_time_window_any_session_zone(spark, scratch):
