@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millstone import schema as S
 from millstone.functions.numeric import stable
 from millstone.functions.payload import key_count
 from millstone.functions.timefn import epoch_micros
@@ -159,3 +160,58 @@ def vibration_route(p: Pipeline) -> DataFrame:
     return out.select("*", (F.col("routed") - F.coalesce("events_rows", F.lit(0))
                             - F.coalesce("quarantine_rows", F.lit(0))).alias("duplicates_dropped"))
 
+
+
+def _tally(pred, name: str) -> list:
+    """Rows where ``pred`` is TRUE, FALSE and UNKNOWN (a filter keeps TRUE only)."""
+    return [F.count_if(pred).alias(f"{name}_true"), F.count_if(~pred).alias(f"{name}_false"),
+            F.count_if(pred.isNull()).alias(f"{name}_null")]
+
+
+def filter_three_valued(p: Pipeline) -> DataFrame:
+    """Comparisons and AND/OR/NOT under three-valued logic.  A NULL
+    ingest time or asset makes the comparison UNKNOWN; UNKNOWN AND FALSE is
+    FALSE, UNKNOWN OR TRUE is TRUE."""
+    prompt = F.col("ingested_ts") <= F.col("event_ts") + F.make_dt_interval(secs=F.lit(2))
+    not_main = F.col("asset") != F.lit(MAIN_METER)
+    return p.bronze.groupBy("schema_version").agg(
+        F.count(F.lit(1)).alias("rows"),
+        *_tally(prompt, "prompt"), *_tally(not_main, "not_main"),
+        *_tally(prompt & not_main, "both"), *_tally(prompt | not_main, "either"))
+
+
+def like_ilike(p: Pipeline) -> DataFrame:
+    """Prefix LIKE on names and case-insensitive ILIKE '%60%' on the
+    payload's source period (the 60 s layout test); a missing value leaves
+    the match UNKNOWN, counted apart."""
+    period = F.get_json_object("payload", "$.source_period")
+    sixty = period.ilike("%60%")
+    meter = F.col("asset").like("PM-F%")
+    return p.bronze.groupBy("schema_version").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("schema_version").like("vibration%")).alias("vibration_prefix"),
+        F.count_if(F.col("asset").ilike("fm%")).alias("forming_ilike"),
+        F.count_if(meter).alias("meter_prefix"), F.count_if(~meter).alias("not_meter_prefix"),
+        F.count_if(sixty).alias("period_60"), F.count_if(sixty.isNull()).alias("period_unknown"))
+
+
+def _domains() -> dict:
+    v = F.col("schema_version")
+    return {"production": v == S.V_PRODUCTION, "vibration": v.startswith("vibration."),
+            "power": v == S.V_POWER}
+
+
+def bronze_by_domain(p: Pipeline) -> DataFrame:
+    """One discriminator-filtered read per domain.  On the derived raw
+    table each filter prunes the other union branches at plan time; on a
+    landed table partitioned by ``schema_version`` it is partition pruning.
+    The three reads are disjoint, so together they scan the table once."""
+    parts = [p.bronze.filter(cond).agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("asset").alias("assets"),
+        F.count_if(F.col("ingested_ts").isNull()).alias("null_ingest"),
+        F.min("event_ts").alias("min_ts"), F.max("event_ts").alias("max_ts"),
+    ).select(F.lit(name).alias("domain"), "*") for name, cond in _domains().items()]
+    out = parts[0]
+    for d in parts[1:]:
+        out = out.unionByName(d)
+    return out

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millstone.functions.numeric import stable
 from millstone.plans import business as B
 from millstone.plans import extensions as X
+from millstone.plans import incremental as M
 from millstone.plans import ingest as I
 from millstone.plans import profiling as V
 from millstone.plans.catalog import Pipeline
@@ -66,6 +67,13 @@ def _energy_daily(p):
     return _stable_doubles(p.energy_daily, drop=("shift_breakdown",))
 
 
+def _energy_daily_shift_breakdown(p):
+    """The per-shift kWh map of the daily table, one row per entry."""
+    d = p.energy_daily.select("asset", "floor_num", "day_local",
+                              F.explode("shift_breakdown").alias("shift_name", "kwh"))
+    return d.select("asset", "floor_num", "day_local", "shift_name", stable("kwh").alias("kwh"))
+
+
 PLANS: dict[str, Callable[[Pipeline], DataFrame]] = {
     # silver / gold tables
     "silver_production": _silver_production,
@@ -76,9 +84,21 @@ PLANS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "vibration_hourly": _vibration_hourly,
     "energy_hourly": _energy_hourly,
     "energy_daily": _energy_daily,
+    "energy_daily_shift_breakdown": _energy_daily_shift_breakdown,
     # load path
     "bronze_load": I.bronze_load,
     "bronze_file_manifest": I.bronze_file_manifest,
+    "bronze_by_domain": V.bronze_by_domain,
+    # predicates
+    "filter_three_valued": V.filter_three_valued,
+    "like_ilike": V.like_ilike,
+    # incremental semantics: dedup, keyed merges, high-water mark
+    "dedup_production": M.dedup_production,
+    "dedup_vibration": M.dedup_vibration,
+    "dedup_power": M.dedup_power,
+    "merge_insert_only": M.merge_insert_only,
+    "merge_upsert": M.merge_upsert,
+    "watermark_filter": M.watermark_filter,
     # business questions
     "q1_uptime_by_group": B.q1_uptime_by_group,
     "q1_silver_state_mix": B.q1_silver_state_mix,

@@ -29,9 +29,10 @@ def _tiebreak():
 
 
 def silver_production(bronze: DataFrame, machine_config: DataFrame,
-                      strict_reference: bool = False) -> DataFrame:
+                      strict_reference: bool = False, dedup=latest_per_key) -> DataFrame:
     """D1.  ``strict_reference=True`` keeps the original status rule where a
-    60 s message (no status key) can never be EXCLUDED."""
+    60 s message (no status key) can never be EXCLUDED.  ``dedup(df, keys)``
+    picks the surviving delivery per key (default: latest ingest wins)."""
     src = bronze.filter(F.col("schema_version") == S.V_PRODUCTION)
     p = parse("payload", S.PRODUCTION_PAYLOAD)
     typed = src.select(
@@ -52,7 +53,7 @@ def silver_production(bronze: DataFrame, machine_config: DataFrame,
         F.col("p.plan_id").alias("plan_id"), F.col("p.wo_cycle_time").alias("wo_cycle_time_sec"),
         K.source_period_sec("p.source_period").alias("source_period_sec"),
     ).drop("p")
-    deduped = latest_per_key(typed, ["asset", "event_ts"])
+    deduped = dedup(typed, ["asset", "event_ts"])
     status = F.col("_status") if strict_reference else \
         F.coalesce(F.col("_status"), F.col("state_code") * 1000 + F.col("reason_code"))
     mc = F.broadcast(machine_config.select("asset", F.col("machine_category").alias("_cfg_cat")))
@@ -117,7 +118,7 @@ def silver_quarantine(routed: DataFrame) -> DataFrame:
     return latest_per_key(q, ["asset", "event_ts", "schema_version"]).select(*S.QUARANTINE_COLS)
 
 
-def silver_power(bronze: DataFrame) -> DataFrame:
+def silver_power(bronze: DataFrame, dedup=latest_per_key) -> DataFrame:
     """GOOD (non-BAD, non-NULL quality) meter readings with time context."""
     src = bronze.filter((F.col("schema_version") == S.V_POWER) & (F.col("quality") != "BAD")
                         & F.col("asset").isNotNull())
@@ -141,7 +142,7 @@ def silver_power(bronze: DataFrame) -> DataFrame:
         F.col("p.total_import_reactive_energy").alias("energy_kvarh_cumul"),
         F.col("p.total_apparent_energy").alias("energy_kvah_cumul"),
     ).drop("p")
-    deduped = latest_per_key(typed, ["asset", "event_ts"])
+    deduped = dedup(typed, ["asset", "event_ts"])
     loc = F.col("event_ts_local")
     out = deduped.select(
         "*",

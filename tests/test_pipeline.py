@@ -14,7 +14,8 @@ from .conftest import SF_SMALL
 ORACLE_SUBSET = ["silver_production", "silver_vibration_quarantine", "production_hourly", "vibration_hourly",
                  "energy_daily", "q1_uptime_by_group", "q2_zone_last_7d", "q4_setup_top10",
                  "q6_weekend_vs_weekday", "plant_health", "profile_payload_keys", "counter_resets",
-                 "setup_runs", "downtime_by_reason", "tariff_range_join"]
+                 "setup_runs", "downtime_by_reason", "tariff_range_join", "merge_insert_only",
+                 "dedup_production", "filter_three_valued", "watermark_filter"]
 
 
 @pytest.fixture(scope="module")

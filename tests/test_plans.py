@@ -68,3 +68,24 @@ def test_sequence_ops_read_and_shuffle_rows_once(spark, raw_dir, build):
     assert "ReusedExchange" in plan
     # no window ever partitions raw readings by asset alone
     assert not re.search(r"Exchange hashpartitioning\(asset#\d+, \d+\), ENSURE_REQUIREMENTS.*\n.*Window", plan)
+
+
+def test_domain_reads_are_partition_pruned(spark, raw_dir):
+    plan = _plan(spark, V.bronze_by_domain(Pipeline(spark, SF_SMALL, bronze_dir=raw_dir)))
+    pruned = re.findall(r"PartitionFilters: \[[^\]]*schema_version[^\]]*\]", plan)
+    assert len(pruned) == 3, plan
+
+
+def test_dedup_aggregates_before_its_one_shuffle(spark, raw_dir):
+    from millstone.plans import incremental as M
+    plan = _plan(spark, M.dedup_production(Pipeline(spark, SF_SMALL, bronze_dir=raw_dir)))
+    ex = _exchanges(plan)
+    assert len(ex) == 1 and "asset" in ex[0] and "event_ts" in ex[0], ex
+    assert "partial_max_by" in plan or "partial_count" in plan, plan
+
+
+def test_merge_replay_is_one_window_shuffle(spark, raw_dir):
+    from millstone.plans import incremental as M
+    plan = _plan(spark, M.merge_insert_only(Pipeline(spark, SF_SMALL, bronze_dir=raw_dir)))
+    ex = [e for e in _exchanges(plan) if "asset" in e and "event_ts" in e]
+    assert len(ex) == 1 and "WindowGroupLimit" in plan, plan
