@@ -20,7 +20,7 @@ from millstone.sources.bronze import bronze_from_events, load_bronze
 
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, tables_dir: str | None = None,
-                 strict_reference: bool = False, bronze_dir: str | None = None):
+                 strict_reference: bool = False, bronze_dir: str | list[str] | None = None):
         self.spark, self.sf_dir, self.tables_dir = spark, sf_dir.rstrip("/"), tables_dir
         self.strict_reference = strict_reference
         self.bronze_dir = bronze_dir
@@ -43,7 +43,8 @@ class Pipeline:
     @cached_property
     def bronze(self) -> DataFrame:
         if self.bronze_dir:
-            return load_bronze(self.spark, self.bronze_dir)
+            dirs = [self.bronze_dir] if isinstance(self.bronze_dir, str) else list(self.bronze_dir)
+            return load_bronze(self.spark, *dirs)
         return bronze_from_events(self.spark, self.sf_dir)
 
     # silver ----------------------------------------------------------------

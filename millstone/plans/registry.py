@@ -89,6 +89,7 @@ PLANS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "bronze_load": I.bronze_load,
     "bronze_file_manifest": I.bronze_file_manifest,
     "bronze_by_domain": V.bronze_by_domain,
+    "bronze_union_domains": I.bronze_union_domains,
     # predicates
     "filter_three_valued": V.filter_three_valued,
     "like_ilike": V.like_ilike,
