@@ -1,5 +1,6 @@
 """Incremental-load semantics as queries: keyed MERGE results (M1/M2), the
-high-water-mark filter (P10/ST7) and the per-domain dedup operators (W1–W3).
+high-water-mark filter (P10/ST7), the per-domain dedup operators (W1–W3)
+and the Gold refresh of touched days after a late batch (ST3/ST11).
 
 The MERGE queries give the table a stream of 15-minute micro-batches would
 leave behind, computed in one pass (``merged_per_key``) instead of a loop of
@@ -18,7 +19,7 @@ from millstone import schema as S
 from millstone.functions.numeric import stable
 from millstone.functions.timefn import day_of
 from millstone.operators.dedup import merged_per_key
-from millstone.plans import silver
+from millstone.plans import gold, silver
 from millstone.plans.catalog import Pipeline
 
 
@@ -85,3 +86,26 @@ def dedup_power(p: Pipeline) -> DataFrame:
     ingest times sort last here too (T7)."""
     cond = (F.col("schema_version") == S.V_POWER) & (F.col("quality") != "BAD") & F.col("asset").isNotNull()
     return _deliveries(p, cond, ["asset", "event_ts"])
+
+
+def gold_refresh_incremental(p: Pipeline, late_days: int = 2) -> DataFrame:
+    """ST3/ST11 (T3): hourly production Gold after a late batch.  Gold was
+    built from the rows loaded up to a high-water mark; the rows ingested
+    after it touch a few days, and exactly those days are recomputed from
+    the whole of Silver — never by adding the new rows to the old
+    aggregates.  Untouched days keep their old rows.  Must equal a full
+    rebuild.  On written tables each branch is a partition-pruned read; when
+    Silver is derived from the input, its dedup exchange is reused across
+    the branches."""
+    pe, mc = p.production_events, p.machine_config
+    newest = pe.select(F.max("event_ts")).scalar()
+    mark = pe.filter(F.col("event_ts") < newest - F.make_dt_interval(F.lit(late_days))) \
+        .select(F.max("ingested_ts")).scalar()
+    is_late = F.coalesce(F.col("ingested_ts") > mark, F.lit(False))
+    old = gold.production_hourly(pe.filter(~is_late), mc)
+    # one row per touched day: bounded by the days one batch spans
+    touched = pe.filter(is_late).select(day_of("event_ts").alias("_day")).distinct()
+    fresh = gold.production_hourly(
+        pe.join(touched, day_of("event_ts") == F.col("_day"), "left_semi"), mc)
+    kept = old.join(touched, day_of("hour_utc") == F.col("_day"), "left_anti")
+    return kept.unionByName(fresh)

@@ -100,6 +100,7 @@ PLANS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "merge_insert_only": M.merge_insert_only,
     "merge_upsert": M.merge_upsert,
     "watermark_filter": M.watermark_filter,
+    "gold_refresh_incremental": lambda p: _stable_doubles(M.gold_refresh_incremental(p)),
     # business questions
     "q1_uptime_by_group": B.q1_uptime_by_group,
     "q1_silver_state_mix": B.q1_silver_state_mix,
