@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from millstone import schema as S
 from millstone.functions.numeric import stable
 from millstone.functions.payload import key_count
-from millstone.functions.timefn import epoch_micros
+from millstone.functions.timefn import epoch_micros, hour_start
+from millstone.operators.dominant import category_counts, dominant
 from millstone.operators.sequence import with_previous
 from millstone.plans.catalog import Pipeline
+from millstone.plans.gold import STATES, ZONES
 from millstone.sources.refdata import ANOMALOUS_METER, MAIN_METER
 
 
@@ -215,3 +217,22 @@ def bronze_by_domain(p: Pipeline) -> DataFrame:
     for d in parts[1:]:
         out = out.unionByName(d)
     return out
+
+
+def _dominant_hourly(p: Pipeline, col: str, categories: list[str], tie_order: list[str], name: str) -> DataFrame:
+    """G9/W4 on its own: the modal ``col`` per asset and hour, as one
+    aggregate with conditional counts and an arg-max (no rank window)."""
+    g = p.vibration_events.filter(F.col(col).isNotNull()).groupBy(
+        "asset", hour_start("event_ts").alias("hour_utc")).agg(
+        F.count(F.lit(1)).alias("readings"), *category_counts(col, categories, "_n_"))
+    return g.select("asset", "hour_utc", dominant(tie_order, "_n_").alias(name), "readings")
+
+
+def dominant_zone_hourly(p: Pipeline) -> DataFrame:
+    """Ties go to the worse zone."""
+    return _dominant_hourly(p, "iso_zone", ZONES, list(reversed(ZONES)), "dominant_iso_zone")
+
+
+def dominant_state_hourly(p: Pipeline) -> DataFrame:
+    """Ties go to the alphabetically first state."""
+    return _dominant_hourly(p, "machine_state", STATES, sorted(STATES), "dominant_machine_state")

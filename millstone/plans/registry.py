@@ -100,6 +100,9 @@ PLANS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "merge_insert_only": M.merge_insert_only,
     "merge_upsert": M.merge_upsert,
     "watermark_filter": M.watermark_filter,
+    # mode per hour
+    "dominant_zone_hourly": V.dominant_zone_hourly,
+    "dominant_state_hourly": V.dominant_state_hourly,
     "gold_refresh_incremental": lambda p: _stable_doubles(M.gold_refresh_incremental(p)),
     # business questions
     "q1_uptime_by_group": B.q1_uptime_by_group,
