@@ -13,7 +13,7 @@ from millstone.plans import registry
 from millstone.plans.catalog import Pipeline
 from millstone.session import scratch_path
 from millstone.sources.bronze import bronze_from_events
-from millstone.streaming.runners import RunAudit, land_bronze, run_pipeline_stream, run_silver_stream
+from millstone.streaming.runners import RunAudit, ingest_files, land_bronze, run_pipeline_stream, run_silver_stream
 
 LANDING_FILES = 4
 
@@ -51,10 +51,7 @@ def bronze_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_power = F.col("schema_version") == S.V_POWER
     for drop in (~is_power, is_power):
         raw.filter(drop).repartition(LANDING_FILES, "asset", "event_ts").write.mode("append").parquet(f"{root}/landing")
-        (spark.readStream.schema(S.BRONZE).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
-            .writeStream.format("parquet").option("path", f"{root}/bronze")
-            .option("checkpointLocation", f"{root}/checkpoints/bronze")
-            .trigger(availableNow=True).start().awaitTermination())
+        ingest_files(spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoints/bronze")
     return V.profile_by_version(Pipeline(spark, sf_dir, bronze_dir=f"{root}/bronze"))
 
 

@@ -45,6 +45,15 @@ def land_bronze(bronze: DataFrame, landing: str, files: int) -> None:
     bronze.repartition(files, "asset", "event_ts").write.mode("overwrite").parquet(landing)
 
 
+def ingest_files(spark: SparkSession, landing: str, sink: str, checkpoint: str, max_files: int = 1) -> None:
+    """A5: append the landed raw files to the Bronze table.  The checkpoint
+    records which files were loaded (and the file sink's log which output
+    was committed), so a rerun loads only files it has not seen."""
+    (spark.readStream.schema(S.BRONZE).option("maxFilesPerTrigger", max_files).parquet(landing)
+        .writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start().awaitTermination())
+
+
 def _stamp(df: DataFrame) -> DataFrame:
     """M5 audit column (excluded from every oracle-checked projection)."""
     return df.withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
