@@ -1,11 +1,71 @@
-"""Corpus pipeline: stages applied in order to ``documents``."""
+"""Corpus pipeline over ``documents``: toxicity, line dedup, near-duplicate
+removal, benchmark decontamination, byte-level BPE.
 
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
+as Parquet and reread as the next stage's ``docs``; all but the last return the
+columns of documents (``n_chars`` follows the text).  Nulls, empty tables,
+repeated rows and extra columns are handled as the operators' docstrings say.
+The result has one row per kept document: doc_id, n_tokens, ids_sha256 (of the
+decimal ids joined by commas) and decoded_sha256 (of the decoded bytes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millstone.llm import bpe, decontam, lines, minhash, subwords
+from millstone.llm.common import staged, table
+
+#: a stage needs SQL that DuckDB lacks (trained model, similarity classes)
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def _with_chars(docs: DataFrame) -> DataFrame:
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model of operator 8 does not reject."""
+    scored = subwords.score_texts(docs, subwords.train_toxicity(docs, table(spark, sf_dir, "labels")))
+    return scored.where(F.col("_score") < subwords.CUT).drop("_score")
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later copies of three-line windows (operator 9)."""
+    return _with_chars(lines.dedup_lines(docs).drop("_lines_total", "_lines_removed"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class (operator 6)."""
+    return minhash.keep_one_per_class(docs)
+
+
+def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the benchmark's windows (operator 2)."""
+    return _with_chars(decontam.remove_spans(decontam.find_contamination(docs, table(spark, sf_dir, "benchmark"))))
+
+
+def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids and the text decoded from them (operator 5), as digests."""
+    path, pattern = bpe.multi_50k()
+    d = bpe.decode(bpe.encode(docs, path, pattern), path)
+    return d.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_benchmark_text),
+    ("bpe", encode_and_decode),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
