@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millstone.llm.common import table
-from millstone.llm.subwords import _sigmoid, fold, labelled_sample
+from millstone.llm.subwords import _sigmoid, fold, labelled_sample, logistic
 
-PIECE = 2048
+PIECE = 1024
 DICT_BYTES = 1 << 16
 LEVEL = 3
 TRAIN_PER_CLASS = 1500
@@ -55,7 +55,7 @@ def build_dictionary(texts: list[bytes], size: int = DICT_BYTES) -> bytes:
     """Dictionary of a class; too little text is its own dictionary."""
     samples = [p for t in texts for p in _pieces(t) if len(p) >= 8]
     try:
-        return zstandard.train_dictionary(size, samples, k=512, d=8).as_bytes()
+        return zstandard.train_dictionary(size, samples, k=200, d=6).as_bytes()
     except zstandard.ZstdError:
         return b"".join(samples)[-size:]
 
@@ -85,21 +85,6 @@ def _design(x: np.ndarray, mean: np.ndarray, sd: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(z)), z, z ** 2, z[:, 0] * z[:, 1]])
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.1) -> np.ndarray:
-    b = np.zeros(x.shape[1])
-    keep = np.full(x.shape[1], ridge)
-    keep[0] = 1e-6
-    for _ in range(100):
-        p = _sigmoid(x @ b)
-        grad = x.T @ (weight * (p - y)) + keep * b
-        hess = (x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(keep)
-        step = np.linalg.solve(hess, grad)
-        b -= step
-        if np.abs(step).max() < 1e-8:
-            break
-    return b
-
-
 def fit_quality(texts: list[str], y: np.ndarray, share: float) -> QualityModel:
     y = np.asarray(y)
     if len(set(y.tolist())) < 2:
@@ -111,7 +96,7 @@ def fit_quality(texts: list[str], y: np.ndarray, share: float) -> QualityModel:
     x, yb = np.array([c.features(raw[i]) for i in np.flatnonzero(back)]), y[back]
     weight = np.where(yb == 1, share / max(yb.mean(), 1e-9), (1 - share) / max(1 - yb.mean(), 1e-9))
     mean, sd = x.mean(0), x.std(0) + 1e-9
-    return QualityModel(good, bad, mean, sd, _logistic(_design(x, mean, sd), yb, weight))
+    return QualityModel(good, bad, mean, sd, logistic(_design(x, mean, sd), yb, weight, 0.1))
 
 
 def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
