@@ -38,7 +38,7 @@ NGRAMS = (3, 4, 5)
 BUCKETS = 1 << 18
 DIM = 6
 WINDOW = 1
-TRAIN_PER_CLASS = 1500
+TRAIN_PER_CLASS = 1000
 CUT = 0.3
 SEED = 7
 #: n-grams of fewer training texts keep a zero vector; ridge of the vectors;
@@ -63,8 +63,15 @@ def fold(id_col: str, parts: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % parts
 
 
-def word_ngrams(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_ngrams(low: np.ndarray, start: np.ndarray, end: np.ndarray, step: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
     """(buckets of all n-grams, offsets by word) of words low[start:end]."""
+    parts = [_ngrams(low, start[i: i + step], end[i: i + step]) for i in range(0, len(start), step)]
+    if not parts:
+        return np.zeros(0, np.int32), np.zeros(1, np.int64)
+    return np.concatenate([b for b, _ in parts]), np.concatenate([[0], np.cumsum(np.concatenate([c for _, c in parts]))])
+
+
+def _ngrams(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     size = end - start + 2
     edge = np.concatenate([[0], np.cumsum(size)])
     word = np.repeat(np.arange(len(size)), size)
@@ -83,7 +90,7 @@ def word_ngrams(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
             parts.append((word[ok], (mix(h[ok]) & np.uint64(BUCKETS - 1)).astype(np.int32)))
             counts += np.maximum(size - k, 0)
     order = np.argsort(np.concatenate([w for w, _ in parts]), kind="stable")
-    return np.concatenate([b for _, b in parts])[order], np.concatenate([[0], np.cumsum(counts)])
+    return np.concatenate([b for _, b in parts])[order], counts
 
 
 def word_scores(table: np.ndarray, w: Words) -> np.ndarray:
@@ -147,7 +154,8 @@ class _Trainer:
     """Joint training of n-gram vectors and softmax on bags of words."""
 
     def __init__(self, ngrams: np.ndarray, edge: np.ndarray, trusted: np.ndarray):
-        self.used, self.ngrams = np.unique(ngrams, return_inverse=True)
+        self.used = np.flatnonzero(np.bincount(ngrams, minlength=BUCKETS))
+        self.ngrams = np.searchsorted(self.used, ngrams).astype(np.int32)
         self.edge = edge
         self.trusted = trusted[self.used].astype(np.float32)[:, None]
         rng = np.random.default_rng(SEED)
@@ -168,11 +176,14 @@ class _Trainer:
     def fit(self, bag: np.ndarray, word: np.ndarray, y: np.ndarray, steps: int, rate: float = 0.05) -> None:
         """Example i holds the words word[bag == i]."""
         kinds, at = np.unique(word, return_inverse=True)
-        idx = np.concatenate([np.arange(self.edge[k], self.edge[k + 1]) for k in kinds])
-        g = self.ngrams[idx]
         per = np.diff(self.edge)[kinds]
-        owner = np.repeat(np.arange(len(kinds)), per)
-        start = np.concatenate([[0], np.cumsum(per)[:-1]])
+        runs = []  # (first kind, end kind, n-grams, their kinds, starts) of stretches of kinds
+        for a in range(0, len(kinds), 1 << 14):
+            k = kinds[a: a + (1 << 14)]
+            size = per[a: a + len(k)]
+            start = np.cumsum(size) - size
+            idx = np.arange(int(size.sum())) + np.repeat(self.edge[k] - start, size)
+            runs.append((a, a + len(k), self.ngrams[idx], np.repeat(np.arange(len(k), dtype=np.int32), size), start))
         n = len(y)
         # bags as (example, kind, share) entries
         key, count = np.unique(bag.astype(np.int64) * len(kinds) + at, return_counts=True)
@@ -181,7 +192,7 @@ class _Trainer:
         balance = np.where(y == 1, n / (2 * max(y.sum(), 1)), n / (2 * max(n - y.sum(), 1)))
         onehot = np.stack([1 - y, y], 1)
         for _ in range(steps):
-            v = np.add.reduceat(self.e[g], start, axis=0) / per[:, None]
+            v = np.concatenate([np.add.reduceat(self.e[g], start, axis=0) for _, _, g, _, start in runs]) / per[:, None]
             doc = np.stack([np.bincount(ex, share * v[kind, d], n) for d in range(DIM)], 1)
             z = doc @ self.w + self.b
             p = np.exp(z - z.max(1, keepdims=True))
@@ -189,7 +200,10 @@ class _Trainer:
             dz = (p - onehot) * balance[:, None] / n
             dv = dz @ self.w.T
             dk = np.stack([np.bincount(kind, share * dv[ex, d], len(kinds)) for d in range(DIM)], 1) / per[:, None]
-            de = np.stack([np.bincount(g, dk[owner, d], len(self.e)) for d in range(DIM)], 1)
+            de = np.zeros_like(self.e)
+            for a, z, g, owner, _ in runs:
+                for d in range(DIM):
+                    de[:, d] += np.bincount(g, dk[a:z, d][owner], len(self.e))
             self._step([de * self.trusted + DECAY * self.e / n, doc.T @ dz, dz.sum(0)], rate)
 
     def _step(self, grads, rate):
@@ -215,7 +229,7 @@ def fit_model(texts: list[str], y: np.ndarray, share: float) -> Model:
         return Model(np.zeros(1, np.float32), 0, 0, 0, constant=share)
     words, base = [], 0
     low, starts, ends, docs, hashes = [], [], [], [], []
-    for a, b, data, off in slices(pa.array(texts, pa.large_string()), 1 << 62):
+    for a, b, data, off in slices(pa.array(texts, pa.large_string())):
         w = cut_words(data, off)
         words.append(w)
         low.append(w.low), starts.append(w.start + base), ends.append(w.end + base)
