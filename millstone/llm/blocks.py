@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-#: characters of text in a block, about
-BLOCK_CHARS = 16 << 20
+#: bytes of text in a block, about
+BLOCK_BYTES = 8 << 20
 
 
 def join_parts(parts: list[bytes], level: int = 3) -> tuple[bytes, bytes]:
@@ -34,7 +34,7 @@ def split_parts(blob: bytes, sizes: bytes) -> list[bytes]:
     return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
 
 
-def row_blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_CHARS) -> Iterator[tuple[str, list, list[bytes], bytes, bytes]]:
+def row_blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[tuple[str, list, list[bytes], bytes, bytes]]:
     """(name, ids, texts, packed texts, packed sizes) of each block."""
     ids: list = []
     texts: list[bytes] = []
@@ -59,7 +59,7 @@ def row_blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_CHARS) -> I
         yield block()
 
 
-def kept_texts(src: DataFrame, limit: int = BLOCK_CHARS) -> DataFrame:
+def kept_texts(src: DataFrame, limit: int = BLOCK_BYTES) -> DataFrame:
     """(block, ids, blob, sizes): the packed texts of (i, t) rows, one row per
     block."""
     arrow_id, kind = to_arrow_type(src.schema["i"].dataType), src.schema["i"].dataType.simpleString()

@@ -50,11 +50,11 @@ def _char_class() -> np.ndarray:
     """Class of every code point, by the pattern's own character classes."""
     import regex
 
-    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    text = "".join(map(chr, points))
     out = np.full(0x110000, OTHER, np.uint8)
-    for cls, pat in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\p{White_Space}")):
-        out[[ord(c) for c in regex.findall(pat, text)]] = cls
+    for first in range(0, 0x110000, 1 << 14):
+        text = "".join(chr(c) for c in range(first, first + (1 << 14)) if not 0xD800 <= c < 0xE000)
+        for cls, pat in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\p{White_Space}")):
+            out[[ord(c) for c in regex.findall(pat, text)]] = cls
     return out
 
 
@@ -124,7 +124,8 @@ class Block:
     """The words of some texts: distinct ones in order of their hash, and for
     each text the numbers of its words."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], spell: bool = False):
+        """``spell``: keep what ``words`` needs."""
         hashes, self.count, where = [], [], []
         k = 0
         while k < len(texts):
@@ -140,8 +141,9 @@ class Block:
             h = span_hashes(chars, start, end) if len(chars) else np.zeros(0, np.uint64)
             self.count.append(np.diff(np.searchsorted(start, np.concatenate([[0], edges]))))
             hashes.append(h)
-            _, one = np.unique(h, return_index=True)
-            where.append((h[one], whole, start[one], end[one]))
+            if spell:
+                _, one = np.unique(h, return_index=True)
+                where.append((h[one], whole, start[one], end[one]))
         h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         self.hash, self.inv = np.unique(h, return_inverse=True)
         self.inv = self.inv.astype(np.int32)
@@ -172,7 +174,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 
     def explode_words(batches):
         for name, _, texts, _, _ in row_blocks(batches):
-            block = Block([t.decode() for t in texts])
+            block = Block([t.decode() for t in texts], spell=True)
             words = block.words()
             rows = [(c, *join_parts([words[i] for i in at])) for c, at in enumerate(block.cells(cells)) if len(at)]
             yield from cell_batches(name, rows, packed)
