@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,20 @@ def row_key(*cols) -> list:
     return [F.xxhash64(*cols).alias("rk1"), F.xxhash64(F.lit("~"), *cols).alias("rk2")]
 
 
+def union_pairs(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Joins the sets of i[k] and j[k]; ``root`` names every member's set by
+    its smallest member, before and after."""
+    while True:
+        a, b = root[i], root[j]
+        if (a == b).all():
+            return
+        low = np.minimum(a, b)
+        np.minimum.at(root, a, low)
+        np.minimum.at(root, b, low)
+        while (root[root] != root).any():
+            root[:] = root[root]
+
+
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(u, v) links -> (id, component): the smallest id each id can reach.
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millstone.llm.common import connected_components, staged, table
+from millstone.llm.common import connected_components, staged, table, union_pairs
 
 THRESHOLD = 0.95
 BLOCK_ROWS = 2048
@@ -103,15 +103,7 @@ def _tile(axes: np.ndarray, threshold: float):
             i, j = rows[i], cols[j]
             np.add.at(links, i, n[j])
             np.add.at(links, j, n[i])
-            while True:  # hook the larger root to the smaller until all agree
-                a, b = root[i], root[j]
-                if (a == b).all():
-                    break
-                low = np.minimum(a, b)
-                np.minimum.at(root, a, low)
-                np.minimum.at(root, b, low)
-                while (root[root] != root).any():
-                    root = root[root]
+            union_pairs(root, i, j)
         hit = np.flatnonzero(links)
         ids = t.column("id").combine_chunks()
         return pa.table({"id": ids.take(pa.array(hit)), "links": pa.array(links[hit]),

@@ -8,13 +8,16 @@ agree in a register with the probability Jaccard similarity of their shingles,
 which for equal weights is the Jaccard similarity of the sets.
 
 Banding: b bands of r registers; equal band keys make a bucket.  Each member of
-a bucket is compared with the bucket's smallest member; what these links leave
-in different components is compared in tiles of at most ``TILE`` members, so a
-huge bucket neither lands in one task nor emits all its pairs.  A pair whose
-registers agree in too few places for the threshold is dropped (``SLACK``
-standard deviations below), the rest is verified exactly: the Jaccard
-similarity of the sets of 64-bit shingle hashes must reach the threshold.
-Classes are the connected components of verified links.
+a bucket is compared with the bucket's smallest member.  Members that these
+links leave in different components are compared by their registers in tiles
+of at most ``TILE`` a side; texts that look alike there (a spanning forest per
+tile, never the pairs) make clusters, whose members meet with their shingles in
+tiles again, where every pair between components is verified and one link for
+each join of components comes out.  So a huge bucket neither lands in one task
+nor emits its pairs.  A pair is dropped when its registers agree in too few
+places for the threshold (``SLACK`` standard deviations below), the rest is
+verified exactly: the Jaccard similarity of the sets of 64-bit shingle hashes
+must reach the threshold.  Classes are the connected components of the links.
 
 Defined cases: NULL, empty and word-less texts are a class of their own each;
 a text of one to four words is one shingle; rows with equal texts share a
@@ -33,14 +36,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millstone.llm.common import connected_components, staged, table
+from millstone.llm.common import connected_components, staged, table, union_pairs
 from millstone.llm.tokens import Words, cut_words, mix, slices
 
 SHINGLE = 5
 BANDS, ROWS = 24, 5
 THRESHOLD = (4, 5)
 SLACK = 5.5
-TILE = 1024
+TILE = 512
 
 _MULT = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 
@@ -154,23 +157,25 @@ def _shingle_sets(batches):
 
 def _similar(pairs: DataFrame, nodes: DataFrame, bands: int, rows: int, threshold: tuple[int, int]) -> DataFrame:
     """Pairs (u, v) whose sizes and registers allow the threshold."""
-    m, p = bands * rows, threshold[0] / threshold[1]
-    least = math.ceil(m * p - SLACK * math.sqrt(m * p * (1 - p)))
     a = nodes.select(F.col("id").alias("u"), F.col("size").alias("su"), F.col("reg").alias("ru"))
     b = nodes.select(F.col("id").alias("v"), F.col("size").alias("sv"), F.col("reg").alias("rv"))
     both = pairs.join(a, "u").join(b, "v").where(
         (F.least("su", "sv") + 2) * threshold[1] >= F.greatest("su", "sv") * threshold[0])
     same = F.size(F.filter(F.zip_with("ru", "rv", lambda x, y: x == y), lambda x: x))
-    return both.where(same >= least).select("u", "v")
+    return both.where(same >= _least(bands, rows, threshold)).select("u", "v")
 
 
-def _verified(pairs: DataFrame, src: DataFrame, nodes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs whose shingle sets reach the threshold."""
-    ids = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
+def _shingle_table(ids: DataFrame, src: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(id, set): sorted distinct 64-bit shingle hashes of some texts."""
     want = nodes.join(ids, "id").select("id", F.col("id.doc").alias("doc"), "h1", "h2")
     texts = src.join(want, [src.h1 == want.h1, src.h2 == want.h2, src.doc.eqNullSafe(want.doc)]).select("id", "t")
-    sets = staged(texts.dropDuplicates(["id"]).mapInArrow(
+    return staged(texts.dropDuplicates(["id"]).mapInArrow(
         _shingle_sets, texts.select("id").schema.add("set", T.ArrayType(T.LongType()))), "minhash-sets")
+
+
+def _verified(pairs: DataFrame, src: DataFrame, nodes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs whose shingle sets reach the threshold."""
+    sets = _shingle_table(pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct(), src, nodes)
     a = sets.select(F.col("id").alias("u"), F.col("set").alias("su"))
     b = sets.select(F.col("id").alias("v"), F.col("set").alias("sv"))
     j = pairs.join(a, "u").join(b, "v").withColumn("both", F.size(F.array_intersect("su", "sv")))
@@ -178,23 +183,75 @@ def _verified(pairs: DataFrame, src: DataFrame, nodes: DataFrame, threshold: tup
     return j.select("u", "v")
 
 
-def _tile_pairs(least: int):
-    """Pairs of different components in a bucket's tile with enough equal
-    registers.  Rows: key, ti, tj, side (0: row block, 1: column block), id,
-    component number, registers."""
+def _least(bands: int, rows: int, threshold: tuple[int, int]) -> int:
+    """Equal registers that a pair at the threshold has almost surely."""
+    m, p = bands * rows, threshold[0] / threshold[1]
+    return math.ceil(m * p - SLACK * math.sqrt(m * p * (1 - p)))
+
+
+def _tiled(members: DataFrame, group: str, size: str) -> DataFrame:
+    """Members of a group dealt to the tiles (ti, tj) of a grid of at most
+    ``TILE`` members a side: once to a row of tiles (side 0), once to a column
+    (side 1).  Any two members meet in a tile; ``rank`` orders them."""
+    m = members.withColumn("rank", F.xxhash64("id")).withColumn("n", F.ceil(F.col(size) / TILE).cast("int"))
+    m = m.withColumn("own", F.pmod(F.col("rank"), F.col("n")).cast("int"))
+    grid = F.expr("""concat(transform(sequence(0, n - 1), x -> struct(own AS ti, cast(x AS int) AS tj, 0 AS side)),
+                            transform(sequence(0, n - 1), x -> struct(cast(x AS int) AS ti, own AS tj, 1 AS side)))""")
+    keep = [c for c in members.columns if c not in (group, size)]
+    return m.withColumn("g", F.explode(grid)).select(group, "g.ti", "g.tj", "g.side", "rank", *keep)
+
+
+def _registers(t: pa.Table) -> np.ndarray:
+    return t.column("reg").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
+
+
+def _alike(least: int):
+    """A tile's pairs of different components with enough equal registers, as
+    a spanning forest: no more links than members."""
     def run(t: pa.Table) -> pa.Table:
-        side = t.column("side").to_numpy()
-        comp = t.column("comp").to_numpy()
-        reg = t.column("reg").combine_chunks().flatten().to_numpy().reshape(len(side), -1)
-        rank = t.column("rank").to_numpy()
-        i, j = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        us, vs = [], []
-        for a in i:
-            ok = j[(comp[j] != comp[a]) & (rank[j] > rank[a])]
+        side, comp, rank = (t.column(c).to_numpy() for c in ("side", "comp", "rank"))
+        reg = _registers(t)
+        _, first, node = np.unique(rank, return_index=True, return_inverse=True)
+        root = np.arange(len(first))
+        cols = np.flatnonzero(side == 1)
+        for a in np.flatnonzero(side == 0):
+            ok = cols[(comp[cols] != comp[a]) & (rank[cols] > rank[a])]
+            ok = ok[(reg[ok] == reg[a]).sum(axis=1) >= least]
             if len(ok):
-                ok = ok[(reg[ok] == reg[a]).sum(axis=1) >= least]
-                us += [a] * len(ok)
-                vs += ok.tolist()
+                union_pairs(root, np.full(len(ok), node[a]), node[ok])
+        at = np.flatnonzero(root != np.arange(len(root)))
+        ids = t.column("id").combine_chunks()
+        return pa.table({"u": ids.take(pa.array(first[root[at]])), "v": ids.take(pa.array(first[at]))})
+    return run
+
+
+def _proven(least: int, threshold: tuple[int, int]):
+    """A tile's verified links between components, one for each that they join."""
+    def run(t: pa.Table) -> pa.Table:
+        side, rank = (t.column(c).to_numpy() for c in ("side", "rank"))
+        reg = _registers(t)
+        _, comp = np.unique(t.column("comp").to_numpy(), return_inverse=True)
+        root = np.arange(comp.max() + 1)
+        sets = t.column("set").combine_chunks()
+        flat, edge = sets.values.to_numpy(), sets.offsets.to_numpy().astype(np.int64)
+        size = np.diff(edge)
+        cols, us, vs = np.flatnonzero(side == 1), [], []
+        for a in np.flatnonzero(side == 0):
+            ok = cols[(root[comp[cols]] != root[comp[a]]) & (rank[cols] > rank[a])]
+            ok = ok[(np.minimum(size[ok], size[a]) * threshold[1] >= np.maximum(size[ok], size[a]) * threshold[0])]
+            ok = ok[(reg[ok] == reg[a]).sum(axis=1) >= least]
+            if not len(ok):
+                continue
+            own = flat[edge[a]: edge[a + 1]]
+            n = size[ok]
+            idx = np.arange(int(n.sum())) + np.repeat(edge[ok] - (np.cumsum(n) - n), n)
+            at = np.minimum(np.searchsorted(own, flat[idx]), len(own) - 1)
+            both = np.add.reduceat((own[at] == flat[idx]).astype(np.int64), np.cumsum(n) - n)
+            ok = ok[both * threshold[1] >= (n + size[a] - both) * threshold[0]]
+            _, one = np.unique(root[comp[ok]], return_index=True)
+            us += [a] * len(one)
+            vs += ok[one].tolist()
+            union_pairs(root, np.full(len(one), comp[a]), comp[ok[one]])
         ids = t.column("id").combine_chunks()
         return pa.table({"u": ids.take(pa.array(us, pa.int64())), "v": ids.take(pa.array(vs, pa.int64()))})
     return run
@@ -227,23 +284,24 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
                                            F.count("*").alias("k")).where("lo <> hi").select("key", "k"))
     rest = staged(placed.join(open_keys, "key").select("key", "k", "id", "component"), "minhash-open")
     if not rest.isEmpty():
-        m, p = bands * rows, threshold[0] / threshold[1]
-        least = math.ceil(m * p - SLACK * math.sqrt(m * p * (1 - p)))
-        tiles = F.ceil(F.col("k") / TILE).cast("int")
-        r = rest.join(nodes.select("id", "reg"), "id").select(
-            "key", "id", F.xxhash64("component").alias("comp"), "reg",
-            F.xxhash64("id").alias("rank"), tiles.alias("n"))
-        r = r.withColumn("own", F.pmod("rank", F.col("n")).cast("int"))
-        grid = F.expr("""concat(transform(sequence(0, n - 1), x -> struct(own AS ti, cast(x AS int) AS tj, 0 AS side)),
-                                transform(sequence(0, n - 1), x -> struct(cast(x AS int) AS ti, own AS tj, 1 AS side)))""")
-        r = r.withColumn("g", F.explode(grid)).select("key", "g.ti", "g.tj", "g.side", "id", "comp", "reg", "rank")
-        more = r.groupBy("key", "ti", "tj").applyInArrow(
-            _tile_pairs(least), r.select(F.col("id").alias("u"), F.col("id").alias("v")).schema)
-        more = more.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        more = staged(_similar(more, nodes, bands, rows, threshold), "minhash-more")
-        if not more.isEmpty():
-            links = links.union(_verified(more, src, nodes, threshold))
-            comps = connected_components(links, "minhash-all")
+        least = _least(bands, rows, threshold)
+        own = rest.join(nodes.select("id", "reg"), "id").select(
+            "key", "k", "id", F.xxhash64("component").alias("comp"), "reg")
+        pair = own.select(F.col("id").alias("u"), F.col("id").alias("v")).schema
+        alike = staged(_tiled(own, "key", "k").groupBy("key", "ti", "tj").applyInArrow(_alike(least), pair)
+                       .distinct(), "minhash-alike")
+        if not alike.isEmpty():
+            clusters = connected_components(alike, "minhash-clusters")
+            sizes = clusters.groupBy("component").agg(F.count("*").alias("k"))
+            own = (clusters.join(sizes, "component").withColumnRenamed("component", "cluster")
+                   .join(nodes.select("id", "reg"), "id").join(comps, "id", "left")
+                   .join(_shingle_table(clusters.select("id"), src, nodes), "id")
+                   .select(F.xxhash64("cluster").alias("cluster"), "k", "id",
+                           F.xxhash64(F.coalesce("component", "id")).alias("comp"), "reg", "set"))
+            more = staged(_tiled(own, "cluster", "k").groupBy("cluster", "ti", "tj")
+                          .applyInArrow(_proven(least, threshold), pair), "minhash-more")
+            if not more.isEmpty():
+                comps = connected_components(links.union(more), "minhash-all")
 
     classes = nodes.select("h1", "h2", "id").join(comps, "id", "left").select(
         "h1", "h2", F.coalesce("component", "id").alias("class"))
