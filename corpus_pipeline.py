@@ -51,7 +51,7 @@ def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and the text decoded from them (operator 5), as digests."""
     path, pattern = bpe.multi_50k()
-    d = bpe.decode(bpe.encode(docs, path, pattern), path)
+    d = bpe.encode(docs, path, pattern, digest=True)
     return d.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
 
 

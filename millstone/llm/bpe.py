@@ -38,8 +38,9 @@ from millstone.llm.blocks import cell_batches, cell_split, join_parts, kept_text
 from millstone.llm.common import table
 from millstone.llm.tokens import mix, span_hashes
 
-#: characters in one array operation, about
-SLICE_CHARS = 1 << 20
+#: bytes of text in a block and characters in one array operation, about
+BLOCK_BYTES = 4 << 20
+SLICE_CHARS = 1 << 18
 
 LETTER, NUMBER, SPACE, OTHER = range(4)
 CONTRACTIONS = ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d"]
@@ -163,9 +164,12 @@ class Block:
         return cell_split((mix(self.hash) % np.uint64(n)).astype(np.int64), n)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+           digest: bool = False) -> DataFrame:
     """(id, ids array<int>) for every row of ``docs``.  ``path`` names a rank
-    file, ``pattern`` its pre-token pattern (the one ``pre_tokens`` cuts by)."""
+    file, ``pattern`` its pre-token pattern (the one ``pre_tokens`` cuts by).
+    With ``digest`` the rows are those of ``decode`` instead, made where the
+    ids are reassembled, so that they need not travel."""
     src = source(docs, id_col, text_col)
     cells = n_cells(docs)
     arrow_id, id_field = to_arrow_type(src.schema["i"].dataType), src.schema["i"].dataType.simpleString()
@@ -173,7 +177,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     packed = [("blob", pa.binary()), ("sizes", pa.binary())]
 
     def explode_words(batches):
-        for name, _, texts, _, _ in row_blocks(batches):
+        for name, _, texts, _, _ in row_blocks(batches, BLOCK_BYTES):
             block = Block([t.decode() for t in texts], spell=True)
             words = block.words()
             rows = [(c, *join_parts([words[i] for i in at])) for c, at in enumerate(block.cells(cells)) if len(at)]
@@ -196,9 +200,10 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
                                               pa.array(y, pa.binary())], names=["block", "cell", "blob", "sizes"])
 
     def reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        by_id, enc = token_bytes(path), _encoding(path, pattern)
+        by_id = token_bytes(path)
         flat_ids: list = []
-        flat_rows: list[np.ndarray] = []
+        found: list[np.ndarray] = []
+        decoded: list[bytes] = []
         answers = list(zip(*(right.column(k).to_pylist() for k in ("cell", "blob", "sizes"))))
         for ids, blob, sizes in zip(*(left.column(c).to_pylist() for c in ("ids", "blob", "sizes"))):
             raw = split_parts(blob, sizes)
@@ -212,18 +217,33 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
             for text, k in zip(raw, block.count.tolist()):
                 row = np.frombuffer(b"".join([of_word[i] for i in block.inv[at: at + k].tolist()]), np.uint32)
                 at += k
-                if b"".join([by_id[i] for i in row.tolist()]) != text:
-                    row = np.array(enc.encode_ordinary(text.decode()), np.uint32)
-                flat_rows.append(row)
+                back = b"".join([by_id[i] for i in row.tolist()])
+                if back != text:
+                    row = np.array(_encoding(path, pattern).encode_ordinary(text.decode()), np.uint32)
+                    back = b"".join([by_id[i] for i in row.tolist()])
+                found.append(row)
+                decoded.append(back if digest else b"")
             flat_ids += ids
-        ends = np.cumsum([0, *map(len, flat_rows)]).astype(np.int32)
-        values = np.concatenate(flat_rows).astype(np.int32) if flat_rows else np.zeros(0, np.int32)
+        if digest:
+            return pa.table({id_col: pa.array(flat_ids, arrow_id), "n_tokens": pa.array(map(len, found), pa.int64()),
+                             "ids_sha256": pa.array([_digest(r.tolist()) for r in found], pa.string()),
+                             "text": pa.array(decoded, pa.binary())})
+        ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+        values = np.concatenate(found).astype(np.int32) if found else np.zeros(0, np.int32)
         return pa.table({id_col: pa.array(flat_ids, arrow_id),
                          "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(values))})
 
     words = src.mapInArrow(explode_words, schema).repartition("cell").mapInArrow(encode_words, schema)
-    return (kept_texts(src).groupBy("block").cogroup(words.groupBy("block"))
-            .applyInArrow(reassemble, f"`{id_col}` {id_field}, ids array<int>"))
+    columns = DECODED if digest else "ids array<int>"
+    return (kept_texts(src, BLOCK_BYTES).groupBy("block").cogroup(words.groupBy("block"))
+            .applyInArrow(reassemble, f"`{id_col}` {id_field}, {columns}"))
+
+
+DECODED = "n_tokens long, ids_sha256 string, text binary"
+
+
+def _digest(ids: list[int]) -> str:
+    return hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
@@ -233,20 +253,19 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
 
     def look_up(batches):
         by_id = token_bytes(path)
-        decimal = {i: str(i).encode() for i in by_id}
         for b in batches:
             n, digest, raw = [], [], []
             for ids in b.column(1):
                 ids = ids.values.to_numpy().tolist() if ids.is_valid else []
                 n.append(len(ids))
-                digest.append(hashlib.sha256(b",".join([decimal[i] for i in ids])).hexdigest())
+                digest.append(_digest(ids))
                 raw.append(b"".join([by_id[i] for i in ids]))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.string()), pa.array(raw, pa.binary())],
                 names=[id_col, "n_tokens", "ids_sha256", "text"])
 
     return encoded.select(id_col, "ids").mapInArrow(
-        look_up, f"`{id_col}` {id_field}, n_tokens long, ids_sha256 string, text binary")
+        look_up, f"`{id_col}` {id_field}, {DECODED}")
 
 
 def multi_50k() -> tuple[str, str]:
@@ -258,5 +277,5 @@ def multi_50k() -> tuple[str, str]:
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = multi_50k()
-    d = decode(encode(table(spark, sf_dir, "documents"), path, pattern), path)
+    d = encode(table(spark, sf_dir, "documents"), path, pattern, digest=True)
     return d.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
