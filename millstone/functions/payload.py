@@ -29,9 +29,9 @@ def json_int(x) -> Column:
 
 
 def key_present(payload, key: str) -> Column:
-    """True when the top-level key occurs in the text, even with a JSON
-    ``null`` value (an explicit null counts as present)."""
-    return F.instr(_c(payload), f'"{key}"') > 0
+    """True when the text is an object with this top-level key, even with a
+    JSON ``null`` value (an explicit null counts as present)."""
+    return F.coalesce(F.array_contains(F.json_object_keys(_c(payload)), key), F.lit(False))
 
 
 def key_count(payload) -> Column:

@@ -26,12 +26,6 @@ def latest_per_key(df: DataFrame, keys: list[str], order_col: str = "ingested_ts
     return out.drop(tiebreak) if tiebreak and tiebreak in df.columns else out
 
 
-def first_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
-    """Earliest row per key (used to emulate first-committed-wins)."""
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc_nulls_last())
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
-
-
 def batch_slot(ingested: str = "ingested_ts", fallback: str = "event_ts",
                every_us: int = 900_000_000) -> Column:
     """Micro-batch a delivery lands in: its 15-minute ingest slot.  A delivery

@@ -10,6 +10,7 @@ covers), so the target read is partition-pruned.
   already in the touched partitions, then append.  Re-running the same
   batch (after a crash before the stream checkpoint advanced) finds its rows
   and appends nothing, so the write is idempotent.
+  A NULL key matches a NULL key, a NULL partition value is a partition.
 * ``upsert`` — the batch wins: merged touched partitions are written to a
   staging folder below the shared checkpoint dir, then published with
   dynamic partition overwrite (a path is never overwritten while it is
@@ -41,8 +42,25 @@ def touched_values(src: DataFrame, partition_col: str) -> list:
     return [r[0] for r in src.select(partition_col).distinct().collect()]
 
 
+def utc_now():
+    """UTC wall clock as NTZ, whatever the session zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
+
+
 def _stamp(df: DataFrame) -> DataFrame:
-    return df.withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
+    return df.withColumn("loaded_at", utc_now())
+
+
+def _in_partitions(partition_col: str, values: list):
+    """Rows of these partitions; a NULL value is a partition of its own."""
+    known = [v for v in values if v is not None]
+    cond = F.col(partition_col).isin(known) if known else F.lit(False)
+    return cond | F.col(partition_col).isNull() if len(known) < len(values) else cond
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]):
@@ -61,15 +79,17 @@ def insert_only(src: DataFrame, path: str, key: str, partition_col: str,
         days = touched_values(src, partition_col)
         new = src
         if days and table_exists(spark, path):
-            existing = spark.read.parquet(path).filter(F.col(partition_col).isin(days))
+            existing = spark.read.parquet(path).filter(_in_partitions(partition_col, days))
             if range_col and range_col in src.columns:
                 # bounds travel as text and are cast back to the column's type
                 # (a Python datetime literal would be a session-zone TIMESTAMP)
                 typ = src.schema[range_col].dataType
                 lo, hi = src.agg(F.min(range_col).cast("string"), F.max(range_col).cast("string")).first()
                 if lo is not None:
-                    existing = existing.filter(F.col(range_col).between(F.lit(lo).cast(typ), F.lit(hi).cast(typ)))
-            new = src.join(existing.select(key), key, "left_anti")
+                    existing = existing.filter(F.col(range_col).between(F.lit(lo).cast(typ), F.lit(hi).cast(typ))
+                                               | F.col(range_col).isNull())
+            known = existing.select(key)
+            new = src.join(known, src[key].eqNullSafe(known[key]), "left_anti")
         new = _stamp(new).persist()
         n = new.count()
         if n:
@@ -81,6 +101,7 @@ def insert_only(src: DataFrame, path: str, key: str, partition_col: str,
 
 
 def upsert(src: DataFrame, path: str, keys: list[str], partition_col: str, batch_tag: str) -> int:
+    """Returns the rows of the batch, all of which are in the table after it."""
     spark = src.sparkSession
     src = _stamp(src).persist()
     try:
@@ -89,13 +110,15 @@ def upsert(src: DataFrame, path: str, keys: list[str], partition_col: str, batch
             return 0
         merged = src
         if table_exists(spark, path):
-            old = spark.read.parquet(path).filter(F.col(partition_col).isin(days))
+            old = spark.read.parquet(path).filter(_in_partitions(partition_col, days))
             keep = old.join(src.select(*keys), _null_safe_on(old, src.select(*keys), keys), "left_anti")
             merged = src.unionByName(keep.select(*src.columns))
         stage = scratch_path(spark, f"staging/{path.strip('/').replace('/', '_')}/{batch_tag}")
         merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-        overwrite_partitions(spark.read.parquet(stage), path, partition_col)
-        return len(days)
+        # the stage's own schema: a partition column of NULLs only has no type on disk
+        overwrite_partitions(spark.read.schema(merged.schema).parquet(stage), path, partition_col)
+        _remove(spark, stage)
+        return src.count()
     finally:
         src.unpersist()
 

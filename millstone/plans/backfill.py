@@ -27,6 +27,10 @@ def _write(df: DataFrame, path: str, part: str = "event_date", col: str = "event
         # Gold only: a day of Gold is at most assets x 24 rows, so one task
         # per day is bounded whatever the raw volume
         out = out.repartition(part)
+    else:
+        # ranges of (day, asset, time): a day is cut into as many files as its
+        # share of the rows, not into one per task
+        out = out.repartitionByRange(part, "asset", col)
     # clustered layout (asset, time) inside each date folder: the writer
     # sorts by the partition column anyway; asset-ordered row groups let
     # per-asset reads skip by min/max statistics

@@ -116,7 +116,7 @@ def row_count_audit(p: Pipeline) -> DataFrame:
 
 def kw_by_weekday(p: Pipeline) -> DataFrame:
     """Mean active power by local day name."""
-    return p.power_events.groupBy(F.date_format(F.to_date("event_ts_local"), "EEEE").alias("day_name")).agg(
+    return p.power_events.groupBy(F.date_format(F.to_date("event_ts_local"), "EEE").alias("day_name")).agg(
         stable(F.avg("active_power_kw")).alias("avg_kw"), F.count(F.lit(1)).alias("readings"))
 
 

@@ -50,11 +50,13 @@ def build_session(master: str | None = None, app: str = "millstone",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) a fresh scratch folder is
-    created and registered.
+    Only when a local session has none (tests) a fresh scratch folder is
+    created and registered; on a cluster that is an error.
     """
     d = spark.conf.get(CHECKPOINT_CONF, None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="millstone-ckpt-", dir=os.environ.get("MILLSTONE_SCRATCH", "/tmp"))
         spark.conf.set(CHECKPOINT_CONF, d)
     spark.sparkContext.setCheckpointDir(d)

@@ -67,12 +67,10 @@ def bronze_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     discriminator prunes whole branches at plan time."""
     ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(
         "event_id", "ts", "user_id", "event_type", "value", "props")
-    # Each event fans out into 6-12 messages with JSON built per message; a
-    # single small input file would put all of that into one task.  Spread
-    # the (small) input only when its scan is coarser than the cluster.
-    par = spark.sparkContext.defaultParallelism
-    if ev.rdd.getNumPartitions() < par:
-        ev = ev.repartition(par, "event_id")
+    # Each event fans out into 6-12 messages with JSON built per message: the
+    # narrow events are dealt out first, at any size, so that the fan-out does
+    # not follow the input's file layout.
+    ev = ev.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
     parts = [_domain_rows(ev, d) for d in ("production", "vibration", "power")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 

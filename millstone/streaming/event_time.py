@@ -10,12 +10,13 @@ two hours of groups per asset, whatever the volume.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millstone import schema as S
-from millstone.operators.keyed_write import insert_only, upsert
+from millstone.operators.keyed_write import upsert
 from millstone.functions.timefn import epoch_micros
 from millstone.session import scratch_path
 from millstone.sources.bronze import bronze_from_events
@@ -23,33 +24,34 @@ from millstone.sources.bronze import bronze_from_events
 LATENESS = "1 hour"
 
 
-def land_in_time_order(bronze: DataFrame, landing: str, files: int, files_per_slice: int) -> None:
-    """Append ``files`` consecutive time slices one after another (each as
-    ``files_per_slice`` files), so file modification order follows event
-    time, as a live feed would arrive."""
-    lo_hi = bronze.agg(F.min("event_ts").alias("lo"), F.max("event_ts").alias("hi")).first()
-    lo, hi = lo_hi.lo, lo_hi.hi
-    step = (hi - lo) / files
-    for k in range(files):
-        a = lo + step * k
+def time_slices(bronze: DataFrame, slices: int) -> Iterator[DataFrame]:
+    """Consecutive event-time slices, as a live feed would deliver them."""
+    lo, hi = bronze.agg(F.min("event_ts"), F.max("event_ts")).first()
+    step = (hi - lo) / slices
+    for k in range(slices):
         # boundaries as text -> NTZ (a Python datetime literal is zone-bound)
-        cond = F.col("event_ts") >= F.lit(str(a)).cast("timestamp_ntz") if k else F.lit(True)
-        if k < files - 1:
+        cond = F.col("event_ts") >= F.lit(str(lo + step * k)).cast("timestamp_ntz") if k else F.lit(True)
+        if k < slices - 1:
             cond = cond & (F.col("event_ts") < F.lit(str(lo + step * (k + 1))).cast("timestamp_ntz"))
-        bronze.filter(cond).repartition(files_per_slice).write.mode("append").parquet(landing)
-
-
-def _slice_files(spark: SparkSession) -> int:
-    return spark.sparkContext.defaultParallelism
+        yield bronze.filter(cond)
 
 
 def _production_stream(spark: SparkSession, landing: str) -> DataFrame:
-    # one micro-batch = one time slice (its files share a modification window)
-    return (spark.readStream.schema(S.BRONZE).option("maxFilesPerTrigger", _slice_files(spark)).parquet(landing)
+    return (spark.readStream.schema(S.BRONZE).parquet(landing)
             .filter(F.col("schema_version") == S.V_PRODUCTION)
             .withColumn("event_time", F.timestamp_micros(epoch_micros("event_ts"))))
 
 
+def _run_available(writer) -> None:
+    """One run over all that has landed: one micro-batch, whatever the number
+    of its files.  Rows that came too late for the watermark are an error."""
+    q = writer.trigger(availableNow=True).start()
+    q.awaitTermination()
+    late = sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])
+    if late:
+        raise RuntimeError(f"{late} rows came behind the watermark")
+
+
 def _ntz_from_instant(c) -> "F.Column":
     """TIMESTAMP instant -> UTC wall clock as NTZ, independent of the
     session zone (through epoch micros)."""
@@ -72,9 +74,8 @@ def hourly_message_counts(spark: SparkSession, landing: str, tables: str, checkp
         rows = df.select("asset", _ntz_from_instant(F.col("window.start")).alias("hour_utc"), "messages") \
             .withColumn("hour_date", F.to_date("hour_utc"))
         upsert(rows, out, ["asset", "hour_utc"], "hour_date", f"tumble-{batch_id}")
-    (agg.writeStream.outputMode("update").foreachBatch(write)
-        .option("checkpointLocation", f"{checkpoints}/tumbling").trigger(availableNow=True).start()
-        .awaitTermination())
+    _run_available(agg.writeStream.outputMode("update").foreachBatch(write)
+                   .option("checkpointLocation", f"{checkpoints}/tumbling"))
     return out
 
 
@@ -86,29 +87,28 @@ def dedup_within_watermark(spark: SparkSession, landing: str, tables: str, check
     out = f"{tables}/unique_messages"
 
     def write(df: DataFrame, batch_id: int) -> None:
-        keys = df.select("asset", "event_ts",
-                         F.concat_ws("|", "asset", F.col("event_ts").cast("string")).alias("msg_key"),
-                         F.to_date("event_ts").alias("event_date"))
-        insert_only(keys, out, "msg_key", "event_date")
-    (d.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoints}/dedup")
-        .trigger(availableNow=True).start().awaitTermination())
+        # a batch that is run again replaces its own rows
+        df.select("asset", "event_ts").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+    _run_available(d.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoints}/dedup"))
     return out
 
 
-def _landed(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
+def _run_sliced(spark: SparkSession, sf_dir: str, run, slices: int = 4) -> str:
+    """Lands slice after slice and runs the query over each: a batch is a
+    slice by construction, whatever the parallelism of either side."""
     root = scratch_path(spark, f"stream-et/{uuid.uuid4().hex}")
-    land_in_time_order(bronze_from_events(spark, sf_dir).filter(F.col("schema_version") == S.V_PRODUCTION),
-                       f"{root}/landing", files, _slice_files(spark))
-    return root
+    raw = bronze_from_events(spark, sf_dir).filter(F.col("schema_version") == S.V_PRODUCTION)
+    for part in time_slices(raw, slices):
+        part.write.mode("append").parquet(f"{root}/landing")
+        out = run(spark, f"{root}/landing", f"{root}/tables", f"{root}/checkpoints")
+    return out
 
 
 def stream_hourly_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _landed(spark, sf_dir)
-    out = hourly_message_counts(spark, f"{root}/landing", f"{root}/tables", f"{root}/checkpoints")
+    out = _run_sliced(spark, sf_dir, hourly_message_counts)
     return spark.read.parquet(out).select("asset", "hour_utc", "messages")
 
 
 def stream_dedup_within_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _landed(spark, sf_dir)
-    out = dedup_within_watermark(spark, f"{root}/landing", f"{root}/tables", f"{root}/checkpoints")
+    out = _run_sliced(spark, sf_dir, dedup_within_watermark)
     return spark.read.parquet(out).select("asset", "event_ts")

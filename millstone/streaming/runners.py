@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millstone import schema as S
-from millstone.operators.keyed_write import insert_only, overwrite_partitions, table_exists, touched_values, upsert
+from millstone.operators.keyed_write import (
+    insert_only, overwrite_partitions, table_exists, touched_values, upsert, utc_now)
 from millstone.plans import gold, silver
 from millstone.session import scratch_path
 from millstone.sources import refdata
@@ -56,7 +57,7 @@ def ingest_files(spark: SparkSession, landing: str, sink: str, checkpoint: str,
 
 def _stamp(df: DataFrame) -> DataFrame:
     """M5 audit column (excluded from every oracle-checked projection)."""
-    return df.withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
+    return df.withColumn("loaded_at", utc_now())
 
 
 def _with_part(df: DataFrame) -> DataFrame:

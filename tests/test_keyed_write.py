@@ -89,3 +89,20 @@ def test_merge_closed_form_equals_replayed_batches(spark, tmp_path):
     assert pairs(spark.read.parquet(ups)) == pairs(merged_per_key(df, ["event_id"], False, tiebreak=None))
     # the two rules really differ on this input
     assert pairs(spark.read.parquet(ins)) != pairs(spark.read.parquet(ups))
+
+
+def test_null_key_and_null_date(spark, scratch):
+    """NULL partitions are merged like days, NULL keys are found on replay."""
+    rows = [("a", 1, None), (None, 2, None), ("c", 3, date(2024, 1, 1))]
+    b1 = spark.createDataFrame(rows, SCHEMA)
+    b2 = spark.createDataFrame([("b", 4, None), ("c", 5, date(2024, 1, 1))], SCHEMA)
+    path = f"{scratch}/null-insert"
+    assert insert_only(b1, path, "event_id", "event_date") == 3
+    assert insert_only(b1, path, "event_id", "event_date") == 0
+    path = f"{scratch}/null-upsert"
+    assert upsert(b1, path, ["event_id"], "event_date", "n1") == 3
+    assert upsert(b2, path, ["event_id"], "event_date", "n2") == 2
+    got = {(r.event_id, r.v) for r in spark.read.parquet(path).collect()}
+    assert got == {("a", 1), (None, 2), ("b", 4), ("c", 5)}
+    only = spark.createDataFrame([("d", 6, None)], SCHEMA)
+    assert upsert(only, f"{scratch}/null-only", ["event_id"], "event_date", "n3") == 1
