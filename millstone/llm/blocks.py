@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from millstone.llm.tokens import release
+
 #: bytes of text in a block, about
 BLOCK_BYTES = 8 << 20
 
@@ -57,6 +59,7 @@ def row_blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> I
                 ids, texts, held = [], [], 0
     if ids:
         yield block()
+    release()
 
 
 def kept_texts(src: DataFrame, limit: int = BLOCK_BYTES) -> DataFrame:

@@ -7,15 +7,15 @@ few array operations and no per-word Python.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 
 #: bytes of text cut at once; bounds the arrays a task holds (about 40 x this)
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"): ord("Z") + 1] += 32
@@ -52,15 +52,28 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-@cache
-def _powers(bits: int, base: int) -> np.ndarray:
-    p = np.full(1 << bits, base, np.uint64)
-    p[0] = 1
-    return np.multiply.accumulate(p)
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(n: int, base: int = _BASE) -> np.ndarray:
-    return _powers(max(16, int(n).bit_length()), base)[:n]
+    """The first n powers of ``base`` mod 2^64; the longest table is kept."""
+    p = _POWERS.get(base)
+    if p is None or len(p) < n:
+        p = np.full(max(1 << 16, n), base, np.uint64)
+        p[0] = 1
+        _POWERS[base] = p = np.multiply.accumulate(p)
+    return p[:n]
+
+
+def release() -> None:
+    """Hands freed memory back to the system: Python workers stay for later
+    tasks, beside those that run then."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # no glibc
+        pass
 
 
 def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -86,6 +99,7 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         b = max(a + 1, int(np.searchsorted(off, off[a] + limit, "right")) - 1)
         yield a, b, data[off[a]: off[b]], off[a: b + 1] - off[a]
         a = b
+    release()
 
 
 def cut_words(data: np.ndarray, offsets: np.ndarray) -> Words:
