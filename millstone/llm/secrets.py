@@ -41,6 +41,8 @@ TRAIN_TOKEN = r"[A-Za-z0-9+/_=-]{6,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 TRAIN_DOCS = 4000
 MIN_LLR = 12.0
+#: weight of the back-off, in observations
+BACKOFF = 4.0
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
@@ -88,9 +90,10 @@ def _cut(text: Column, spans: Column) -> Column:
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           sample: int = TRAIN_DOCS) -> list[float]:
     """Log-likelihood ratios (random against ordinary) of character pairs, as a
-    flat table over ``ALPHABET``.  Add-one smoothing; a pair's probability is
-    conditional on its first character.  At most 2 x len(ALPHABET)^2 counts
-    reach the driver."""
+    flat table over ``ALPHABET``: of the second character given the first,
+    backed off to how often the class has the second at all (a character that
+    a class never uses is unlikely after any).  At most 2 x len(ALPHABET)^2
+    counts reach the driver."""
     d = docs.select(F.col(id_col).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     d = d.withColumn("h", F.xxhash64("i", "t"))
     picked = d.select("h").distinct().orderBy("h").limit(sample)
@@ -103,18 +106,22 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.transform(values, lambda v: F.struct(F.lit(1).alias("y"), v.alias("v"))),
         F.transform(plain, lambda v: F.struct(F.lit(0).alias("y"), v.alias("v"))))).alias("x"))
         .groupBy("x.y", "x.v").agg(F.count("*").alias("n")).where("length(v) > 1"))
-    pairs = (tokens.select("y", F.explode(F.transform(
+    pairs = (tokens.select("y", "n", F.explode(F.transform(
         F.sequence(F.lit(1), F.length("v") - 1), lambda i: F.substr(F.col("v"), i, F.lit(2)))).alias("p"))
-        .groupBy("y", "p").agg(F.count("*").alias("n")).collect())
+        .groupBy("y", "p").agg(F.sum("n").alias("n")).collect())
     k, at = len(ALPHABET), {c: i for i, c in enumerate(ALPHABET)}
-    counts = [[[1.0] * k for _ in range(k)] for _ in range(2)]
+    if not any(r[0] for r in pairs) or all(r[0] for r in pairs):
+        return [0.0] * (k * k)
+    counts = [[[0.0] * k for _ in range(k)] for _ in range(2)]
     for y, p, n in pairs:
         if p[0] in at and p[1] in at:
             counts[y][at[p[0]]][at[p[1]]] += n
-    if not any(r[0] for r in pairs) or all(r[0] for r in pairs):
-        return [0.0] * (k * k)
-    return [math.log(counts[1][a][b] / sum(counts[1][a])) - math.log(counts[0][a][b] / sum(counts[0][a]))
-            for a in range(k) for b in range(k)]
+    logs = []
+    for c in counts:
+        seen = [sum(row[b] for row in c) for b in range(k)]
+        alone = [(n + 0.5) / (sum(seen) + 0.5 * k) for n in seen]
+        logs.append([[math.log((n + BACKOFF * p) / (sum(row) + BACKOFF)) for n, p in zip(row, alone)] for row in c])
+    return [logs[1][a][b] - logs[0][a][b] for a in range(k) for b in range(k)]
 
 
 def _llr(token: Column, model: list[float]) -> Column:
