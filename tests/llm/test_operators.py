@@ -146,8 +146,9 @@ def test_markov_prefers_random_strings(spark):
     rnd = random.Random(5)
     key = lambda n: "".join(rnd.choice("abcdefABCDEFxyzQRS0123456789") for _ in range(n))
     rows = [(i, f"the otherwise ordinary_identifier reading token = {key(24)} internationalisation") for i in range(300)]
+    model = secrets.train(docs(spark, rows))  # the probe is in no class's sample
     d = docs(spark, [*rows, (999, f"see {key(32)} and characteristically_long_names")])
-    r = [x for x in secrets.scan(d, secrets.train(d)).collect() if x.doc_id == 999][0]
+    r = [x for x in secrets.scan(d, model).collect() if x.doc_id == 999][0]
     assert [(s.kind, s.start, s.end) for s in r.spans] == [(3, 4, 36)]
 
 
