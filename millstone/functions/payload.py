@@ -23,9 +23,19 @@ def parse(payload, schema: StructType) -> Column:
 
 
 def json_int(x) -> Column:
-    """JSON number -> BIGINT, rounding half away from zero (4.6 -> 5)."""
-    v = _c(x)
-    return F.when(v >= 0, F.floor(v + F.lit(0.5))).otherwise(F.ceil(v - F.lit(0.5))).cast("long")
+    """JSON number or numeric text -> BIGINT, rounding half away from zero
+    (4.6 -> 5); exact over the whole 64-bit range, NULL beyond it."""
+    return F.round(_c(x).try_cast("decimal(38,6)"), 0).try_cast("long")
+
+
+def json_double(x) -> Column:
+    """JSON number or numeric text -> DOUBLE; anything else NULL."""
+    return _c(x).try_cast("double")
+
+
+def is_object(payload) -> Column:
+    """Whether the text is a well-formed JSON object."""
+    return F.json_object_keys(_c(payload)).isNotNull()
 
 
 def key_present(payload, key: str) -> Column:

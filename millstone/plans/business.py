@@ -268,8 +268,7 @@ def plant_health(p: Pipeline) -> DataFrame:
         (F.col("motor02_zone") == "D").alias("zone_d_alert"),
     )
     status = K.plant_status("prod_status", "vib_status")
-    labels = F.create_map(*[x for k, v in K.PLANT_LABELS.items() for x in (F.lit(k), F.lit(v))])
-    return row.select("*", status.alias("plant_status")).withColumn("plant_label", labels[F.col("plant_status")])
+    return row.select("*", status.alias("plant_status"))
 
 
 def dash_downtime_long(p: Pipeline) -> DataFrame:

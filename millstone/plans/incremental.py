@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millstone import schema as S
-from millstone.functions.numeric import stable
 from millstone.functions.timefn import day_of
 from millstone.operators.dedup import merged_per_key
 from millstone.plans import gold, silver
@@ -26,19 +25,14 @@ from millstone.plans.catalog import Pipeline
 def merge_insert_only(p: Pipeline) -> DataFrame:
     """M1: Silver production after insert-only MERGEs of 15-minute batches —
     a key's first committed delivery stays, later copies are ignored."""
-    t = silver.silver_production(p.bronze, p.machine_config,
-                                 dedup=partial(merged_per_key, first_batch_wins=True))
-    return t.select("event_id", "asset", "event_ts", "ingested_ts", "status_code", "parts_delta",
-                    "downtime_category", "is_producing")
+    return silver.silver_production(p.bronze, p.machine_config,
+                                    dedup=partial(merged_per_key, first_batch_wins=True))
 
 
 def merge_upsert(p: Pipeline) -> DataFrame:
     """M2: Silver power after upsert MERGEs of 15-minute batches — the last
     batch's delivery replaces every non-key column."""
-    t = silver.silver_power(p.bronze, dedup=partial(merged_per_key, first_batch_wins=False))
-    return t.select("event_id", "asset", "event_ts", "ingested_ts", "floor_num",
-                    stable("active_power_kw").alias("active_power_kw"),
-                    stable("energy_kwh_cumul").alias("energy_kwh_cumul"))
+    return silver.silver_power(p.bronze, dedup=partial(merged_per_key, first_batch_wins=False))
 
 
 def watermark_filter(p: Pipeline, lag_days: int = 1) -> DataFrame:

@@ -13,42 +13,34 @@ from millstone.plans import business as B
 from millstone.plans import extensions as X
 from millstone.plans import incremental as M
 from millstone.plans import ingest as I
+from millstone.plans import payload_rules as J
 from millstone.plans import profiling as V
 from millstone.plans.catalog import Pipeline
 
 
-def _silver_production(p):
-    return p.production_events.select(
-        "event_id", "event_ts", "event_ts_local", "ingested_ts", "asset", "work_center", "payload_format",
-        "source_period_sec", "state_code", "status_code", "reason_code", "parts_delta", "parts_counter",
-        "wo_cycle_time_sec", "is_producing", "downtime_category", "machine_category")
+AUDIT_COLS = ("loaded_at", "event_date", "hour_date", "day_part")
 
 
-def _silver_vibration(p):
-    return p.vibration_events.select(
-        "event_id", "event_ts", "event_ts_local", "asset", "schema_version",
-        *[stable(c).alias(c) for c in ("x_rms_velocity_mm_s", "rotational_speed_rpm", "temperature_c", "x_crest_factor")],
-        "device_available", "machine_state", "iso_zone")
+def _stable_doubles(df: DataFrame, drop=()) -> DataFrame:
+    drop = set(drop) | set(AUDIT_COLS)
+    return df.select(*[stable(f.name).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
+                       for f in df.schema.fields if f.name not in drop])
 
 
-def _silver_quarantine(p):
-    return p.vibration_quarantine.select("event_id", "event_ts", "asset", "schema_version", "quality", "quarantine_reason")
+def _silver_production(p):
+    return _stable_doubles(p.production_events)
 
 
-def _silver_power(p):
-    return p.power_events.select(
-        "event_id", "event_ts", "event_ts_local", "asset", "floor_num",
-        *[stable(c).alias(c) for c in ("active_power_kw", "power_factor", "energy_kwh_cumul")],
-        "is_peak_hour", "is_weekend", "hour_local", "day_of_week", "shift_name", "is_anomaly")
+def _silver_vibration(p):
+    return _stable_doubles(p.vibration_events)
 
 
-AUDIT_COLS = ("loaded_at", "event_date", "hour_date", "day_part")
+def _silver_quarantine(p):
+    return _stable_doubles(p.vibration_quarantine)
 
 
-def _stable_doubles(df: DataFrame, drop=()) -> DataFrame:
-    drop = set(drop) | set(AUDIT_COLS)
-    return df.select(*[stable(f.name).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
-                       for f in df.schema.fields if f.name not in drop])
+def _silver_power(p):
+    return _stable_doubles(p.power_events)
 
 
 def _production_hourly(p):
@@ -90,6 +82,9 @@ PLANS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "bronze_file_manifest": I.bronze_file_manifest,
     "bronze_by_domain": V.bronze_by_domain,
     "bronze_union_domains": I.bronze_union_domains,
+    # payload rules
+    "json_typed_extract": J.json_typed_extract,
+    "json_invalid_routing": J.json_invalid_routing,
     # predicates
     "filter_three_valued": V.filter_three_valued,
     "like_ilike": V.like_ilike,
@@ -97,8 +92,8 @@ PLANS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "dedup_production": M.dedup_production,
     "dedup_vibration": M.dedup_vibration,
     "dedup_power": M.dedup_power,
-    "merge_insert_only": M.merge_insert_only,
-    "merge_upsert": M.merge_upsert,
+    "merge_insert_only": lambda p: _stable_doubles(M.merge_insert_only(p)),
+    "merge_upsert": lambda p: _stable_doubles(M.merge_upsert(p)),
     "watermark_filter": M.watermark_filter,
     # mode per hour
     "dominant_zone_hourly": V.dominant_zone_hourly,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from millstone import schema as S
 from millstone.functions import classify as K
-from millstone.functions.payload import json_int, key_count, key_present, parse, text_flag, text_int
+from millstone.functions.payload import is_object, json_double, json_int, key_count, key_present, parse, text_flag, text_int
 from millstone.functions.timefn import event_id, iso_dow, to_local
 from millstone.operators.dedup import latest_per_key
 
@@ -32,8 +32,9 @@ def silver_production(bronze: DataFrame, machine_config: DataFrame,
                       strict_reference: bool = False, dedup=latest_per_key) -> DataFrame:
     """D1.  ``strict_reference=True`` keeps the original status rule where a
     60 s message (no status key) can never be EXCLUDED.  ``dedup(df, keys)``
-    picks the surviving delivery per key (default: latest ingest wins)."""
-    src = bronze.filter(F.col("schema_version") == S.V_PRODUCTION)
+    picks the surviving delivery per key (default: latest ingest wins).  Text
+    that is no JSON object goes to ``silver_unparsable`` instead."""
+    src = bronze.filter((F.col("schema_version") == S.V_PRODUCTION) & is_object("payload"))
     p = parse("payload", S.PRODUCTION_PAYLOAD)
     typed = src.select(
         event_id().alias("event_id"), "event_ts", to_local("event_ts").alias("event_ts_local"),
@@ -50,7 +51,7 @@ def silver_production(bronze: DataFrame, machine_config: DataFrame,
         json_int("p.wo_part_counter_no_reset").alias("parts_counter"),
         json_int("p.counter").alias("counter"),
         F.col("p.wo_name").alias("wo_name"), F.col("p.wo_part_name").alias("wo_part_name"),
-        F.col("p.plan_id").alias("plan_id"), F.col("p.wo_cycle_time").alias("wo_cycle_time_sec"),
+        F.col("p.plan_id").alias("plan_id"), json_double("p.wo_cycle_time").alias("wo_cycle_time_sec"),
         K.source_period_sec("p.source_period").alias("source_period_sec"),
     ).drop("p")
     deduped = dedup(typed, ["asset", "event_ts"])
@@ -90,7 +91,7 @@ def silver_vibration(routed: DataFrame) -> DataFrame:
         F.lit(True).alias("is_full_payload"), p.alias("p"), _tiebreak(),
     ).select(
         "*",
-        *[F.col(f"p.{k}").alias(a) for k, a in [
+        *[json_double(f"p.{k}").alias(a) for k, a in [
             ("rotational_speed_rpm", "rotational_speed_rpm"), ("rotational_speed_hz", "rotational_speed_hz"),
             ("temperature_c", "temperature_c"), ("x_rms_velocity_mm_s", "x_rms_velocity_mm_s"),
             ("x_peak_acceleration_g", "x_peak_acceleration_g"), ("x_crest_factor", "x_crest_factor"),
@@ -118,10 +119,23 @@ def silver_quarantine(routed: DataFrame) -> DataFrame:
     return latest_per_key(q, ["asset", "event_ts", "schema_version"]).select(*S.QUARANTINE_COLS)
 
 
+def silver_unparsable(bronze: DataFrame) -> DataFrame:
+    """Production and power messages whose text is no JSON object (NULL,
+    cut off, another JSON type), kept with their text instead of becoming
+    events of NULLs.  Meter rows that D4 ignores are not routed either."""
+    power = (F.col("schema_version") == S.V_POWER) & (F.col("quality") != "BAD")
+    q = bronze.filter(((F.col("schema_version") == S.V_PRODUCTION) | power) & ~is_object("payload")
+                      & F.col("asset").isNotNull() & F.col("event_ts").isNotNull()).select(
+        event_id().alias("event_id"), "event_ts", "asset", "schema_version", "quality",
+        F.lit("UNROUTABLE").alias("quarantine_reason"), F.col("payload").alias("raw_payload"),
+        "ingested_ts", _tiebreak())
+    return latest_per_key(q, ["asset", "event_ts", "schema_version"]).select(*S.QUARANTINE_COLS)
+
+
 def silver_power(bronze: DataFrame, dedup=latest_per_key) -> DataFrame:
     """GOOD (non-BAD, non-NULL quality) meter readings with time context."""
     src = bronze.filter((F.col("schema_version") == S.V_POWER) & (F.col("quality") != "BAD")
-                        & F.col("asset").isNotNull())
+                        & F.col("asset").isNotNull() & is_object("payload"))
     p = parse("payload", S.POWER_PAYLOAD)
     typed = src.select(
         event_id().alias("event_id"), "event_ts", to_local("event_ts").alias("event_ts_local"),
@@ -130,17 +144,17 @@ def silver_power(bronze: DataFrame, dedup=latest_per_key) -> DataFrame:
     ).select(
         "*",
         text_int("p.floor").alias("floor_num"),
-        F.col("p.eq_active_power").alias("active_power_kw"),
-        F.col("p.eq_apparent_power").alias("apparent_power_kva"),
-        F.col("p.eq_reactive_power").alias("reactive_power_kvar"),
-        F.col("p.eq_power_factor").alias("power_factor"),
-        F.col("p.frequency").alias("frequency_hz"),
-        F.col("p.eq_phase_v").alias("phase_voltage_v"),
-        F.col("p.eq_phase_to_phase_voltage").alias("line_voltage_v"),
-        F.col("p.eq_current").alias("current_a"),
-        F.col("p.total_import_active_energy").alias("energy_kwh_cumul"),
-        F.col("p.total_import_reactive_energy").alias("energy_kvarh_cumul"),
-        F.col("p.total_apparent_energy").alias("energy_kvah_cumul"),
+        json_double("p.eq_active_power").alias("active_power_kw"),
+        json_double("p.eq_apparent_power").alias("apparent_power_kva"),
+        json_double("p.eq_reactive_power").alias("reactive_power_kvar"),
+        json_double("p.eq_power_factor").alias("power_factor"),
+        json_double("p.frequency").alias("frequency_hz"),
+        json_double("p.eq_phase_v").alias("phase_voltage_v"),
+        json_double("p.eq_phase_to_phase_voltage").alias("line_voltage_v"),
+        json_double("p.eq_current").alias("current_a"),
+        json_double("p.total_import_active_energy").alias("energy_kwh_cumul"),
+        json_double("p.total_import_reactive_energy").alias("energy_kvarh_cumul"),
+        json_double("p.total_apparent_energy").alias("energy_kvah_cumul"),
     ).drop("p")
     deduped = dedup(typed, ["asset", "event_ts"])
     loc = F.col("event_ts_local")
@@ -153,4 +167,5 @@ def silver_power(bronze: DataFrame, dedup=latest_per_key) -> DataFrame:
     return out.select(*S.POWER_EVENTS_COLS)
 
 
-__all__ = ["silver_production", "route_vibration", "silver_vibration", "silver_quarantine", "silver_power"]
+__all__ = ["silver_production", "route_vibration", "silver_vibration", "silver_quarantine", "silver_unparsable",
+           "silver_power"]

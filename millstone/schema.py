@@ -25,31 +25,30 @@ V_VIBRATION_2 = "vibration.raw.v2"
 V_POWER = "power_meter.raw.v1"
 VIBRATION_VERSIONS = (V_VIBRATION_1, V_VIBRATION_2)
 
-# Payload read schemas.  Integer-valued keys are read as double and rounded
-# afterwards (a JSON 4.6 read as INT rounds to 5); keys whose JSON type
-# varies (string or number or boolean) are read as text.
+# Payload read schemas.  Every key is read as its text and typed afterwards: a
+# number may come as text ("800"), and a 64-bit integer does not fit a double.
 PRODUCTION_PAYLOAD = _struct(
-    ("n3_state_code", D), ("machine_status_heartbeat", D),
-    ("n3_status_code", D), ("n3_reason_code", D), ("reason_code_60", D),
-    ("wo_part_counter_delta", D), ("wo_part_counter_delta_60", D),
-    ("wo_part_counter_no_reset", D), ("counter", D),
+    ("n3_state_code", S), ("machine_status_heartbeat", S),
+    ("n3_status_code", S), ("n3_reason_code", S), ("reason_code_60", S),
+    ("wo_part_counter_delta", S), ("wo_part_counter_delta_60", S),
+    ("wo_part_counter_no_reset", S), ("counter", S),
     ("wo_name", S), ("wo_part_name", S), ("plan_id", S),
-    ("wo_cycle_time", D), ("source_period", S),
+    ("wo_cycle_time", S), ("source_period", S),
 )
 
 VIBRATION_PAYLOAD = _struct(
-    ("rotational_speed_rpm", D), ("rotational_speed_hz", D), ("temperature_c", D),
-    ("x_rms_velocity_mm_s", D), ("x_peak_acceleration_g", D), ("x_crest_factor", D),
-    ("x_kurtosis", D), ("z_rms_velocity_mm_s", D),
+    ("rotational_speed_rpm", S), ("rotational_speed_hz", S), ("temperature_c", S),
+    ("x_rms_velocity_mm_s", S), ("x_peak_acceleration_g", S), ("x_crest_factor", S),
+    ("x_kurtosis", S), ("z_rms_velocity_mm_s", S),
     ("device_available", S), ("device_error", S),
 )
 
 POWER_PAYLOAD = _struct(
-    ("floor", S), ("eq_active_power", D), ("eq_apparent_power", D),
-    ("eq_reactive_power", D), ("eq_power_factor", D), ("frequency", D),
-    ("eq_phase_v", D), ("eq_phase_to_phase_voltage", D), ("eq_current", D),
-    ("total_import_active_energy", D), ("total_import_reactive_energy", D),
-    ("total_apparent_energy", D),
+    ("floor", S), ("eq_active_power", S), ("eq_apparent_power", S),
+    ("eq_reactive_power", S), ("eq_power_factor", S), ("frequency", S),
+    ("eq_phase_v", S), ("eq_phase_to_phase_voltage", S), ("eq_current", S),
+    ("total_import_active_energy", S), ("total_import_reactive_energy", S),
+    ("total_apparent_energy", S),
 )
 
 PRODUCTION_EVENTS_COLS = [

@@ -25,18 +25,18 @@ SHIFTS = [
 ]
 
 # Status code -> downtime reason: (status_code, state_code, downtime_category,
-# reason_name, reason_name_th, is_countable_dt, sort_order)
+# reason_name, is_countable_dt, sort_order)
 REASONS = [
-    (800000, 800, "PRODUCTIVE", "Running", "กำลังผลิต", False, 1),
-    (801000, 801, "PLANNED_STOP", "Setup / Changeover", "เปลี่ยนแม่พิมพ์/ตั้งค่า", True, 2),
-    (803105, 803, "EXCLUDED", "No Order Assigned", "ไม่มี Work Order", False, 3),
-    (803101, 803, "UNPLANNED_DOWNTIME", "Material Shortage", "รอวัตถุดิบ", True, 4),
-    (803112, 803, "UNPLANNED_DOWNTIME", "Mechanical Fault", "เครื่องเสีย", True, 5),
-    (803102, 803, "UNPLANNED_DOWNTIME", "Unknown Stop (102)", "หยุดไม่ทราบสาเหตุ", True, 6),
-    (803103, 803, "UNPLANNED_DOWNTIME", "Unknown Stop (103)", "หยุดไม่ทราบสาเหตุ", True, 7),
-    (803104, 803, "UNPLANNED_DOWNTIME", "Unknown Stop (104)", "หยุดไม่ทราบสาเหตุ", True, 8),
-    (803111, 803, "UNPLANNED_DOWNTIME", "Unknown Stop (111)", "หยุดไม่ทราบสาเหตุ", True, 9),
-    (None, None, "UNKNOWN", "Offline / No Data", "ไม่มีข้อมูล", False, 10),
+    (800000, 800, "PRODUCTIVE", "Running", False, 1),
+    (801000, 801, "PLANNED_STOP", "Setup / Changeover", True, 2),
+    (803105, 803, "EXCLUDED", "No Order Assigned", False, 3),
+    (803101, 803, "UNPLANNED_DOWNTIME", "Material Shortage", True, 4),
+    (803112, 803, "UNPLANNED_DOWNTIME", "Mechanical Fault", True, 5),
+    (803102, 803, "UNPLANNED_DOWNTIME", "Unknown Stop (102)", True, 6),
+    (803103, 803, "UNPLANNED_DOWNTIME", "Unknown Stop (103)", True, 7),
+    (803104, 803, "UNPLANNED_DOWNTIME", "Unknown Stop (104)", True, 8),
+    (803111, 803, "UNPLANNED_DOWNTIME", "Unknown Stop (111)", True, 9),
+    (None, None, "UNKNOWN", "Offline / No Data", False, 10),
 ]
 
 # Forming machines per group; always-running machines report state 800 with
@@ -50,23 +50,18 @@ MACHINE_GROUPS = {
     "Group4": ["FM21", "FM28", "FM29", "FM30", "FM31", "FM32", "FM50", "FM53"],
 }
 ALWAYS_RUNNING = ["FM44", "FM48", "FM51"]
-MACHINE_NOTES = {
-    "FM42": "High setup time (44.4% — Q4 candidate)",
-    "FM52": "Highest setup time (59.6% — Q4 top)",
-    "FM31": "High setup time (37.9% — Q4 candidate)",
-}
 
 # Time-of-use tariff (baht per kWh): peak Mon–Fri 09:00–21:59 local.
 # (period_name, is_peak, hour_start, hour_end, applies_weekday,
-#  applies_weekend, rate, notes).  The last row covers weekend 09–22, which
-# the plant's note ("all weekend") implies.
+#  applies_weekend, rate).  The last row covers weekend 09–22 at the off-peak
+# rate.
 PEAK_RATE = 4.50
 OFFPEAK_RATE = 2.60
 TARIFF = [
-    ("Peak", True, 9, 22, True, False, PEAK_RATE, "Mon–Fri 09:00–21:59 local (GMT+7)"),
-    ("Off-Peak", False, 0, 9, True, True, OFFPEAK_RATE, "Weekday 00:00–08:59 + all weekend"),
-    ("Off-Peak", False, 22, 24, True, True, OFFPEAK_RATE, "Weekday 22:00–23:59 + all weekend"),
-    ("Off-Peak", False, 9, 22, False, True, OFFPEAK_RATE, "Weekend 09:00–21:59"),
+    ("Peak", True, 9, 22, True, False, PEAK_RATE),
+    ("Off-Peak", False, 0, 9, True, True, OFFPEAK_RATE),
+    ("Off-Peak", False, 22, 24, True, True, OFFPEAK_RATE),
+    ("Off-Peak", False, 9, 22, False, True, OFFPEAK_RATE),
 ]
 
 LOCAL_TZ = "Asia/Bangkok"
@@ -87,7 +82,7 @@ def reason_codes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         REASONS,
         "status_code long, state_code long, downtime_category string, reason_name string, "
-        "reason_name_th string, is_countable_dt boolean, sort_order long")
+        "is_countable_dt boolean, sort_order long")
 
 
 def machine_config(spark: SparkSession) -> DataFrame:
@@ -96,16 +91,16 @@ def machine_config(spark: SparkSession) -> DataFrame:
         for a in assets:
             ar = a in ALWAYS_RUNNING
             rows.append((a, g, int(g[-1]), "ALWAYS_RUNNING" if ar else "ACTIVE_PRODUCER",
-                         ar, MACHINE_NOTES.get(a)))
+                         ar))
     return spark.createDataFrame(
         rows, "asset string, machine_group string, group_number long, machine_category string, "
-              "is_always_running boolean, note string")
+              "is_always_running boolean")
 
 
 def energy_rates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         TARIFF, "period_name string, is_peak boolean, hour_start int, hour_end int, "
-                "applies_weekday boolean, applies_weekend boolean, rate_baht_per_kwh double, notes string")
+                "applies_weekday boolean, applies_weekend boolean, rate_baht_per_kwh double")
 
 
 def minute_calendar(spark: SparkSession) -> DataFrame:

@@ -91,7 +91,7 @@ def test_top_of_ties_and_zero(spark):
 def test_payload_helpers(spark):
     df = spark.createDataFrame([('{"a": 4.6, "f": "1", "n": null}',), ('{"a": -4.6, "f": "true"}',),
                                 ('{"a": 4.4, "f": "0"}',), ('{bad',), ('[1,2]',)], "p string")
-    parsed = F.from_json("p", "a double, f string")
+    parsed = F.from_json("p", "a string, f string")
     r = df.select(json_int(parsed["a"]).alias("i"), text_flag(parsed["f"]).alias("b"),
                   key_present("p", "n").alias("has_n"), key_count("p").alias("k")).collect()
     assert [x.i for x in r] == [5, -5, 4, None, None]
