@@ -8,21 +8,27 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millstone import schema as S
 from millstone.plans import registry
 from millstone.plans.catalog import Pipeline
 from millstone.session import scratch_path
 from millstone.sources.bronze import bronze_from_events
-from millstone.streaming.runners import RunAudit, ingest_files, land_bronze, run_pipeline_stream, run_silver_stream
+from millstone.streaming.runners import (
+    RunAudit, deliver, drops_by_key, drops_by_slot, ingest_files, run_pipeline_stream, run_silver_stream)
 
-LANDING_FILES = 4
+DROPS = 4       # deliveries per replayed table, of any size
+VERSIONS = {"production": [S.V_PRODUCTION], "vibration": list(S.VIBRATION_VERSIONS), "power": [S.V_POWER]}
 
 
-def _run(spark: SparkSession, sf_dir: str, domain: str, pipeline: bool, audit: RunAudit | None = None) -> str:
+def _run(spark: SparkSession, sf_dir: str, domain: str, pipeline: bool, audit: RunAudit | None = None,
+         by_slot: bool = False) -> str:
     root = scratch_path(spark, f"stream-run/{domain}-{uuid.uuid4().hex}")
-    land_bronze(bronze_from_events(spark, sf_dir), f"{root}/landing", LANDING_FILES)
+    raw = bronze_from_events(spark, sf_dir).filter(F.col("schema_version").isin(*VERSIONS[domain]))
     runner = run_pipeline_stream if pipeline else run_silver_stream
-    runner(spark, f"{root}/landing", f"{root}/tables", f"{root}/checkpoints", domain, audit=audit)
+    deliver(drops_by_slot(raw) if by_slot else drops_by_key(raw, DROPS), root, lambda landing: runner(
+        spark, landing, f"{root}/tables", f"{root}/checkpoints", domain, audit=audit))
     return f"{root}/tables"
 
 
@@ -30,7 +36,6 @@ def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST14/X11/G16: one row per micro-batch of the production pipeline
     stream (rows in, rows written) plus the Gold ``last_refresh``
     (max ``loaded_at``).  Wall-clock values: rows-only check."""
-    from pyspark.sql import functions as F
     audit = RunAudit()
     tables = _run(spark, sf_dir, "production", True, audit)
     last = spark.read.parquet(f"{tables}/production_hourly").select(F.max("loaded_at")).scalar()
@@ -39,18 +44,15 @@ def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: incremental file ingest.  Raw files land in two drops; a file
-    stream (``maxFilesPerTrigger``) appends them to the Bronze table and is
+    stream appends them to the Bronze table and is
     restarted between drops.  Its checkpoint remembers the loaded files, so
     the second run loads only the new ones: every message lands once."""
-    from pyspark.sql import functions as F
-
-    from millstone import schema as S
     from millstone.plans import profiling as V
     root = scratch_path(spark, f"stream-ingest/{uuid.uuid4().hex}")
     raw = bronze_from_events(spark, sf_dir)
     is_power = F.col("schema_version") == S.V_POWER
     for drop in (~is_power, is_power):
-        raw.filter(drop).repartition(LANDING_FILES, "asset", "event_ts").write.mode("append").parquet(f"{root}/landing")
+        raw.filter(drop).write.mode("append").parquet(f"{root}/landing")
         ingest_files(spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoints/bronze")
     return V.profile_by_version(Pipeline(spark, sf_dir, bronze_dir=f"{root}/bronze"))
 
@@ -72,6 +74,19 @@ def stream_silver_power(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.PLANS["silver_power"](_view(spark, sf_dir, _run(spark, sf_dir, "power", False)))
 
 
+def stream_merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of a message in different micro-batches; the written
+    table keeps the first."""
+    return registry.PLANS["silver_production"](
+        _view(spark, sf_dir, _run(spark, sf_dir, "production", False, by_slot=True)))
+
+
+def stream_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of a message in different micro-batches; the last one
+    replaces every non-key column of the written row."""
+    return registry.PLANS["silver_power"](_view(spark, sf_dir, _run(spark, sf_dir, "power", False, by_slot=True)))
+
+
 def stream_gold_production_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = _view(spark, sf_dir, _run(spark, sf_dir, "production", True))
     return registry.PLANS["production_hourly"](v).drop("loaded_at", "hour_date")
@@ -97,6 +112,8 @@ STREAM_QUERIES = {
     "stream_silver_production": (stream_silver_production, "silver_production"),
     "stream_silver_vibration": (stream_silver_vibration, "silver_vibration"),
     "stream_silver_power": (stream_silver_power, "silver_power"),
+    "stream_merge_insert_only": (stream_merge_insert_only, "merge_insert_only"),
+    "stream_merge_upsert": (stream_merge_upsert, "merge_upsert"),
     "stream_gold_production_hourly": (stream_gold_production_hourly, "production_hourly"),
     "stream_gold_vibration_hourly": (stream_gold_vibration_hourly, "vibration_hourly"),
     "stream_gold_energy_daily": (stream_gold_energy_daily, "energy_daily"),

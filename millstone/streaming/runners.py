@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millstone import schema as S
+from millstone.operators.dedup import batch_slot
 from millstone.operators.keyed_write import (
     insert_only, overwrite_partitions, table_exists, touched_values, upsert, utc_now)
 from millstone.plans import gold, silver
@@ -39,18 +40,52 @@ class RunAudit:
         return spark.createDataFrame(self.rows, "domain string, batch_id long, input_rows long, written long")
 
 
-def land_bronze(bronze: DataFrame, landing: str, files: int) -> None:
-    """Write raw messages as ``files`` Parquet files.  Copies of one message
-    (same asset and timestamp) land in the same file, like a device
-    gateway that retries within one delivery window."""
-    bronze.repartition(files, "asset", "event_ts").write.mode("overwrite").parquet(landing)
+DROP = "_drop"
 
 
-def ingest_files(spark: SparkSession, landing: str, sink: str, checkpoint: str, max_files: int = 1) -> None:
+def drops_by_key(bronze: DataFrame, drops: int) -> DataFrame:
+    """Deal messages to ``drops`` deliveries; copies of one message (same
+    asset and timestamp) share one, like a gateway that retries within one
+    delivery window."""
+    return bronze.withColumn(DROP, F.pmod(F.xxhash64("asset", "event_ts"), F.lit(drops)).cast("int"))
+
+
+def drops_by_slot(bronze: DataFrame) -> DataFrame:
+    """Deal messages so that every later ingest slot of a key is a later
+    delivery: the k-th drop holds each key's k-th slot.  Keys do not touch
+    each other, so merging the drops in turn leaves the table that one merge
+    per 15-minute slot would."""
+    w = Window.partitionBy("schema_version", "asset", "event_ts").orderBy(batch_slot())
+    return bronze.withColumn(DROP, F.dense_rank().over(w) - 1)
+
+
+def deliver(dropped: DataFrame, root: str, run) -> None:
+    """Land one drop after the other and ``run`` the stream over each: all
+    files that a drop adds are one micro-batch, whatever their number."""
+    spark = dropped.sparkSession
+    dropped.write.partitionBy(DROP).parquet(f"{root}/outbox")
+    outbox = spark.read.schema(dropped.schema).parquet(f"{root}/outbox")
+    for k in sorted(touched_values(outbox, DROP)):
+        outbox.filter(F.col(DROP) == k).drop(DROP).write.mode("append").parquet(f"{root}/landing")
+        run(f"{root}/landing")
+
+
+def _landed(spark: SparkSession, landing: str, max_bytes: str | None) -> DataFrame:
+    """Stream over the landing folder; a micro-batch takes what is new, or
+    about ``max_bytes`` of it where the backlog is larger than one batch
+    should be."""
+    reader = spark.readStream.schema(S.BRONZE)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    return reader.parquet(landing)
+
+
+def ingest_files(spark: SparkSession, landing: str, sink: str, checkpoint: str,
+                 max_bytes: str | None = None) -> None:
     """A5: append the landed raw files to the Bronze table.  The checkpoint
     records which files were loaded (and the file sink's log which output
     was committed), so a rerun loads only files it has not seen."""
-    (spark.readStream.schema(S.BRONZE).option("maxFilesPerTrigger", max_files).parquet(landing)
+    (_landed(spark, landing, max_bytes)
         .writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start().awaitTermination())
 
@@ -64,6 +99,10 @@ def _with_part(df: DataFrame) -> DataFrame:
     return df.withColumn(PART, F.to_date("event_ts"))
 
 
+def _quarantine_unparsable(batch: DataFrame, tables: str) -> int:
+    return insert_only(_with_part(silver.silver_unparsable(batch)), f"{tables}/message_quarantine", "event_id", PART)
+
+
 def silver_batch(domain: str, tables: str, audit: RunAudit | None = None, strict_reference: bool = False):
     """The foreachBatch body for one domain."""
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -74,6 +113,7 @@ def silver_batch(domain: str, tables: str, audit: RunAudit | None = None, strict
         if domain == "production":
             out = silver.silver_production(batch, refdata.machine_config(spark), strict_reference)
             written = insert_only(_with_part(out), f"{tables}/production_events", "event_id", PART)
+            written += _quarantine_unparsable(batch, tables)
         elif domain == "vibration":
             routed = silver.route_vibration(batch).persist()
             written = insert_only(_with_part(silver.silver_vibration(routed)), f"{tables}/vibration_events", "event_id", PART)
@@ -83,6 +123,7 @@ def silver_batch(domain: str, tables: str, audit: RunAudit | None = None, strict
         else:
             written = upsert(_with_part(silver.silver_power(batch)), f"{tables}/power_events", ["event_id"], PART,
                              f"power-{batch_id}")
+            written += _quarantine_unparsable(batch, tables)
         batch.unpersist()
         if audit is not None:
             audit.add(domain, batch_id, input_rows=n_in, written=written)
@@ -90,10 +131,10 @@ def silver_batch(domain: str, tables: str, audit: RunAudit | None = None, strict
 
 
 def run_silver_stream(spark: SparkSession, landing: str, tables: str, checkpoints: str, domain: str,
-                      max_files: int = 1, available_now: bool = True, processing_time: str = "15 minutes",
+                      max_bytes: str | None = None, available_now: bool = True, processing_time: str = "15 minutes",
                       audit: RunAudit | None = None):
     versions = {"production": [S.V_PRODUCTION], "vibration": list(S.VIBRATION_VERSIONS), "power": [S.V_POWER]}[domain]
-    raw = (spark.readStream.schema(S.BRONZE).option("maxFilesPerTrigger", max_files).parquet(landing)
+    raw = (_landed(spark, landing, max_bytes)
            .filter(F.col("schema_version").isin(*versions)))
     w = raw.writeStream.foreachBatch(silver_batch(domain, tables, audit)) \
         .option("checkpointLocation", f"{checkpoints}/silver_{domain}")
@@ -179,9 +220,9 @@ def gold_batch(domain: str, tables: str, audit: RunAudit | None = None):
 
 
 def run_pipeline_stream(spark: SparkSession, landing: str, tables: str, checkpoints: str, domain: str,
-                        max_files: int = 1, audit: RunAudit | None = None):
+                        max_bytes: str | None = None, audit: RunAudit | None = None):
     versions = {"production": [S.V_PRODUCTION], "vibration": list(S.VIBRATION_VERSIONS), "power": [S.V_POWER]}[domain]
-    raw = (spark.readStream.schema(S.BRONZE).option("maxFilesPerTrigger", max_files).parquet(landing)
+    raw = (_landed(spark, landing, max_bytes)
            .filter(F.col("schema_version").isin(*versions)))
     q = (raw.writeStream.foreachBatch(gold_batch(domain, tables, audit))
          .option("checkpointLocation", f"{checkpoints}/pipeline_{domain}")
