@@ -4,7 +4,7 @@ time-range rolling mean (W8).  Thresholds marked 'ours' are parameters."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millstone.functions import classify as K
@@ -64,15 +64,30 @@ def rms_anomalies(p: Pipeline, z: float = ANOMALY_Z, window: int = ANOMALY_WINDO
                                             stable("_mean").alias("baseline_rms"), stable("_z").alias("z_score"))
 
 
-def days_to_zone_d(p: Pipeline) -> DataFrame:
-    """Linear fit of hourly RMS over time; days until the fitted line
-    reaches the zone-D bound (NULL when flat or falling)."""
+def _rms_line(p: Pipeline) -> tuple[DataFrame, Column]:
+    """Per motor the least-squares line of hourly RMS over days, and the
+    line's value at the motor's newest hour."""
     h = p.vibration_hourly.withColumn("x", epoch_micros("hour_utc") / F.lit(86400000000.0))
     g = h.groupBy("asset").agg(F.regr_slope("avg_rms_velocity", "x").alias("_slope"),
                                F.regr_avgx("avg_rms_velocity", "x").alias("_ax"),
                                F.regr_avgy("avg_rms_velocity", "x").alias("_ay"),
                                F.max("x").alias("_last"))
     now = F.col("_ay") + F.col("_slope") * (F.col("_last") - F.col("_ax"))
+    return g, now
+
+
+def rms_forecast_7d(p: Pipeline, days: int = 7) -> DataFrame:
+    """The line carried on, one row per motor and day ahead."""
+    g, now = _rms_line(p)
+    g = g.select("asset", "_slope", now.alias("_now"), F.explode(F.sequence(F.lit(1), F.lit(days))).alias("days_ahead"))
+    rms = F.col("_now") + F.col("_slope") * F.col("days_ahead")
+    return g.select("asset", "days_ahead", stable(rms).alias("forecast_rms"), K.iso_zone(rms).alias("forecast_zone"))
+
+
+def days_to_zone_d(p: Pipeline) -> DataFrame:
+    """Days until the fitted line reaches the zone-D bound (NULL when flat
+    or falling)."""
+    g, now = _rms_line(p)
     d = F.when(now >= K.ZONE_BOUNDS[2], F.lit(0.0)).when(F.col("_slope") > 0,
                                                           (F.lit(K.ZONE_BOUNDS[2]) - now) / F.col("_slope"))
     return g.select("asset", stable("_slope").alias("slope_per_day"), stable(now).alias("fitted_rms_now"),

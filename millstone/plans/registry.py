@@ -144,6 +144,7 @@ PLANS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "trend_direction": X.trend_direction,
     "rms_anomalies": X.rms_anomalies,
     "days_to_zone_d": X.days_to_zone_d,
+    "rms_forecast_7d": X.rms_forecast_7d,
     "ap_score": X.ap_score,
     "setup_runs": X.setup_runs,
     "downtime_by_reason": X.downtime_by_reason,
