@@ -45,6 +45,7 @@ def write_silver(p: Pipeline, out: str) -> None:
     _write(silver.silver_quarantine(routed), f"{out}/vibration_quarantine")
     routed.unpersist()
     _write(p.power_events, f"{out}/power_events")
+    _write(silver.silver_unparsable(p.bronze), f"{out}/message_quarantine")
 
 
 def write_gold(spark: SparkSession, p: Pipeline, out: str) -> None:
