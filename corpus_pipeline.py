@@ -34,8 +34,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later copies of three-line windows (operator 9)."""
-    return _with_chars(lines.dedup_lines(docs).drop("_lines_total", "_lines_removed"))
+    """Texts without later copies of three-line windows (operator 9); documents
+    that lose every line, as later exact copies do, go."""
+    d = lines.dedup_lines(docs).where("_lines_removed = 0 or _lines_removed < _lines_total")
+    return _with_chars(d.drop("_lines_total", "_lines_removed"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,9 +19,10 @@ places for the threshold (``SLACK`` standard deviations below), the rest is
 verified exactly: the Jaccard similarity of the sets of 64-bit shingle hashes
 must reach the threshold.  Classes are the connected components of the links.
 
-Defined cases: NULL, empty and word-less texts are a class of their own each;
-a text of one to four words is one shingle; rows with equal texts share a
-class, whatever their ids; the class id is the smallest doc_id of the class
+Defined cases: a NULL text is a class of its own; texts without words (the
+empty one too) are near only to equal texts; a text of one to four words is one
+shingle; rows with equal texts share a class, with or without words and
+whatever their ids; the class id is the smallest doc_id of the class
 (NULL ids first); an empty table gives no rows; other columns pass or are
 ignored.
 """
@@ -126,11 +127,11 @@ def _sign(bands: int, rows: int):
                 n = b - a
                 doc, h = shingles(w, n)
                 sig, size = signatures(doc, h, n, bands * rows)
-                has = size > 0
-                keep, sig, size = pa.array(has), sig[has], size[has]
+                keep = batch.column(3).slice(a, n).is_valid()  # texts without words: no keys, no registers
+                sig, size = sig[size > 0], size[np.asarray(keep)]
                 keys = band_keys(sig, bands, rows).view(np.int64).ravel()
                 reg = (mix(sig) & np.uint64(0xFF)).astype(np.uint8).view(np.int8).ravel()
-                rows_of = np.arange(len(size) + 1, dtype=np.int32)
+                rows_of = np.concatenate([[0], np.cumsum(size > 0)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).slice(a, n).filter(keep) for c in range(3)]
                     + [pa.array(size, pa.int32()),
@@ -322,7 +323,7 @@ def _first_rows(signed: DataFrame) -> DataFrame:
 def keep_one_per_class(docs: DataFrame) -> DataFrame:
     """``docs`` with one row per class: of the texts that hold the class's
     smallest doc_id the one named by the class, and one of its repeated rows.
-    Rows without words all stay."""
+    Rows with a NULL text all stay."""
     cols = docs.columns
     c = near_duplicate_classes(docs)
     stay = (c.where("not compared or (doc <=> class_doc and h1 = class_hash)")

@@ -229,6 +229,13 @@ def test_minhash(spark, corpus, monkeypatch):
     assert minhash.near_duplicate_classes(d.limit(0)).count() == 0
 
 
+def test_minhash_equal_texts_without_words(spark):
+    rows = [(i, "-----") for i in range(5, 15)] + [(20, ""), (21, ""), (22, "?!"), (23, "one two"), (24, None), (25, None)]
+    got = {r.doc: r.class_doc for r in minhash.near_duplicate_classes(wide(spark, rows)).collect()}
+    assert got == {**{i: 5 for i in range(5, 15)}, 20: 20, 21: 20, 22: 22, 23: 23, 24: 24, 25: 25}
+    assert sorted(r.doc_id for r in minhash.keep_one_per_class(wide(spark, rows)).collect()) == [5, 20, 22, 23, 24, 25]
+
+
 def test_repeats(spark, corpus):
     def brute(rows):
         first = {}
@@ -294,6 +301,22 @@ def test_pipeline(spark):
     assert 0 < out.count() == out.select(F.countDistinct("doc_id")).first()[0]
 
 
+def test_pipeline_keeps_one_of_exact_copies(spark, tmp_path):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    d = spark.read.parquet(f"{sf}/documents.parquet")
+    first = d.agg(F.max("doc_id")).first()[0] + 1
+    copies = spark.range(first, first + 50).select(F.col("id").cast(d.schema["doc_id"].dataType).alias("doc_id"), F.when(
+        F.col("id") < first + 40, "the pale river\nruns along the old wall\nto a quiet town\nby the sea").otherwise("-----").alias("text"))
+    d.unionByName(copies, allowMissingColumns=True).write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in out if r.doc_id >= first) == [first, first + 40]
+    assert sum(r.n_tokens == 0 for r in out) <= 1
+
+
 def test_union_and_components(spark):
     from millstone.llm.common import connected_components
 
