@@ -7,14 +7,19 @@ next arrival comes after the latest register of its document.  Two documents
 agree in a register with the probability Jaccard similarity of their shingles,
 which for equal weights is the Jaccard similarity of the sets.
 
-Banding: b bands of r registers; equal band keys make a bucket.  Each member of
+The link rule is the Jaccard similarity of the sets, which weights can hide: a
+text that repeats passages another holds once is near it as a set only.  So a
+text has registers of weight 1 as well; those alone bound a pair's similarity.
+
+Banding: b bands of r registers of weight 1, and the bands of the weighted
+registers where they differ; equal band keys make a bucket.  Each member of
 a bucket is compared with the bucket's smallest member.  Members that these
 links leave in different components are compared by their registers in tiles
 of at most ``TILE`` a side; texts that look alike there (a spanning forest per
 tile, never the pairs) make clusters, whose members meet with their shingles in
 tiles again, where every pair between components is verified and one link for
 each join of components comes out.  So a huge bucket neither lands in one task
-nor emits its pairs.  A pair is dropped when its registers agree in too few
+nor emits its pairs.  A pair is dropped when its registers of weight 1 agree in too few
 places for the threshold (``SLACK`` standard deviations below), the rest is
 verified exactly: the Jaccard similarity of the sets of 64-bit shingle hashes
 must reach the threshold.  Classes are the connected components of the links.
@@ -71,13 +76,14 @@ def _uniform(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
 
 
-def signatures(doc: np.ndarray, h: np.ndarray, n_docs: int, m: int) -> tuple[np.ndarray, np.ndarray]:
-    """(n_docs x m winning shingles, distinct shingles of each document); 0
-    where a document has none.  Shingles count by 40 bits of their hash here,
-    as many in any slice, so sizes may be off by one in long documents."""
-    sig = np.zeros(n_docs * m, np.uint64)
+def signatures(doc: np.ndarray, h: np.ndarray, n_docs: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(n_docs x m winning shingles of weight 1, the same of weighted shingles,
+    distinct shingles of each document); 0 where a document has none.  Shingles
+    count by 40 bits of their hash here, as many in any slice, so sizes may be
+    off by one in long documents."""
     if not len(doc):
-        return sig.reshape(n_docs, m), np.zeros(n_docs, np.int64)
+        none = np.zeros((n_docs, m), np.uint64)
+        return none, none, np.zeros(n_docs, np.int64)
     key = (doc.astype(np.uint64) << np.uint64(40)) | (h >> np.uint64(24))
     key.sort()
     new = np.ones(len(key), bool)
@@ -88,6 +94,18 @@ def signatures(doc: np.ndarray, h: np.ndarray, n_docs: int, m: int) -> tuple[np.
     d = (key >> np.uint64(40)).astype(np.int64)
     size = np.bincount(d, minlength=n_docs)
     e = key & np.uint64((1 << 40) - 1)
+    plain = _winners(d, e, np.ones(len(e)), n_docs, m)
+    again = np.bincount(d, weight, n_docs) > size  # equal weights of 1 have the same winners
+    weighted, some = plain.copy(), again[d]
+    if some.any():
+        number = np.cumsum(again) - 1
+        weighted[again] = _winners(number[d[some]], e[some], weight[some], int(again.sum()), m)
+    return plain, weighted, size
+
+
+def _winners(d: np.ndarray, e: np.ndarray, weight: np.ndarray, n_docs: int, m: int) -> np.ndarray:
+    """The earliest shingle of each register: document d, shingle e, weight."""
+    sig = np.zeros(n_docs * m, np.uint64)
     q = np.full(n_docs * m, np.inf)
     t = np.zeros(len(e))
     ids = e + np.uint64(1)
@@ -105,7 +123,7 @@ def signatures(doc: np.ndarray, h: np.ndarray, n_docs: int, m: int) -> tuple[np.
         go = t < latest[d]
         d, t, state, ids, weight = d[go], t[go], state[go], ids[go], weight[go]
         r += 1
-    return sig.reshape(n_docs, m), size
+    return sig.reshape(n_docs, m)
 
 
 def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -126,16 +144,21 @@ def _sign(bands: int, rows: int):
                 w = cut_words(data, off)
                 n = b - a
                 doc, h = shingles(w, n)
-                sig, size = signatures(doc, h, n, bands * rows)
+                sig, weighted, size = signatures(doc, h, n, bands * rows)
                 keep = batch.column(3).slice(a, n).is_valid()  # texts without words: no keys, no registers
-                sig, size = sig[size > 0], size[np.asarray(keep)]
-                keys = band_keys(sig, bands, rows).view(np.int64).ravel()
+                sig, weighted, size = sig[size > 0], weighted[size > 0], size[np.asarray(keep)]
+                keys, more = band_keys(sig, bands, rows), band_keys(weighted, bands, rows)
+                own = np.concatenate([np.ones(keys.shape, bool), keys != more], axis=1)
+                keys = np.concatenate([keys, more], axis=1)[own].view(np.int64)
+                keys_of = np.zeros(len(size), np.int64)
+                keys_of[size > 0] = own.sum(axis=1)
+                keys_of = np.concatenate([[0], np.cumsum(keys_of)]).astype(np.int32)
                 reg = (mix(sig) & np.uint64(0xFF)).astype(np.uint8).view(np.int8).ravel()
                 rows_of = np.concatenate([[0], np.cumsum(size > 0)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).slice(a, n).filter(keep) for c in range(3)]
                     + [pa.array(size, pa.int32()),
-                       pa.ListArray.from_arrays(pa.array(rows_of * bands), pa.array(keys)),
+                       pa.ListArray.from_arrays(pa.array(keys_of), pa.array(keys)),
                        pa.ListArray.from_arrays(pa.array(rows_of * (bands * rows)), pa.array(reg))],
                     names=["doc", "h1", "h2", "size", "keys", "reg"])
     return run
@@ -185,7 +208,7 @@ def _verified(pairs: DataFrame, src: DataFrame, nodes: DataFrame, threshold: tup
 
 
 def _least(bands: int, rows: int, threshold: tuple[int, int]) -> int:
-    """Equal registers that a pair at the threshold has almost surely."""
+    """Equal registers of weight 1 that a pair at the threshold has almost surely."""
     m, p = bands * rows, threshold[0] / threshold[1]
     return math.ceil(m * p - SLACK * math.sqrt(m * p * (1 - p)))
 

@@ -236,6 +236,16 @@ def test_minhash_equal_texts_without_words(spark):
     assert sorted(r.doc_id for r in minhash.keep_one_per_class(wide(spark, rows)).collect()) == [5, 20, 22, 23, 24, 25]
 
 
+def test_minhash_passages_repeated_differently(spark):
+    rows = []
+    for k in range(16):  # half of the common words 100 times in one text, once in the other
+        common = [f"w{k}x{i}" for i in range(400)]
+        rows += [(2 * k, " ".join([*common, *(f"a{k}x{i}" for i in range(36))])),
+                 (2 * k + 1, " ".join([*(common[:200] * 100), *common[200:], *(f"b{k}x{i}" for i in range(36))]))]
+    got = {r.doc: r.class_doc for r in minhash.near_duplicate_classes(docs(spark, rows)).collect()}
+    assert got == brute_classes(rows) == {i: i // 2 * 2 for i, _ in rows}
+
+
 def test_repeats(spark, corpus):
     def brute(rows):
         first = {}
