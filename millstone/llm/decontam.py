@@ -12,7 +12,7 @@ walking to sampled positions, and the covered words merged to removal spans.
 No shuffle: a document lies in one task, and no task waits for another.  The
 benchmark goes to the tasks in blocks of at most ``BLOCK_BYTES`` of text; a
 larger benchmark takes one pass over the documents per block, whose spans are
-merged by document, so nothing unbounded is broadcast.
+merged by text and joined to all rows of it, so nothing unbounded is broadcast.
 
 Defined cases: NULL or empty text has no words; an item without words has no
 window; a NULL item_id is the item "null"; repeated items count once per id;
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millstone.llm.common import table
+from millstone.llm.common import row_key, table
 from millstone.llm.tokens import Words, cut_words, slices
 
 WINDOW = 10
@@ -304,17 +304,21 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
         passes.append(src.mapInArrow(search, schema))
     out = passes[0]
-    if len(passes) > 1:
-        for more in passes[1:]:
-            out = out.unionByName(more)
-        out = (out.groupBy("row").agg(F.max("_n_words").alias("_n_words"), F.flatten(F.collect_list("_spans")).alias("s"),
-                                      F.array_sort(F.array_distinct(F.flatten(F.collect_list("_items")))).alias("_items"))
-               .mapInArrow(_merge_spans, schema))
+    if len(passes) > 1:  # what later passes found, once per text, to every row of the first pass
+        key = row_key("row.text")
+        more = passes[1].where("size(_spans) > 0").select(*key, "_spans", "_items")
+        for p in passes[2:]:
+            more = more.unionByName(p.where("size(_spans) > 0").select(*key, "_spans", "_items"))
+        more = more.groupBy("rk1", "rk2").agg(F.flatten(F.collect_set("_spans")).alias("s"),
+                                              F.flatten(F.collect_set("_items")).alias("i"))
+        out = out.select("row", "_n_words", "_spans", "_items", *key).join(more, ["rk1", "rk2"], "left")
+        out = out.select("row", "_n_words", F.concat("_spans", F.coalesce("s", F.array())).alias("s"), F.array_sort(
+            F.array_distinct(F.concat("_items", F.coalesce("i", F.array())))).alias("_items")).mapInArrow(_merge_spans, schema)
     return out.select("row.*", "_n_words", "_spans", "_items")
 
 
 def _merge_spans(batches):
-    """Runs found in several passes over the benchmark, merged per document."""
+    """Runs found in several passes over the benchmark, merged row by row."""
     for b in batches:
         merged = []
         for flat in b.column("s").to_pylist():
