@@ -1,16 +1,18 @@
 """Operator 1: chat formatting by event-sourced reconstruction (columns only).
 
 A log holds events per conversation and turn.  Kinds: ``message`` (a whole
-message), ``delta`` (streamed text, appended), ``edit`` (replaces the turn's
-text) and ``regenerate`` (drops what the turn held and starts again with its
-own text).  Events of a turn are folded in order of ``seq``, the messages of a
+message), ``delta`` (streamed text, appended to the turn's last message, or
+the start of one), ``edit`` (replaces the turn's text) and ``regenerate``
+(drops what the turn held and starts again with its own text).  Events of a
+turn, of whatever kind, are folded in one order of ``seq``, the messages of a
 conversation in order of ``turn``, then rendered.
 
 Defined cases: NULL kind is ``message``; NULL text or role is empty; a NULL
 conv_id or turn is a value of its own that sorts first; repeated ``message``
 rows stay separate messages, those of one turn in the order of (seq, role,
-text); events with equal seq fold in the order of their text; an empty log
-gives no rows; other columns are ignored.
+text); other events with equal seq fold after them in the order of (text,
+kind); an edit or regenerate without a role takes that of the latest event
+before it that has one; an empty log gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,20 +38,22 @@ def fold_messages(events: DataFrame) -> DataFrame:
     role, text = (F.coalesce(F.col(c), F.lit("")) for c in ("role", "text"))
     e = events.select("conv_id", "turn", F.coalesce("seq", F.lit(-1).cast("long")).alias("seq"),
                       kind.alias("kind"), role.alias("role"), text.alias("text"))
-    reset = F.col("kind").isin("edit", "regenerate")
-    turns = e.groupBy("conv_id", "turn").agg(
-        F.sort_array(F.collect_list(F.when(F.col("kind") == "message",
-                                           F.struct("seq", "role", "text")))).alias("whole"),
-        F.max(F.when(reset, F.struct("seq", "text"))).alias("base"),
-        F.sort_array(F.collect_list(F.when(F.col("kind") == "delta",
-                                           F.struct("seq", "text")))).alias("deltas"),
-        F.min(F.when(F.col("kind") != "message", F.struct("seq", "role"))).alias("head"))
+    e = e.where(F.col("kind").isin("message", "delta", "edit", "regenerate"))
+    part = F.col("kind") != "message"
+    turns = e.groupBy("conv_id", "turn").agg(F.sort_array(F.collect_list(F.struct(
+        "seq", part.alias("part"), F.when(part, "").otherwise(F.col("role")).alias("by"), "text", "kind", "role"))).alias("log"))
+    # the log from its last reset on, then the places where its messages start
+    turns = turns.withColumn("reset", F.expr("""coalesce(array_max(filter(sequence(1, size(log)),
+        i -> log[i - 1].kind IN ('edit', 'regenerate'))), 0)"""))
+    turns = turns.withColumn("rest", F.expr("slice(log, greatest(reset, 1), size(log))"))
+    turns = turns.withColumn("role", F.expr("""CASE WHEN reset > 0 AND rest[0].role = '' THEN coalesce(get(
+        filter(reverse(slice(log, 1, reset)), e -> e.role <> ''), 0).role, '') ELSE rest[0].role END"""))
+    turns = turns.withColumn("starts", F.expr("""filter(sequence(0, size(rest) - 1),
+        i -> i = 0 OR rest[i].kind = 'message')"""))
     return turns.select("conv_id", "turn", F.expr("""
-        concat(transform(whole, m -> struct(m.role AS role, m.text AS text)),
-               CASE WHEN head IS NULL THEN array() ELSE array(struct(head.role AS role,
-                    concat(coalesce(base.text, ''),
-                           array_join(transform(filter(deltas, d -> base IS NULL OR d.seq > base.seq),
-                                                d -> d.text), '')) AS text)) END)
+        transform(starts, (a, k) -> struct(CASE WHEN a = 0 THEN role ELSE rest[a].role END AS role,
+            array_join(transform(slice(rest, a + 1, coalesce(get(starts, k + 1), size(rest)) - a),
+                                 e -> e.text), '') AS text))
     """).alias("messages"))
 
 

@@ -66,6 +66,20 @@ def test_chat_folds_and_round_trips(spark):
     assert chat.parse_chats(chat.format_chats(log.limit(0))).count() == 0
 
 
+def test_chat_folds_kinds_in_one_order(spark):
+    log = docs(spark, [
+        (1, 0, 0, "message", "user", "Hello"), (1, 0, 1, "edit", "user", "Hi"),
+        (1, 1, 0, "message", "assistant", "old"), (1, 1, 1, "regenerate", None, None), (1, 1, 2, "delta", "assistant", "new"),
+        (1, 2, 0, "message", "assistant", "a"), (1, 2, 1, "delta", "assistant", "b"), (1, 2, 2, "message", "user", "c"),
+        (1, 2, 3, "delta", "user", "d"), (1, 3, 0, "message", "user", "x"), (1, 3, 1, "edit", "user", "y"),
+        (1, 3, 1, "delta", "user", "z"), (1, 3, 1, "delta", "user", "a"), (1, 4, 0, "edit", "user", "e"),
+        (1, 4, 0, "edit", "user", "e"), (1, 4, 1, "message", "assistant", "m")],
+        "conv_id long, turn long, seq long, kind string, role string, text string")
+    got = {r.conv_id: [(t.role, t.text, t.loss) for t in r.turns] for r in chat.parse_chats(chat.format_chats(log)).collect()}
+    assert got == {1: [("user", "Hi", False), ("assistant", "new", True), ("assistant", "ab", True), ("user", "cd", False),
+                       ("user", "yz", False), ("user", "e", False), ("assistant", "m", True)]}
+
+
 def brute_lines(rows):
     seen, gone = {}, {}
     for i, t in sorted(rows):
