@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millstone.llm.common import table
+from millstone.llm.common import row_key, staged, table
 from millstone.llm.tokens import Words, cut_words, mix, slices
 
 NGRAMS = (3, 4, 5)
@@ -274,15 +274,18 @@ def fit_model(texts: list[str], y: np.ndarray, share: float) -> Model:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> tuple[list[str], np.ndarray, float]:
     """(texts, labels, share of class 1 among all labels): at most ``per_class``
-    ids of each class, by hash; only those ids are sent to the scan."""
+    ids of each class, by hash; only those ids are sent to the scan.  Of their
+    rows, equal ones once, at most ``per_class`` of each class come back."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("y")).where("y in (0, 1) and doc_id is not null").distinct()
     counts = dict(known.groupBy("y").count().collect())
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     order = [F.xxhash64(F.lit(label), "doc_id"), F.col("doc_id")]
     picked = known.where("y = 1").orderBy(*order).limit(per_class).union(
         known.where("y = 0").orderBy(*order).limit(per_class))
-    rows = (docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-            .select("doc_id", "y", F.coalesce("text", F.lit("")).alias("text")).collect())
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+    texts = staged(texts.select("doc_id", "y", "text", *row_key("text")).groupBy("doc_id", "y", "rk1", "rk2")
+                   .agg(F.first("text").alias("text")), f"sample-{label}")
+    rows = [r for y in (0, 1) for r in texts.where(F.col("y") == y).orderBy(*order, "rk1", "rk2").limit(per_class).collect()]
     rows.sort(key=lambda r: (r.y, r.doc_id, r.text))
     return [r.text for r in rows], np.array([r.y for r in rows], np.int64), share
 

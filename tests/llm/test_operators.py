@@ -329,6 +329,14 @@ def test_classifiers(spark, kind):
     assert got.limit(0).count() == 0
 
 
+def test_labelled_sample_bounds_rows(spark):
+    d = docs(spark, [(1, "same")] * 50 + [(2, f"text {k}") for k in range(50)] + [(3, None), (4, "good")])
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 0), (4, 0)], "doc_id long, toxic int")
+    texts, y, share = subwords.labelled_sample(d, labels, "toxic", 10)
+    assert (y == 1).sum() <= 10 and texts.count("same") <= 1 and share == 0.5
+    assert sorted(t for t, v in zip(texts, y) if v == 0) == ["", "good"]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
