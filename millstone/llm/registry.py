@@ -9,6 +9,7 @@ from millstone.llm.decontam import OP2_SQL, op2_decontamination
 from millstone.llm.embeddings import op4_embedding_dedup
 from millstone.llm.lines import OP9_SQL, op9_line_dedup
 from millstone.llm.minhash import op6_minhash
+from millstone.llm.phrases import OP12_SQL, op12_collocations
 from millstone.llm.repeats import op10_repeats
 from millstone.llm.secrets import op3_secret_scan
 from millstone.llm.subwords import op8_toxicity
@@ -24,10 +25,12 @@ LLM_QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_repeats": op10_repeats,
+    "op12_collocations": op12_collocations,
 }
 
 LLM_ORACLE = {
     "op1_chat_format": OP1_SQL,
     "op2_decontamination": OP2_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op12_collocations": OP12_SQL,
 }
