@@ -7,9 +7,10 @@ shorter, and the entries of a pair's stripe are the pair's extensions, so that
 frequencies, parts of a cut and subsumption are all read off one structure.
 
 1. Every block (a run of rows of one scan task) counts its stripe entries by
-   64-bit hashes and sends the counts to the cells of a hash range.  A cell adds
-   them up and answers which entries reach the minimum count.  Different phrases
-   that share a hash can only be counted too high, so nothing is lost here.
+   48-bit hashes and sends the counts to the cells of a hash range.  A cell adds
+   them up and answers with one bit an entry: may it reach the minimum count?
+   Different phrases that share a hash are counted too high, never too low, so
+   nothing is lost here.
 2. The answers meet the block's texts.  The block builds its stripes from the
    entries that may be frequent, with their words, and the stripes are merged
    elementwise by (language, prefix).  A stripe is dealt in segments of its next
@@ -48,6 +49,7 @@ LONGEST = 3
 #: a phrase goes where a longer one holds this share (per cent) of it
 SUBSUMED = 50
 TOP = 2000
+PARTS = 16
 #: segments of a stripe are the cells over this
 CELLS_PER_SEGMENT = 64
 BLOCK_BYTES = 8 << 20
@@ -57,6 +59,8 @@ BLANK, PIECE = 1, 2
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = BLANK
 _KIND[[ord(c) for c in ".,;:!?"] + [0x0A, 0x0B, 0x0C, 0x0D]] = PIECE
+#: keys keep 48 bits
+_SHORT = np.uint64(16)
 _A, _B = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -78,15 +82,17 @@ class Phrases:
         salt = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "big") for x in self.langs],
                         np.uint64)
         self.at = [np.arange(len(h))]
-        self.keys = [mix(h ^ salt[self.lang])]
+        lead = mix(h ^ salt[self.lang])
+        self.keys = [lead >> _SHORT]
         whole = np.ones(len(h), bool)
         for k in range(1, LONGEST):
             whole = whole[:-1] & (piece[k:] == piece[:len(piece) - k]) if len(whole) else whole
             at = np.flatnonzero(whole)
             prefix = np.zeros(len(h), np.uint64)
-            prefix[self.at[-1]] = self.keys[-1]
+            prefix[self.at[-1]] = lead
+            lead = mix(prefix[at] * _A + h[at + k] * _B + np.uint64(k))
             self.at.append(at)
-            self.keys.append(mix(prefix[at] * _A + h[at + k] * _B + np.uint64(k)))
+            self.keys.append(lead >> _SHORT)
         self.word_hash = h
 
     def _hashes(self) -> np.ndarray:
@@ -111,8 +117,8 @@ class Phrases:
 
 
 def _cell_ends(keys: np.ndarray, cells: int) -> list[int]:
-    """Cells are ranges of the upper half of a key."""
-    return np.searchsorted(((keys >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32), np.arange(cells + 1)).tolist()
+    """Cells are ranges of the upper 32 bits of a key."""
+    return np.searchsorted(((keys >> np.uint64(16)) * np.uint64(cells)) >> np.uint64(32), np.arange(cells + 1)).tolist()
 
 
 def _pack(a: np.ndarray) -> bytes:
@@ -126,6 +132,10 @@ def _unpack(b: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(width, -1).T).view(kind).ravel()
 
 
+def _read_keys(b: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(b, np.uint64), dtype=np.uint64)
+
+
 def _in_sorted(a: np.ndarray, sorted_values: np.ndarray) -> np.ndarray:
     if not len(sorted_values):
         return np.zeros(len(a), bool)
@@ -151,71 +161,87 @@ def stripe_entries(docs: DataFrame, lang_col: str | None = "lang", text_col: str
         release()
 
     def answer(t: pa.Table) -> pa.Table:
-        asked = [np.cumsum(_unpack(x, np.uint64), dtype=np.uint64) for x in t["keys"].to_pylist()]
+        asked = [_read_keys(x) for x in t["keys"].to_pylist()]
         n = np.concatenate([_unpack(x, np.uint32) for x in t["n"].to_pylist()]).astype(np.int64)
         keys = np.concatenate(asked)
         order = np.argsort(keys)
         keys = keys[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         often = keys[first][np.add.reduceat(n[order], first) >= min_count]
-        found = [_pack(np.diff(a[_in_sorted(a, often)], prepend=np.uint64(0))) for a in asked]
-        return pa.table({"block": t["block"], "keys": pa.array(found, pa.binary())})
+        found = [np.packbits(_in_sorted(a, often)).tobytes() for a in asked]
+        return pa.table({"block": t["block"], "cell": t["cell"], "often": pa.array(found, pa.binary())})
 
     def build(left: pa.Table, right: pa.Table) -> pa.Table:
-        often = [np.cumsum(_unpack(x, np.uint64), dtype=np.uint64) for x in right["keys"].to_pylist()]
-        often = np.unique(np.concatenate(often)) if often else np.zeros(0, np.uint64)
+        answers = dict(zip(right["cell"].to_pylist(), right["often"].to_pylist()))
         out = []
         for langs, blob, sizes in zip(*(left[c].to_pylist() for c in ("ids", "blob", "sizes"))):
-            out += _stripes(Phrases(langs, split_parts(blob, sizes)), often, cells, segments)
+            p = Phrases(langs, split_parts(blob, sizes))
+            keys, _ = p.counted()
+            ends = _cell_ends(keys, cells)
+            bits = [np.unpackbits(np.frombuffer(answers[c], np.uint8), count=b - a)
+                    for c, (a, b) in enumerate(zip(ends, ends[1:])) if b > a]
+            often = keys[np.concatenate(bits).astype(bool)] if bits else keys
+            out += _stripes(p, often, cells, segments)
         release()
-        return pa.concat_tables(out) if out else _STRIPE.empty_table()
+        return pa.concat_tables(out) if out else _STRIPES.empty_table()
 
     def merge(t: pa.Table) -> pa.Table:
-        m = t.drop_columns(["cell"]).group_by(["lang", "k", "prefix", "next"]).aggregate([("f", "sum")])
-        m = m.rename_columns(["lang", "k", "prefix", "next", "f"])
-        m = m.filter(pc.or_(pc.equal(m["k"], 0), pc.greater_equal(m["f"], min_count)))
-        return m.cast(_ENTRY)
+        part = []
+        for lang, lines, n in zip(*(t[c].to_pylist() for c in ("lang", "lines", "n"))):
+            f = _unpack(n, np.uint32).astype(np.int64)
+            line = zstandard.ZstdDecompressor().decompress(lines).decode().split("\n")
+            part.append(pa.table({"lang": pa.array([lang], pa.string()).take(pa.array(np.zeros(len(f), np.int64))),
+                                  "line": pa.array(line, pa.string()), "f": f}))
+        m = pa.concat_tables(part).group_by(["lang", "line"]).aggregate([("f", "sum")])
+        m = m.filter(pc.or_(pc.equal(m["line"], "\t"), pc.greater_equal(m["f_sum"], min_count)))
+        return pa.table({"lang": m["lang"], "line": m["line"], "f": m["f_sum"]})
 
     asked = src.mapInArrow(count_entries, "block string, cell int, keys binary, n binary")
-    answers = asked.groupBy("cell").applyInArrow(answer, "block string, keys binary")
+    answers = asked.groupBy("cell").applyInArrow(answer, "block string, cell int, often binary")
     stripes = kept_texts(src, BLOCK_BYTES).groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        build, "cell int, lang string, k int, prefix string, next string, f long")
-    return stripes.groupBy("cell").applyInArrow(merge, "lang string, k int, prefix string, next string, f long")
+        build, "cell int, lang string, lines binary, n binary")
+    merged = stripes.groupBy("cell").applyInArrow(merge, "lang string, line string, f long")
+    prefix = F.substring_index("line", "\t", 1)
+    return merged.select("lang", F.expr("""case when line = '\\t' then 0 when line like '\\t%' then 1
+                                           when line like '% %\\t%' then 3 else 2 end""").alias("k"),
+                         prefix.alias("prefix"), F.substring_index("line", "\t", -1).alias("next"), "f")
 
 
-_ENTRY = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("prefix", pa.string()), ("next", pa.string()), ("f", pa.int64())])
-_STRIPE = pa.schema([("cell", pa.int32()), *_ENTRY])
+_STRIPES = pa.schema([("cell", pa.int32()), ("lang", pa.string()), ("lines", pa.binary()), ("n", pa.binary())])
 
 
 def _stripes(p: Phrases, often: np.ndarray, cells: int, segments: int) -> list[pa.Table]:
-    """The block's stripes, one table per prefix length; entries of a stripe's
-    segment share a cell."""
-    langs = pa.array(p.langs.tolist(), pa.string())
+    """The block's stripes: per cell and language the entries (a line ``prefix
+    tab next`` each; no word holds either) and their counts.  Entries of a
+    stripe's segment share a cell; the line of a lone tab counts all words."""
     seen, n = np.unique(p.lang, return_counts=True)
-    out = [pa.table({"cell": pa.array(seen % cells, pa.int32()), "lang": langs.take(pa.array(seen)),
-                     "k": pa.array(np.zeros(len(seen)), pa.int32()), "prefix": pa.array([""] * len(seen)),
-                     "next": pa.array([""] * len(seen)), "f": pa.array(n, pa.int64())}, schema=_STRIPE)]
+    part = [pa.table({"cell": (seen % cells).astype(np.int32), "lang": seen.astype(np.int32),
+                      "line": pa.array(["\t"] * len(seen), pa.large_string()), "f": n.astype(np.int64)})]
     for k, (at, keys) in enumerate(zip(p.at, p.keys)):
         at = at[_in_sorted(keys, often)]
         if not len(at):
             continue
-        # occurrences of one entry lie together: by key, then exactly by words
         text = [p.words(at + j) for j in range(k + 1)]
-        nxt = text[-1]
-        prefix = (pa.array([""], pa.large_string()).take(pa.array(np.zeros(len(at), np.int64))) if k == 0
-                  else text[0] if k == 1 else pc.binary_join_element_wise(*text[:-1], pa.scalar(" ", pa.large_string())))
+        blank, tab, none = (pa.scalar(x, pa.large_string()) for x in (" ", "\t", ""))
+        prefix = pc.binary_join_element_wise(*text[:-1], blank) if k else none
         # dealt by the hash of the prefix and a segment of the next word
         lead = np.zeros(len(at), np.uint64)
         for j in range(k):
             lead = mix(lead * _A + p.word_hash[at + j])
-        part = mix(p.word_hash[at + k] ^ _B) % np.uint64(segments if k else cells)
-        cell = (mix(lead * _B + part + np.uint64(k)) % np.uint64(cells)).astype(np.int32)
-        t = pa.table({"cell": cell, "lang": p.lang[at], "prefix": prefix, "next": nxt})
-        t = t.group_by(["cell", "lang", "prefix", "next"]).aggregate([([], "count_all")])
-        out.append(pa.table({"cell": t["cell"], "lang": langs.take(t["lang"].combine_chunks()),
-                             "k": pa.array(np.full(len(t), k + 1), pa.int32()), "prefix": t["prefix"].cast(pa.string()),
-                             "next": t["next"].cast(pa.string()), "f": t["count_all"]}, schema=_STRIPE))
-    return out
+        segment = mix(p.word_hash[at + k] ^ _B) % np.uint64(segments if k else cells)
+        cell = (mix(lead * _B + segment + np.uint64(k)) % np.uint64(cells)).astype(np.int32)
+        t = pa.table({"cell": cell, "lang": p.lang[at], "line": pc.binary_join_element_wise(prefix, text[-1], tab)})
+        t = t.group_by(["cell", "lang", "line"]).aggregate([([], "count_all")])
+        part.append(pa.table({"cell": t["cell"], "lang": t["lang"], "line": t["line"], "f": t["count_all"]}))
+    t = pa.concat_tables(part)
+    t = t.take(pc.sort_indices(t, [("cell", "ascending"), ("lang", "ascending")])).combine_chunks()
+    cell, lang, f = (t[c].to_numpy() for c in ("cell", "lang", "f"))
+    line = t["line"].combine_chunks()
+    first = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (lang[1:] != lang[:-1])])) if len(cell) else []
+    z = zstandard.ZstdCompressor(level=3)
+    rows = [(cell[a], p.langs[lang[a]], z.compress("\n".join(line[a:b].to_pylist()).encode()), _pack(f[a:b].astype(np.uint32)))
+            for a, b in zip(first, [*first[1:], len(cell)])]
+    return [pa.Table.from_pylist([dict(zip(_STRIPES.names, r)) for r in rows], schema=_STRIPES)]
 
 
 def _score(a, left, right):
@@ -254,8 +280,12 @@ def collocations(docs: DataFrame, lang_col: str | None = "lang", text_col: str =
             .withColumn("second", F.coalesce(F.col("s2") < F.col("s1"), F.lit(False))))
     kept = kept.select("lang", "phrase", "a", F.expr("if(second, l2, l1)").alias("l"), F.expr("if(second, r2, r1)").alias("r"),
                        F.expr("if(second, s2, s1)").alias("score"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # a language's phrases are ranked in parts first: its last task gets PARTS * top rows at most
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    kept = kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    for by in (["lang", "part"], ["lang"]):
+        kept = kept.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("rank") <= top)
+    ranked = kept
     words = t.where("k = 0").select("lang", F.col("f").alias("n"))
     return ranked.join(words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
