@@ -12,6 +12,7 @@ from millstone.llm.minhash import op6_minhash
 from millstone.llm.phrases import OP12_SQL, op12_collocations
 from millstone.llm.repeats import op10_repeats
 from millstone.llm.secrets import op3_secret_scan
+from millstone.llm.shards import op13_sharding
 from millstone.llm.subwords import op8_toxicity
 
 LLM_QUERIES = {
@@ -26,6 +27,7 @@ LLM_QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_repeats": op10_repeats,
     "op12_collocations": op12_collocations,
+    "op13_sharding": op13_sharding,
 }
 
 LLM_ORACLE = {
