@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from millstone.llm.align import op11_alignment
 from millstone.llm.bpe import op5_bpe
 from millstone.llm.chat import OP1_SQL, op1_chat_format
 from millstone.llm.compression import op7_quality
@@ -26,6 +27,7 @@ LLM_QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_repeats": op10_repeats,
+    "op11_alignment": op11_alignment,
     "op12_collocations": op12_collocations,
     "op13_sharding": op13_sharding,
 }
