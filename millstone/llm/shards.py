@@ -40,7 +40,8 @@ from millstone.llm.common import staged, table
 
 SHARDS = 8
 ROUNDS = 12
-#: rows of a bucket of a running sum, about
+#: buckets of a running sum: so many and one more per so many rows
+BUCKETS = 256
 BUCKET_ROWS = 1 << 17
 #: salts by which a class's members are dealt at least
 SALTS = 64
@@ -121,7 +122,7 @@ def propagate(members: DataFrame, ties: DataFrame, rows: int, linked: int, shard
     """Balanced label propagation: (class, label, n), and per round the moved
     documents and the linked pairs within shards."""
     capacity = capacities(rows, shards)
-    buckets = 1 + linked // BUCKET_ROWS
+    buckets = BUCKETS + linked // BUCKET_ROWS
     sizes = members.groupBy("class").agg(F.sum("n").alias("n")).withColumn("bucket", F.pmod(F.xxhash64("class"), F.lit(buckets)))
     dealt = running_sum(sizes, [], ["bucket"], ["class"], "n", "at")
     state = dealt.select("class", "n", "at", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("label"))
@@ -195,7 +196,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, links: list[str] | No
         *hashes, F.monotonically_increasing_id().alias("row"), kept), "shards-rows")
     rows = base.count()
     salts = SALTS + rows // BUCKET_ROWS
-    buckets = 1 + rows // BUCKET_ROWS
+    buckets = BUCKETS + rows // BUCKET_ROWS
     # the class of rows with the same links; a row without links has no class
     base = base.withColumn("class", F.concat_ws("|", *names)).withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)))
     members, ties = linked_classes(base.select("class", "salt", *names), names, shards)
