@@ -37,6 +37,7 @@ import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,10 @@ BLOCK_BYTES = 4 << 20
 HASH_BYTES = 1 << 20
 #: bytes of units encoded in one call, about
 RUN_BYTES = 1 << 15
+#: units that a worker remembers between blocks, at most about
+KNOWN = 1 << 19
+
+_ROW = ["n_a", "n_b", "n_groups", "n_links"]
 
 
 @cache
@@ -65,6 +70,11 @@ def byte_level() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(other)}
 
 
+def _columns(pairs: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    flat = np.fromiter(chain.from_iterable(pairs), np.int64, 2 * len(pairs))
+    return flat[::2], flat[1::2]
+
+
 class TokenizerA:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -81,8 +91,7 @@ class TokenizerA:
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, first characters, end characters)"""
         e = self.t.encode(text, add_special_tokens=False)
-        at = np.array(e.offsets, np.int64).reshape(-1, 2)
-        return np.array(e.ids, np.int64), at[:, 0], at[:, 1]
+        return (np.array(e.ids, np.int64), *_columns(e.offsets))
 
 
 class TokenizerB:
@@ -101,10 +110,10 @@ class TokenizerB:
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         r = self.t.encode(text[1:], return_type="offset_mapping")
-        at = np.array(r["offsets"], np.int64).reshape(-1, 2) + 1
-        if len(at):
-            at[0, 0] = 0
-        return np.array(r["ids"], np.int64), at[:, 0], at[:, 1]
+        start, end = _columns(r["offsets"])
+        start, end = start + 1, end + 1
+        start[:1] = 0
+        return np.array(r["ids"], np.int64), start, end
 
 
 @cache
@@ -121,7 +130,8 @@ def byte_ends(tok, text: str, raw: bytes) -> tuple[np.ndarray, np.ndarray] | Non
     if not len(ids):
         return ids, end
     if len(raw) != len(text):
-        byte_of = np.cumsum([0, *(1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF) for c in map(ord, text))])
+        c = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        byte_of = np.concatenate([[0], np.cumsum(1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF))])
     else:
         byte_of = np.arange(len(raw) + 1)
     ends = byte_of[np.minimum(end, len(text))]
@@ -170,6 +180,63 @@ class Units:
     code: np.ndarray
     times: np.ndarray
 
+    def take(self, i: np.ndarray) -> Units:
+        n = self.first[i + 1] - self.first[i]
+        first = np.concatenate([[0], np.cumsum(n)])
+        at = np.repeat(self.first[i] - first[:-1], n) + np.arange(first[-1])
+        return Units(*(getattr(self, c)[i] for c in ("good", *_ROW)), [self.text[k] for k in i.tolist()], first,
+                     self.code[at], self.times[at])
+
+    def join(self, other: Units) -> Units:
+        return Units(*(np.concatenate([getattr(self, c), getattr(other, c)]) for c in ("good", *_ROW)), self.text + other.text,
+                     np.concatenate([self.first, self.first[-1] + other.first[1:]]),
+                     np.concatenate([self.code, other.code]), np.concatenate([self.times, other.times]))
+
+
+def _gather(raw: np.ndarray, first: np.ndarray, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, starts) of the entries i of a list of byte strings."""
+    n = first[i + 1] - first[i]
+    out = np.concatenate([[0], np.cumsum(n)])
+    return raw[np.repeat(first[i] - out[:-1], n) + np.arange(out[-1])], out
+
+
+class Known:
+    """Units of earlier blocks, found by hash and compared by bytes.  At most
+    ``KNOWN`` of them: beyond it those stay that several blocks held."""
+
+    def __init__(self):
+        self.hash, self.uses = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.raw, self.first, self.units = np.zeros(0, np.uint8), np.zeros(1, np.int64), None
+
+    def find(self, hashes: np.ndarray, raw: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The place of each unit here, or -1; ``hashes`` are distinct."""
+        place = np.full(len(hashes), -1, np.int64)
+        if not len(self.hash):
+            return place
+        order = np.argsort(self.hash)
+        at = order[np.minimum(np.searchsorted(self.hash[order], hashes), len(order) - 1)]
+        size = first[1:] - first[:-1]
+        k = np.flatnonzero((self.hash[at] == hashes) & ((self.first[1:] - self.first[:-1])[at] == size))
+        theirs, edge = _gather(self.raw, self.first, at[k])
+        mine, _ = _gather(raw, first, k)
+        differ = np.concatenate([[0], np.cumsum(theirs != mine)])
+        k = k[differ[edge[1:]] == differ[edge[:-1]]]
+        place[k] = at[k]
+        self.uses[at[k]] += 1
+        return place
+
+    def add(self, hashes: np.ndarray, raw: np.ndarray, first: np.ndarray, units: Units) -> None:
+        if len(self.hash) + len(hashes) > KNOWN and len(self.hash):
+            keep = np.flatnonzero(self.uses > 1)
+            keep = keep[np.argsort(-self.uses[keep], kind="stable")[: KNOWN // 2]]
+            (self.raw, self.first), self.units = _gather(self.raw, self.first, keep), self.units.take(keep)
+            self.hash, self.uses = self.hash[keep], self.uses[keep]
+        self.units = self.units.join(units) if self.units else units
+        self.hash = np.concatenate([self.hash, hashes])
+        self.uses = np.concatenate([self.uses, np.ones(len(hashes), np.int64)])
+        self.first = np.concatenate([self.first, self.first[-1] + first[1:]])
+        self.raw = np.concatenate([self.raw, raw])
+
 
 def _entries(group: np.ndarray, ids: np.ndarray, width: int):
     """Distinct (group, id), their numbers, and the entries of each group."""
@@ -182,6 +249,7 @@ class Aligner:
         self.a, self.b = tokenizer("A", path_a), tokenizer("B", path_b)
         self.names = [str(i) for i in range(max(len(self.a.bytes), len(self.b.bytes)))]
         self.width = len(self.b.bytes)
+        self.known = Known()
 
     def runs(self, units: list[bytes], may_end: np.ndarray) -> Iterator[tuple[list[int], bytes]]:
         """Runs of units as (numbers, bytes)."""
@@ -288,19 +356,32 @@ class Aligner:
         if same and len(data):
             shift = np.repeat(start[one][inv] - start, size)
             same = np.array_equal(data, data[shift + np.arange(len(data))])
-        raw = data.tobytes()
         if not same:
             seen: dict = {}
+            raw = data.tobytes()
             inv = np.array([seen.setdefault((raw[x:y], z), len(seen)) for x, y, z in zip(start.tolist(), end.tolist(), tail.tolist())])
             _, one = np.unique(inv, return_index=True)
-        units = [raw[x:y] for x, y in zip(start[one].tolist(), end[one].tolist())]
+        raw, edge = _gather(data, np.append(start, len(data)), one)
+        place = self.known.find(h[one], raw, edge) if same else np.full(len(one), -1, np.int64)
+        new = np.flatnonzero(place < 0)
+        fresh, cuts = _gather(raw, edge, new)
+        whole = fresh.tobytes()
+        found = self.units([whole[x:y] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist())], tail[one][new])
+        if len(new) < len(one):
+            at = np.empty(len(one), np.int64)
+            at[new], at[place >= 0] = np.arange(len(new)), len(new) + np.arange(len(one) - len(new))
+            units = found.join(self.known.units.take(place[place >= 0])).take(at)
+        else:
+            units = found
+        if same:
+            self.known.add(h[one][new], fresh, cuts, found)
         sizes = np.array([len(t) for t in texts], np.int64)
         lead = np.zeros(len(texts) + 1, np.int64)
         lead[:-1][sizes > 0] = np.searchsorted(start, first)
         lead[-1] = len(start)
         for i in np.flatnonzero(sizes == 0)[::-1].tolist():
             lead[i] = lead[i + 1]
-        return self.units(units, tail[one]), inv, lead
+        return units, inv, lead
 
 
 @cache
@@ -321,9 +402,6 @@ def _cells(codes: np.ndarray, cells: int) -> np.ndarray:
     return (mix(codes.astype(np.uint64)) % np.uint64(cells)).astype(np.int64)
 
 
-_ROW = ["n_a", "n_b", "n_groups", "n_links"]
-
-
 def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str) -> DataFrame:
     """One row per block: per document its id, sizes and digest; the block's
     distinct pairs, the documents of each, and per document its pairs as
