@@ -390,7 +390,7 @@ def aligner(path_a: str, path_b: str) -> Aligner:
 
 
 def _pack(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(len(a), -1).T.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
 
 
 def _unpack(b: bytes, kind) -> np.ndarray:

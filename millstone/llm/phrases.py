@@ -79,8 +79,8 @@ class Phrases:
         self.langs, code = np.unique(np.array(langs, object).astype(str), return_inverse=True)
         self.lang = code[np.searchsorted(first, self.start, "right") - 1].astype(np.int32)
         h = self._hashes()
-        salt = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "big") for x in self.langs],
-                        np.uint64)
+        self.salt = salt = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "big") for x in self.langs],
+                                    np.uint64)
         self.at = [np.arange(len(h))]
         lead = mix(h ^ salt[self.lang])
         self.keys = [lead >> _SHORT]
@@ -123,7 +123,7 @@ def _cell_ends(keys: np.ndarray, cells: int) -> list[int]:
 
 def _pack(a: np.ndarray) -> bytes:
     """Bytes of like rank lie together, so that the empty upper ones cost nothing."""
-    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(len(a), -1).T.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
 
 
 def _unpack(b: bytes, kind) -> np.ndarray:
@@ -215,7 +215,7 @@ def _stripes(p: Phrases, often: np.ndarray, cells: int, segments: int) -> list[p
     tab next`` each; no word holds either) and their counts.  Entries of a
     stripe's segment share a cell; the line of a lone tab counts all words."""
     seen, n = np.unique(p.lang, return_counts=True)
-    part = [pa.table({"cell": (seen % cells).astype(np.int32), "lang": seen.astype(np.int32),
+    part = [pa.table({"cell": (p.salt[seen] % np.uint64(cells)).astype(np.int32), "lang": seen.astype(np.int32),
                       "line": pa.array(["\t"] * len(seen), pa.large_string()), "f": n.astype(np.int64)})]
     for k, (at, keys) in enumerate(zip(p.at, p.keys)):
         at = at[_in_sorted(keys, often)]

@@ -82,8 +82,11 @@ def admitted(wanted: list[list[int]], load: list[int], capacity: list[int]) -> l
         if not over:
             return flow
         for j, (into, room) in over.items():
+            left = room
             for i in range(k):
-                flow[i][j] = flow[i][j] * room // into
+                share = min(flow[i][j], -(-flow[i][j] * room // into), left)
+                left -= share
+                flow[i][j] = share
 
 
 def _tie(label) -> str:
@@ -131,7 +134,7 @@ def propagate(members: DataFrame, ties: DataFrame, rows: int, linked: int, shard
         f"cast((at + n + {shards - 1} - label) div {shards} - (at + {shards - 1} - label) div {shards} as long)").alias("n")).where("n > 0")
     state = staged(state, "shards-state")
     log: list[dict] = []
-    open_to = [True] * shards
+    load, open_to = capacities(linked, shards), [True] * shards
     for k in range(rounds):
         pull = (state.join(ties, "class").groupBy("link").agg(
             *[F.sum(F.when(F.col("label") == s, F.col("n")).otherwise(0)).alias(f"p{s}") for s in range(shards)]))
@@ -140,8 +143,10 @@ def propagate(members: DataFrame, ties: DataFrame, rows: int, linked: int, shard
         best = F.expr("array_max(array(" + ", ".join(
             f"named_struct('p', p{s}, 't', {_tie(s)}, 's', {s})" for s in range(shards) if open_to[s]) + "))")
         here = F.expr("element_at(array(" + ", ".join(f"p{s}" for s in range(shards)) + "), label + 1)")
+        # of two equal pulls that of a full shard is the weaker one
+        closed = "array_contains(array(" + ", ".join(str(s) for s in [-1, *range(shards)] if s < 0 or not open_to[s]) + "), label)"
         moves = (state.join(pull, "class").withColumn("best", best).withColumn("here", here)
-                 .where(f"best.s <> label and (best.p > here or best.p = here and best.t > {_tie('label')})")
+                 .where(f"best.s <> label and (best.p > here or best.p = here and best.t > if({closed}, -1L, {_tie('label')}))")
                  .select("class", "label", F.col("best.s").alias("to"), "n",
                          F.expr("-cast(floor(log2(best.p + 1)) as int)").alias("gain"),
                          F.pmod(F.xxhash64("class"), F.lit(buckets)).alias("bucket")))
@@ -150,25 +155,22 @@ def propagate(members: DataFrame, ties: DataFrame, rows: int, linked: int, shard
         wanted = [[0] * shards for _ in range(shards)]
         for r in moves.groupBy("label", "to").agg(F.sum("n").alias("n")).collect():
             wanted[r.label][r.to] = r.n
-        load = [0] * shards
-        for r in state.groupBy("label").agg(F.sum("n").alias("n")).collect():
-            load[r.label] = r.n
         flow = admitted(wanted, load, capacity)
-        log.append({"round": k, "wanted": sum(map(sum, wanted)), "moved": sum(map(sum, flow)), "load": load})
+        log.append({"round": k, "wanted": sum(map(sum, wanted)), "moved": sum(map(sum, flow)), "load": list(load)})
         if not log[-1]["moved"]:
             break
         room = "element_at(" + _numbers(x for row in flow for x in row) + f", label * {shards} + to + 1)"
         go = (running_sum(moves, ["label", "to"], ["gain", "bucket"], ["class"], "n", "at")
               .withColumn("m", F.expr(f"greatest(0L, least(n, {room} - at))")).where("m > 0"))
-        go = staged(go.select("class", "label", "to", "m"), "shards-go")
-        after = (state.unionByName(go.select("class", "label", (-F.col("m")).alias("n")))
-                 .unionByName(go.select("class", F.col("to").alias("label"), F.col("m").alias("n"))))
-        state = staged(after.groupBy("class", "label").agg(F.sum("n").alias("n")).where("n > 0"), "shards-state")
-        gone = [sum(row) for row in flow]
+        change = go.select("class", F.explode(F.expr(
+            "array(struct(label, -m as n), struct(to as label, m as n))")).alias("c")).select("class", "c.label", "c.n")
+        state = staged(state.unionByName(change).groupBy("class", "label").agg(F.sum("n").alias("n")).where("n > 0"), "shards-state")
         came = [sum(flow[i][j] for i in range(shards)) for j in range(shards)]
-        open_to = [load[s] + came[s] - gone[s] < capacity[s] or came[s] > 0 for s in range(shards)]
+        load = [load[s] + came[s] - sum(flow[s]) for s in range(shards)]
+        # shards with room are open; if all are full, those that swapped
+        open_to = [capacity[s] - load[s] > capacity[s] // 16 for s in range(shards)]
         if not any(open_to):
-            break
+            open_to = [c > 0 for c in came]
     return state, log
 
 
@@ -180,11 +182,10 @@ def cut_pairs(state: DataFrame) -> DataFrame:
     return c.agg(F.sum("pairs").alias("pairs"), F.sum(F.col("pairs") - F.col("within")).alias("cut"))
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, links: list[str] | None = None, id_col: str = "doc_id",
-                    text_col: str = "text", carry: list[str] | None = None, rounds: int = ROUNDS) -> DataFrame:
-    """(id, size, text_crc32, shard, slot, carried columns): every row of
-    ``docs`` in one of ``shards`` shards, rows with equal values in one of the
-    ``links`` columns (default: the text) together where capacity allows."""
+def placed(docs: DataFrame, shards: int, links: list[str] | None, id_col: str | None, text_col: str,
+           carry: list[str] | None, rounds: int = ROUNDS) -> DataFrame:
+    """(id, size, crc, shard, slot, carried) of every row of ``docs``;
+    ``carried`` is a struct of the ``carry`` columns."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     values = [text if c == text_col else F.col(f"`{c}`").cast("string") for c in links or [text_col]]
     names = [f"l{k}" for k in range(len(values))]
@@ -192,7 +193,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, links: list[str] | No
               .alias(n) for k, (n, v) in enumerate(zip(names, values))]
     kept = F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried") if carry else F.lit(None).cast("int").alias("carried")
     base = staged(docs.select(
-        F.col(id_col).alias("id"), (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text).alias("crc"),
+        F.col(f"`{id_col}`").alias("id") if id_col else F.lit(None).cast("int").alias("id"), (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text).alias("crc"),
         *hashes, F.monotonically_increasing_id().alias("row"), kept), "shards-rows")
     rows = base.count()
     salts = SALTS + rows // BUCKET_ROWS
@@ -220,18 +221,26 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, links: list[str] | No
     free = (free.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets))).withColumn("one", F.lit(1)))
     free = running_sum(free, [], ["bucket"], ["row"], "one", "at").withColumn("shard", F.expr(_step(room, "at")))
     cols = ["id", "size", "crc", "row", "shard", "carried"]
-    placed = (mine.select(*cols).unionByName(free.select(*cols))
-              .withColumn("bucket", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(buckets))).withColumn("one", F.lit(1)))
-    out = running_sum(staged(placed, "shards-placed"), ["shard"], ["bucket"], ["row"], "one", "slot")
+    both = (mine.select(*cols).unionByName(free.select(*cols))
+            .withColumn("bucket", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(buckets))).withColumn("one", F.lit(1)))
+    return running_sum(staged(both, "shards-placed"), ["shard"], ["bucket"], ["row"], "one", "slot")
+
+
+def shard_documents(docs: DataFrame, shards: int = SHARDS, links: list[str] | None = None, id_col: str = "doc_id",
+                    text_col: str = "text", carry: list[str] | None = None, rounds: int = ROUNDS) -> DataFrame:
+    """(id, size, text_crc32, shard, slot, carried columns): every row of
+    ``docs`` in one of ``shards`` shards, rows with equal values in one of the
+    ``links`` columns (default: the text) together where capacity allows."""
+    out = placed(docs, shards, links, id_col, text_col, carry, rounds)
     return out.select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.col("shard").cast("int").alias("shard"),
-                      "slot", *([F.col(f"carried.`{c}`").alias(c) for c in carry] if carry else []))
+                      "slot", *[F.col(f"carried.`{c}`").alias(c) for c in carry or []])
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, links: list[str] | None = None) -> None:
-    """The shards as Parquet folders ``shard=k`` with all columns of ``docs``,
-    in order of slot; a shard is written by many tasks, a range of slots each."""
-    d = shard_documents(docs.withColumn("_id", F.lit(None).cast("int")), shards, links, id_col="_id", carry=docs.columns).drop("_id")
-    d = d.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), "shard", "slot")
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, links: list[str] | None = None, text_col: str = "text") -> None:
+    """The shards as Parquet folders ``shard=k`` with slot and document (all
+    columns of ``docs``), in order of slot; many tasks write a shard, a range of
+    slots each."""
+    d = placed(docs, shards, links, None, text_col, docs.columns).select("shard", "slot", F.col("carried").alias("document"))
     d.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
