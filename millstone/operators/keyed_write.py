@@ -11,6 +11,9 @@ covers), so the target read is partition-pruned.
   batch (after a crash before the stream checkpoint advanced) finds its rows
   and appends nothing, so the write is idempotent.
   A NULL key matches a NULL key, a NULL partition value is a partition.
+  With ``commit=(stream, batch_id)`` the rows go below those partitions: a
+  replay overwrites what its batch left, looks for known keys in earlier
+  batches only, and nothing has to be held or counted before the write.
 * ``upsert`` — the batch wins: merged touched partitions are written to a
   staging folder below the shared checkpoint dir, then published with
   dynamic partition overwrite (a path is never overwritten while it is
@@ -68,18 +71,24 @@ def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]):
 
 
 def insert_only(src: DataFrame, path: str, key: str, partition_col: str,
-                range_col: str | None = "event_ts") -> int:
-    """``range_col``: a column the key embeds (event ids embed the event
-    time); existing rows outside the batch's [min, max] cannot collide, so
-    the target read is narrowed by a pushed-down range filter (row-group
-    skipping on time-sorted files) instead of reading whole days of keys."""
+                range_col: str | None = "event_ts", commit: tuple[str, int] | None = None) -> int:
+    """Returns the rows written.  ``range_col``: a column the key embeds (event
+    ids embed the event time); existing rows outside the batch's [min, max]
+    cannot collide, so the target read is narrowed by a pushed-down range filter
+    (row-group skipping on time-sorted files) instead of reading whole days of
+    keys."""
     spark = src.sparkSession
     src = src.persist()
     try:
         days = touched_values(src, partition_col)
+        if not days:
+            return 0
         new = src
-        if days and table_exists(spark, path):
-            existing = spark.read.parquet(path).filter(_in_partitions(partition_col, days))
+        stored = _with_commit(_stamp(src), commit).schema
+        if table_exists(spark, path):
+            existing = spark.read.schema(stored).parquet(path).filter(_in_partitions(partition_col, days))
+            if commit:
+                existing = existing.filter((F.col("stream") == commit[0]) & (F.col("batch_id") < commit[1]))
             if range_col and range_col in src.columns:
                 # bounds travel as text and are cast back to the column's type
                 # (a Python datetime literal would be a session-zone TIMESTAMP)
@@ -90,7 +99,14 @@ def insert_only(src: DataFrame, path: str, key: str, partition_col: str,
                                                | F.col(range_col).isNull())
             known = existing.select(key)
             new = src.join(known, src[key].eqNullSafe(known[key]), "left_anti")
-        new = _stamp(new).persist()
+        new = _with_commit(_stamp(new), commit)
+        if commit:
+            (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy(partition_col, "stream", "batch_id").parquet(path))
+            # counted in the footers of this batch's files
+            return (spark.read.schema(stored).parquet(path).filter(_in_partitions(partition_col, days))
+                    .filter((F.col("stream") == commit[0]) & (F.col("batch_id") == commit[1])).count())
+        new = new.persist()
         n = new.count()
         if n:
             new.write.mode("append").partitionBy(partition_col).parquet(path)
@@ -100,6 +116,12 @@ def insert_only(src: DataFrame, path: str, key: str, partition_col: str,
         src.unpersist()
 
 
+def _with_commit(df: DataFrame, commit: tuple[str, int] | None) -> DataFrame:
+    if not commit:
+        return df
+    return df.withColumn("stream", F.lit(commit[0])).withColumn("batch_id", F.lit(commit[1]).cast("long"))
+
+
 def upsert(src: DataFrame, path: str, keys: list[str], partition_col: str, batch_tag: str) -> int:
     """Returns the rows of the batch, all of which are in the table after it."""
     spark = src.sparkSession

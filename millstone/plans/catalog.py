@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millstone.plans import gold, silver
 from millstone.sources import refdata
+from millstone.streaming.commits import visible
 from millstone.sources.bronze import bronze_from_events, load_bronze
 
 
@@ -27,7 +28,7 @@ class Pipeline:
 
     def _table(self, name: str, build):
         if self.tables_dir:
-            return self.spark.read.parquet(f"{self.tables_dir}/{name}")
+            return visible(self.spark, self.tables_dir, name)
         return build()
 
     # reference data -------------------------------------------------------

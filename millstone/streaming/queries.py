@@ -15,31 +15,40 @@ from millstone.plans import registry
 from millstone.plans.catalog import Pipeline
 from millstone.session import scratch_path
 from millstone.sources.bronze import bronze_from_events
+from millstone.streaming.commits import commits
 from millstone.streaming.runners import (
-    RunAudit, deliver, drops_by_key, drops_by_slot, ingest_files, run_pipeline_stream, run_silver_stream)
+    deliver, drops_by_key, drops_by_slot, ingest_files, run_pipeline_stream, run_silver_stream)
 
 DROPS = 4       # deliveries per replayed table, of any size
 VERSIONS = {"production": [S.V_PRODUCTION], "vibration": list(S.VIBRATION_VERSIONS), "power": [S.V_POWER]}
 
 
-def _run(spark: SparkSession, sf_dir: str, domain: str, pipeline: bool, audit: RunAudit | None = None,
-         by_slot: bool = False) -> str:
+def _run(spark: SparkSession, sf_dir: str, domain: str, pipeline: bool, by_slot: bool = False) -> str:
     root = scratch_path(spark, f"stream-run/{domain}-{uuid.uuid4().hex}")
     raw = bronze_from_events(spark, sf_dir).filter(F.col("schema_version").isin(*VERSIONS[domain]))
     runner = run_pipeline_stream if pipeline else run_silver_stream
     deliver(drops_by_slot(raw) if by_slot else drops_by_key(raw, DROPS), root, lambda landing: runner(
-        spark, landing, f"{root}/tables", f"{root}/checkpoints", domain, audit=audit))
+        spark, landing, f"{root}/tables", f"{root}/checkpoints", domain))
     return f"{root}/tables"
 
 
 def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST14/X11/G16: one row per micro-batch of the production pipeline
-    stream (rows in, rows written) plus the Gold ``last_refresh``
-    (max ``loaded_at``).  Wall-clock values: rows-only check."""
-    audit = RunAudit()
-    tables = _run(spark, sf_dir, "production", True, audit)
+    """ST14/X11/G16: the commit log of the production pipeline stream (rows in,
+    written and quarantined per micro-batch) with the Gold ``last_refresh`` (max
+    ``loaded_at``).  Wall-clock values: rows-only check."""
+    tables = _run(spark, sf_dir, "production", True)
     last = spark.read.parquet(f"{tables}/production_hourly").select(F.max("loaded_at")).scalar()
-    return audit.to_df(spark).withColumn("last_refresh", last)
+    return commits(spark, tables).withColumn("last_refresh", last)
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST14/U2/X11: per stream, what its commits say they read, wrote and
+    rejected over all deliveries."""
+    logs = [commits(spark, _run(spark, sf_dir, d, False)) for d in VERSIONS]
+    log = logs[0].unionByName(logs[1]).unionByName(logs[2])
+    return log.groupBy("stream").agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("rows_in").alias("rows_in"), F.sum("rows_written").alias("rows_written"),
+        F.sum("rows_quarantined").alias("rows_quarantined"))
 
 
 def bronze_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +106,12 @@ def stream_gold_vibration_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.PLANS["vibration_hourly"](v).drop("loaded_at", "hour_date")
 
 
+def stream_gold_energy_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST11: hourly energy after upserts that reach already published hours."""
+    v = _view(spark, sf_dir, _run(spark, sf_dir, "power", True, by_slot=True))
+    return registry.PLANS["energy_hourly"](v).drop("loaded_at", "hour_date")
+
+
 def stream_gold_energy_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = _view(spark, sf_dir, _run(spark, sf_dir, "power", True))
     return registry.PLANS["energy_daily"](v).drop("loaded_at", "day_part")
@@ -106,6 +121,8 @@ from millstone.streaming.event_time import stream_dedup_within_watermark, stream
 
 STREAM_QUERIES = {
     "run_audit": (run_audit, None),
+    "run_log": (run_log, "run_log"),
+    "stream_gold_energy_hourly": (stream_gold_energy_hourly, "upserted_energy_hourly"),
     "bronze_stream_ingest": (bronze_stream_ingest, "profile_by_version"),
     "stream_hourly_tumbling": (stream_hourly_tumbling, "stream_hourly_tumbling"),
     "stream_dedup_within_watermark": (stream_dedup_within_watermark, "stream_dedup_within_watermark"),

@@ -3,41 +3,27 @@
 One streaming query per domain, each with its own checkpoint, reading the
 landing folder of raw messages (file source: only new files per trigger).
 Per micro-batch, ``foreachBatch`` runs the same pure Silver transform as
-the backfill and a keyed write; the stream offset advances only after the
-batch function returns, and the writes are idempotent under replay.  Gold
-is refreshed from Silver by recomputing the touched days.
+the backfill and a keyed write, and logs the commit; the stream offset advances
+only after the batch function returns, and the writes are idempotent under
+replay.  Gold is a stream of its own over the commit log (``gold_refresh``).
 """
 
 from __future__ import annotations
 
-import uuid
-from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millstone import schema as S
 from millstone.operators.dedup import batch_slot
-from millstone.operators.keyed_write import (
-    insert_only, overwrite_partitions, table_exists, touched_values, upsert, utc_now)
-from millstone.plans import gold, silver
-from millstone.session import scratch_path
+from millstone.operators.keyed_write import insert_only, table_exists, touched_values, upsert
+from millstone.plans import silver
 from millstone.sources import refdata
+from millstone.streaming.commits import commit, log_path, write_touched
+from millstone.streaming.gold_refresh import run_gold_stream
 
 PART = "event_date"
-GOLD_PART = "hour_date"
-
-
-@dataclass
-class RunAudit:
-    """ST14: what each micro-batch did (kept on the driver, small)."""
-    rows: list = field(default_factory=list)
-
-    def add(self, domain, batch_id, **counts):
-        self.rows.append({"domain": domain, "batch_id": batch_id, **counts})
-
-    def to_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.rows, "domain string, batch_id long, input_rows long, written long")
 
 
 DROP = "_drop"
@@ -90,53 +76,44 @@ def ingest_files(spark: SparkSession, landing: str, sink: str, checkpoint: str,
         .trigger(availableNow=True).start().awaitTermination())
 
 
-def _stamp(df: DataFrame) -> DataFrame:
-    """M5 audit column (excluded from every oracle-checked projection)."""
-    return df.withColumn("loaded_at", utc_now())
-
-
 def _with_part(df: DataFrame) -> DataFrame:
     return df.withColumn(PART, F.to_date("event_ts"))
 
 
-def _quarantine_unparsable(batch: DataFrame, tables: str) -> int:
-    return insert_only(_with_part(silver.silver_unparsable(batch)), f"{tables}/message_quarantine", "event_id", PART)
-
-
-def silver_batch(domain: str, tables: str, audit: RunAudit | None = None, strict_reference: bool = False):
-    """The foreachBatch body for one domain."""
+def silver_batch(domain: str, tables: str, strict_reference: bool = False):
+    """The foreachBatch body for one domain.  All sinks are written below the
+    batch's own partitions; the commit row, written last, makes them visible
+    together (A12, M4).  Power is upserted in place: its replay republishes the
+    same days."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
-        n_in = batch.count()
-        written = 0
-        if domain == "production":
-            out = silver.silver_production(batch, refdata.machine_config(spark), strict_reference)
-            written = insert_only(_with_part(out), f"{tables}/production_events", "event_id", PART)
-            written += _quarantine_unparsable(batch, tables)
-        elif domain == "vibration":
+        sink = partial(insert_only, key="event_id", partition_col=PART, commit=(domain, batch_id))
+        rows_in = write_touched(batch, tables, domain, batch_id)
+        if domain == "vibration":
             routed = silver.route_vibration(batch).persist()
-            written = insert_only(_with_part(silver.silver_vibration(routed)), f"{tables}/vibration_events", "event_id", PART)
-            written += insert_only(_with_part(silver.silver_quarantine(routed)), f"{tables}/vibration_quarantine",
-                                   "event_id", PART)
+            written = sink(_with_part(silver.silver_vibration(routed)), f"{tables}/vibration_events")
+            rejected = sink(_with_part(silver.silver_quarantine(routed)), f"{tables}/vibration_quarantine")
             routed.unpersist()
         else:
-            written = upsert(_with_part(silver.silver_power(batch)), f"{tables}/power_events", ["event_id"], PART,
-                             f"power-{batch_id}")
-            written += _quarantine_unparsable(batch, tables)
+            if domain == "production":
+                out = silver.silver_production(batch, refdata.machine_config(spark), strict_reference)
+                written = sink(_with_part(out), f"{tables}/production_events")
+            else:
+                written = upsert(_with_part(silver.silver_power(batch)), f"{tables}/power_events", ["event_id"], PART,
+                                 f"power-{batch_id}")
+            rejected = sink(_with_part(silver.silver_unparsable(batch)), f"{tables}/message_quarantine")
         batch.unpersist()
-        if audit is not None:
-            audit.add(domain, batch_id, input_rows=n_in, written=written)
+        commit(spark, tables, domain, batch_id, rows_in, written, rejected)
     return run
 
 
 def run_silver_stream(spark: SparkSession, landing: str, tables: str, checkpoints: str, domain: str,
-                      max_bytes: str | None = None, available_now: bool = True, processing_time: str = "15 minutes",
-                      audit: RunAudit | None = None):
+                      max_bytes: str | None = None, available_now: bool = True, processing_time: str = "15 minutes"):
     versions = {"production": [S.V_PRODUCTION], "vibration": list(S.VIBRATION_VERSIONS), "power": [S.V_POWER]}[domain]
     raw = (_landed(spark, landing, max_bytes)
            .filter(F.col("schema_version").isin(*versions)))
-    w = raw.writeStream.foreachBatch(silver_batch(domain, tables, audit)) \
+    w = raw.writeStream.foreachBatch(silver_batch(domain, tables)) \
         .option("checkpointLocation", f"{checkpoints}/silver_{domain}")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     q = w.start()
@@ -145,87 +122,9 @@ def run_silver_stream(spark: SparkSession, landing: str, tables: str, checkpoint
     return q
 
 
-# --- Gold refresh of touched days (T3: recompute, never re-aggregate only
-# the new rows) -------------------------------------------------------------
-
-def refresh_production_hourly(spark: SparkSession, tables: str, days: list) -> None:
-    if not days:
-        return
-    s = spark.read.parquet(f"{tables}/production_events").filter(F.col(PART).isin(days))
-    g = gold.production_hourly(s, refdata.machine_config(spark))
-    overwrite_partitions(_stamp(g.withColumn(GOLD_PART, F.to_date("hour_utc"))), f"{tables}/production_hourly",
-                         GOLD_PART)
-
-
-def refresh_energy(spark: SparkSession, tables: str, days: list) -> None:
-    if not days:
-        return
-    s = spark.read.parquet(f"{tables}/power_events").filter(F.col(PART).isin(days))
-    h = gold.energy_hourly(s).withColumn(GOLD_PART, F.to_date("hour_utc"))
-    overwrite_partitions(_stamp(h), f"{tables}/energy_hourly", GOLD_PART)
-    # local days whose hours were touched, recomputed from the hourly table
-    local_days = touched_values(h.select(F.to_date("hour_local").alias("d")), "d")
-    eh = spark.read.parquet(f"{tables}/energy_hourly").filter(F.to_date("hour_local").isin(local_days))
-    d = gold.energy_daily(eh.drop(GOLD_PART, "loaded_at")).withColumn("day_part", F.col("day_local"))
-    overwrite_partitions(_stamp(d), f"{tables}/energy_daily", "day_part")
-
-
-def refresh_vibration_hourly(spark: SparkSession, tables: str, days: list, rows: int = 168) -> None:
-    """Late data changes its own hours and the rolling mean of the next
-    ``rows`` hourly rows, so every day from the earliest touched one is
-    recomputed, with the previous ``rows - 1`` stored rows as context."""
-    if not days:
-        return
-    first = min(days)
-    s = spark.read.parquet(f"{tables}/vibration_events").filter(F.col(PART) >= F.lit(first))
-    base = gold.vibration_hourly(s).drop("rolling_7day_avg_rms", "rolling_7d_time_avg_rms")
-    base = _stamp(base)
-    path = f"{tables}/vibration_hourly"
-    if table_exists(spark, path):
-        w = Window.partitionBy("asset").orderBy(F.col("hour_utc").desc())
-        hist = (spark.read.parquet(path).filter(F.col(GOLD_PART) < F.lit(first))
-                .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") < rows)
-                .select(*base.columns))
-        allrows = base.unionByName(hist)
-    else:
-        allrows = base
-    from millstone.operators.rolling import rolling_rows, rolling_time
-    out = (allrows.withColumn("rolling_7day_avg_rms", rolling_rows("avg_rms_velocity", rows=rows))
-           .withColumn("rolling_7d_time_avg_rms", rolling_time("avg_rms_velocity"))
-           .withColumn(GOLD_PART, F.to_date("hour_utc")).filter(F.col(GOLD_PART) >= F.lit(first)))
-    # the history is read from the same table: stage, then publish
-    stage = scratch_path(spark, f"staging/vibration_hourly/{uuid.uuid4().hex}")
-    out.write.mode("overwrite").parquet(stage)
-    overwrite_partitions(spark.read.parquet(stage), path, GOLD_PART)
-
-
-def gold_batch(domain: str, tables: str, audit: RunAudit | None = None):
-    """foreachBatch body that loads Silver then refreshes the Gold days the
-    batch touched (one stream drives both layers)."""
-    inner = silver_batch(domain, tables, audit)
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        days = touched_values(batch.select(F.to_date("event_ts").alias("d")).filter(F.col("d").isNotNull()), "d")
-        inner(batch, batch_id)
-        spark = batch.sparkSession
-        if domain == "production":
-            refresh_production_hourly(spark, tables, days)
-        elif domain == "vibration":
-            refresh_vibration_hourly(spark, tables, days)
-        else:
-            refresh_energy(spark, tables, days)
-        batch.unpersist()
-    return run
-
-
 def run_pipeline_stream(spark: SparkSession, landing: str, tables: str, checkpoints: str, domain: str,
-                        max_bytes: str | None = None, audit: RunAudit | None = None):
-    versions = {"production": [S.V_PRODUCTION], "vibration": list(S.VIBRATION_VERSIONS), "power": [S.V_POWER]}[domain]
-    raw = (_landed(spark, landing, max_bytes)
-           .filter(F.col("schema_version").isin(*versions)))
-    q = (raw.writeStream.foreachBatch(gold_batch(domain, tables, audit))
-         .option("checkpointLocation", f"{checkpoints}/pipeline_{domain}")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+                        max_bytes: str | None = None) -> None:
+    """What has landed into Silver, then what was committed into Gold."""
+    run_silver_stream(spark, landing, tables, checkpoints, domain, max_bytes)
+    if table_exists(spark, log_path(tables)):
+        run_gold_stream(spark, tables, checkpoints)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from millstone.plans import silver
 from millstone.plans.catalog import Pipeline
-from millstone.streaming.runners import DROP, RunAudit, deliver, drops_by_key, drops_by_slot, run_silver_stream, silver_batch
+from millstone.streaming.commits import commits
+from millstone.streaming.runners import DROP, deliver, drops_by_key, drops_by_slot, run_silver_stream, silver_batch
 from millstone.sources.bronze import bronze_from_events
 
 from .conftest import SF_SMALL
@@ -59,8 +60,10 @@ def test_entry_one_row(spark):
 
 
 def test_every_query_has_oracle():
-    from millstone.plans.registry import ROWS_ONLY
-    assert set(E.queries()) - set(E.oracle_sql()) == ROWS_ONLY
+    from millstone.plans.registry import PLANS, ROWS_ONLY
+    from millstone.streaming.queries import STREAM_QUERIES
+    plant = set(PLANS) | set(STREAM_QUERIES)
+    assert plant <= set(E.queries()) and plant - set(E.oracle_sql()) == ROWS_ONLY
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
@@ -88,7 +91,7 @@ def test_stream_replay_is_idempotent(spark, scratch):
     """A micro-batch replayed after a crash (before the checkpoint commit)
     must not change the tables."""
     bronze = bronze_from_events(spark, SF_SMALL).filter(F.col("schema_version") == "0.1").persist()
-    run = silver_batch("production", f"{scratch}/tables", RunAudit())
+    run = silver_batch("production", f"{scratch}/tables")
     run(bronze, 0)
     first = spark.read.parquet(f"{scratch}/tables/production_events").count()
     run(bronze, 0)
@@ -97,16 +100,15 @@ def test_stream_replay_is_idempotent(spark, scratch):
 
 
 def test_stream_equals_backfill(spark, scratch):
-    audit = RunAudit()
     deliver(drops_by_key(bronze_from_events(spark, SF_SMALL), 3), scratch, lambda landing: run_silver_stream(
-        spark, landing, f"{scratch}/tables", f"{scratch}/ck", "vibration", audit=audit))
-    assert len(audit.rows) == 3
+        spark, landing, f"{scratch}/tables", f"{scratch}/ck", "vibration"))
+    assert commits(spark, f"{scratch}/tables").count() == 3
     got = spark.read.parquet(f"{scratch}/tables/vibration_events").select("event_id", "x_rms_velocity_mm_s")
     exp = Pipeline(spark, SF_SMALL).vibration_events.select("event_id", "x_rms_velocity_mm_s")
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
     # second run of the same stream finds no new files
-    run_silver_stream(spark, f"{scratch}/landing", f"{scratch}/tables", f"{scratch}/ck", "vibration", audit=audit)
-    assert len(audit.rows) == 3
+    run_silver_stream(spark, f"{scratch}/landing", f"{scratch}/tables", f"{scratch}/ck", "vibration")
+    assert commits(spark, f"{scratch}/tables").count() == 3
 
 
 def test_slot_drops_hold_matched_keys(spark):
