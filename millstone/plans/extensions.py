@@ -44,10 +44,12 @@ def _daily_rms(p: Pipeline) -> DataFrame:
 
 
 def trend_direction(p: Pipeline, threshold: float = TREND_SLOPE) -> DataFrame:
-    """Least-squares slope of the daily mean RMS per motor."""
-    d = _daily_rms(p).withColumn("x", F.datediff("day_local", F.lit("1970-01-01").cast("date")).cast("double"))
-    g = d.groupBy("asset").agg(F.count(F.lit(1)).alias("days"),
-                               F.regr_slope("daily_avg_rms", "x").alias("_slope"))
+    """Least-squares slope per motor of the 7-day rolling mean RMS, taken
+    once a day (the mean of its hourly values)."""
+    d = p.vibration_hourly.groupBy("asset", day_of("hour_local").alias("day_local")).agg(
+        F.avg("rolling_7day_avg_rms").alias("y"))
+    d = d.withColumn("x", F.datediff("day_local", F.lit("1970-01-01").cast("date")).cast("double"))
+    g = d.groupBy("asset").agg(F.count(F.lit(1)).alias("days"), F.regr_slope("y", "x").alias("_slope"))
     return g.select("asset", "days", stable("_slope").alias("slope_mm_s_per_day"),
                     F.when(F.col("_slope") > threshold, "degrading").when(F.col("_slope") < -threshold, "improving")
                      .otherwise("stable").alias("direction"))

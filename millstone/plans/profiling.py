@@ -236,3 +236,20 @@ def dominant_zone_hourly(p: Pipeline) -> DataFrame:
 def dominant_state_hourly(p: Pipeline) -> DataFrame:
     """Ties go to the alphabetically first state."""
     return _dominant_hourly(p, "machine_state", STATES, sorted(STATES), "dominant_machine_state")
+
+
+def payload_types(p: Pipeline) -> DataFrame:
+    """F7 (TYPEOF): per schema version, the JSON type of the payload (key ``''``)
+    and of each of its keys, over all messages.  The text is parsed once into a
+    VARIANT; text that does not parse is INVALID."""
+    kind = lambda v: F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+    raw = p.bronze.select("schema_version", F.try_parse_json("payload").alias("v")).withColumn("whole", kind("v"))
+    keys = raw.lateralJoin(p.spark.tvf.variant_explode_outer(F.col("v").outer()))
+    entry = lambda key, t: F.array(F.struct(key.alias("key"), t.alias("type")))
+    none = F.filter(entry(F.lit(""), F.col("whole")), lambda x: F.lit(False))
+    types = keys.select("schema_version", F.inline(F.concat(
+        F.when(F.coalesce("pos", F.lit(0)) == 0, entry(F.lit(""), F.col("whole"))).otherwise(none),
+        F.when(F.col("key").isNotNull(), entry(F.col("key"), kind("value"))).otherwise(none))))
+    number = F.col("type").isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
+    return types.groupBy("schema_version", "key", F.when(F.col("type").isNull(), "INVALID").when(number, "NUMBER")
+                         .otherwise(F.col("type")).alias("json_type")).agg(F.count(F.lit(1)).alias("messages"))

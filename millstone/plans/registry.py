@@ -124,6 +124,7 @@ PLANS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "profile_by_version": V.profile_by_version,
     "profile_payload_keys": V.profile_payload_keys,
     "json_key_count": V.json_key_count,
+    "payload_types": V.payload_types,
     "profile_state_codes": V.profile_state_codes,
     "profile_quality": V.profile_quality,
     "duplicate_keys": V.duplicate_keys,
