@@ -55,7 +55,7 @@ HASH_BYTES = 1 << 20
 #: bytes of units encoded in one call, about
 RUN_BYTES = 1 << 15
 #: units that a worker remembers between blocks, at most about
-KNOWN = 1 << 19
+KNOWN = 1 << 18
 
 _ROW = ["n_a", "n_b", "n_groups", "n_links"]
 
