@@ -52,7 +52,7 @@ TOP = 2000
 PARTS = 16
 #: segments of a stripe are the cells over this
 CELLS_PER_SEGMENT = 64
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 HASH_BYTES = 1 << 20
 
 BLANK, PIECE = 1, 2
