@@ -105,7 +105,14 @@ def q2_zone_last_7d(p: Pipeline, days: int = 7) -> DataFrame:
     """Modal zone per motor over the last ``days`` days of data.  The
     anchor is the newest reading (scalar subquery), not the wall clock."""
     v = p.vibration_events.filter(F.col("iso_zone").isNotNull())
-    anchor = v.select(F.max("event_ts_local")).scalar()
+    last = v
+    if "event_date" in v.columns:
+        # written tables: the hourly table knows the newest day, so both reads
+        # of Silver open the partitions of a few days only
+        newest = p.vibration_hourly.select(F.to_date(F.max("hour_utc"))).scalar()
+        v = v.filter(F.col("event_date") >= F.date_sub(newest, days + 1))
+        last = v.filter(F.col("event_date") >= newest)
+    anchor = last.select(F.max("event_ts_local")).scalar()
     recent = v.filter(F.col("event_ts_local") > anchor - F.make_dt_interval(F.lit(days)))
     g = recent.groupBy("asset").agg(F.count(F.lit(1)).alias("readings"),
                                     *category_counts("iso_zone", ["A", "B", "C", "D"], "_z_"))

@@ -89,3 +89,17 @@ def test_merge_replay_is_one_window_shuffle(spark, raw_dir):
     plan = _plan(spark, M.merge_insert_only(Pipeline(spark, SF_SMALL, bronze_dir=raw_dir)))
     ex = [e for e in _exchanges(plan) if "asset" in e and "event_ts" in e]
     assert len(ex) == 1 and "WindowGroupLimit" in plan, plan
+
+
+def test_last_seven_days_opens_a_few_days_of_silver(spark, scratch):
+    from millstone.plans import backfill
+    from millstone.plans import business as B
+    p = Pipeline(spark, SF_SMALL)
+    tables = f"{scratch}/tables"
+    backfill.write_silver(p, tables)
+    backfill.write_gold(spark, Pipeline(spark, SF_SMALL, tables_dir=tables), tables)
+    written = B.q2_zone_last_7d(Pipeline(spark, SF_SMALL, tables_dir=tables))
+    assert sorted(written.collect()) == sorted(B.q2_zone_last_7d(p).collect())
+    plan = _plan(spark, written)
+    scans = [x.split("]")[0] for x in plan.split("PartitionFilters: [")[1:]]
+    assert sum("event_date" in x for x in scans) >= 1 and not any(x == "" and "vibration_events" in x for x in scans)
