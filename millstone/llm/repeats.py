@@ -13,7 +13,7 @@ anchor:
    passage spread over all cells, and the passage itself is one entry a block.
 3. A cell collapses equal stretches.  Over stretches that share an anchor and
    differ it builds an enhanced suffix array (suffix array and common-prefix
-   lengths), walks its interval tree with a stack, and keeps the intervals of
+   lengths) of the places whose 50-byte window occurs twice, walks its interval tree with a stack, and keeps the intervals of
    50 bytes or more whose occurrences are preceded by different bytes: the
    maximal repeats, with all their occurrences.  An occurrence is removed where
    its group has a smaller doc_id.
@@ -45,78 +45,66 @@ LENGTH = 50
 K = 16
 #: occurrences beyond which an anchor sends single windows
 HOT = 20_000
-SLICE = 2 << 20
+#: bytes of text whose anchors are found at once (the arrays stay in a core's cache)
+SLICE = 1 << 18
+#: symbols of a stretch that are compared at once
+PACK = 7
+#: low bits of a k-gram's number that hold its place
+PLACE_BITS = 19
 MISSING = "a block's answers are missing: the input gave other rows when it was read again"
 _NONE = np.int64(-(1 << 63))
-_LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
-
-
-def _kgram_hashes(data: np.ndarray, edges: np.ndarray, k: int) -> np.ndarray:
-    """Hash of the k bytes from each place; the largest number where fewer
-    bytes of the text follow."""
-    n = len(data)
-    out = np.full(n, _LAST, np.uint64)
-    if n >= k:
-        start = np.arange(n - k + 1)
-        out[: n - k + 1] = span_hashes(data, start, start + k)
-        last = np.repeat(edges[1:], np.diff(edges)) - np.arange(n)
-        out[last < k] = _LAST
-    return out
+
+
+def _kgram_hashes(data: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the k bytes from each place, whatever text they lie in."""
+    n = len(data) - k + 1
+    buf = data.tobytes()
+    h = np.zeros(n, np.uint64)
+    for at in sorted({*range(0, k - 8, 8), k - 8}):  # eight bytes at a time, the last overlapping
+        h ^= np.ndarray((n,), "<u8", buf, at, (1,))
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    return h
 
 
 def anchors(data: np.ndarray, edges: np.ndarray, length: int = LENGTH, k: int = K):
-    """(place, hash, first window, last window) of every anchor: the windows
-    first..last (by their first byte) have their smallest k-gram there."""
-    h = _kgram_hashes(data, edges, k)
+    """(hash, first window, last window) of every anchor: the windows
+    first..last (by their first byte) have their smallest k-gram there, the
+    leftmost of equal ones.  The low bits of a hash give way to the place, so
+    that one number per window names the hash and the k-gram.  Texts beyond
+    ``SLICE`` windows are taken in pieces; the anchor at a seam is two."""
     w = length - k + 1
-    n = len(h)
-    none = np.zeros(0, np.int64)
-    if n < length:
-        return none, np.zeros(0, np.uint64), none, none
-    m, size = h, 1
-    while size * 2 <= w:
-        m = np.minimum(m[: len(m) - size], m[size:])
-        size *= 2
-    m = np.minimum(m[: n - w + 1], m[w - size: n - size + 1])
-    fits = np.repeat(edges[1:], np.diff(edges))[: n - w + 1] - np.arange(n - w + 1) >= length
-    start = np.flatnonzero(fits)
-    if not len(start):
-        return none, np.zeros(0, np.uint64), none, none
-    # leftmost smallest k-gram of each window: those equal to the window's
-    # minimum, then the first of them at or behind the window's start
-    val = m[start]
-    is_low = _is_window_min(h, m, fits, w)
-    low = np.flatnonzero(is_low)
-    nxt = (np.cumsum(is_low) - is_low)[start]
-    at = low[np.minimum(nxt, len(low) - 1)]
-    wrong = np.flatnonzero(h[at] != val)
-    step = 1
-    while len(wrong):
-        cand = low[np.minimum(nxt[wrong] + step, len(low) - 1)]
-        at[wrong] = cand
-        wrong = wrong[h[cand] != val[wrong]]
-        step += 1
-    new = np.ones(len(at), bool)
-    new[1:] = (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1)
-    first = np.flatnonzero(new)
-    last = np.append(first[1:] - 1, len(at) - 1)
-    place = at[first]
-    return place, h[place], start[first], start[last]
-
-
-def _is_window_min(h: np.ndarray, m: np.ndarray, fits: np.ndarray, w: int) -> np.ndarray:
-    """Places whose k-gram is the smallest of some window that fits."""
-    n = len(h)
-    best = np.where(fits, m, np.uint64(0))
-    best = np.concatenate([np.zeros(w - 1, np.uint64), best])
-    best = np.concatenate([best, np.zeros(n + w - 1 - len(best), np.uint64)])
-    size = 1
-    cur = best
-    while size * 2 <= w:
-        cur = np.maximum(cur[: len(cur) - size], cur[size:])
-        size *= 2
-    cur = np.maximum(cur[: n], cur[w - size: w - size + n])
-    return cur == h
+    windows = max(len(data) - length + 1, 0)
+    if not 8 <= k <= length or SLICE + w > 1 << PLACE_BITS:
+        raise ValueError("a k-gram has 8 bytes or more, and a piece's places fit their bits")
+    fits = np.zeros(windows, bool)
+    for a, z in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        fits[a: max(z - length + 1, a)] = True
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    parts = []
+    for p in range(0, windows, SLICE):
+        start = np.flatnonzero(fits[p: p + SLICE])
+        if not len(start):
+            continue
+        h = _kgram_hashes(data[p: p + SLICE + length - 1], k)
+        h &= ~low
+        h |= np.arange(len(h), dtype=np.uint64)
+        m, size = h, 1
+        while size * 2 <= w:
+            m = np.minimum(m[: len(m) - size], m[size:])
+            size *= 2
+        n = len(h) - w + 1
+        m = np.minimum(m[:n], m[w - size: w - size + n])[start]
+        new = np.ones(len(m), bool)
+        new[1:] = (m[1:] != m[:-1]) | (start[1:] != start[:-1] + 1)
+        first = np.flatnonzero(new)
+        last = np.append(first[1:] - 1, len(m) - 1)
+        parts.append((m[first] & ~low, start[first] + p, start[last] + p))
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(c) for c in zip(*parts))
 
 
 def text_slices(raw: list[bytes], limit: int = SLICE):
@@ -139,9 +127,9 @@ class BlockAnchors:
         parts = []
         self.slices = list(text_slices(raw))
         for s, (a, _, data, edges) in enumerate(self.slices):
-            place, h, first, last = anchors(data, edges)
-            owner = np.searchsorted(edges, place, "right") - 1 + a
-            parts.append((np.full(len(place), s), h, first, last, self.doc[owner]))
+            h, first, last = anchors(data, edges)
+            owner = np.searchsorted(edges, first, "right") - 1 + a
+            parts.append((np.full(len(h), s), h, first, last, self.doc[owner]))
         self.slice, self.h, self.first, self.last, self.owner = (
             np.concatenate(c) if parts else np.zeros(0, np.int64) for c in (zip(*parts) if parts else [[]] * 5))
         self.distinct, self.inv, self.count = np.unique(self.h, return_inverse=True, return_counts=True)
@@ -171,9 +159,10 @@ class Stretches:
         self.start = b.first[occ] + np.where(one, off, 0)
         self.end = np.where(one, self.start + LENGTH, b.last[occ] + LENGTH)
         key = np.zeros(len(occ), np.uint64)
+        turn = np.searchsorted(self.slice, np.arange(len(b.slices) + 1))
         for s, (_, _, data, _) in enumerate(b.slices):
-            mine = self.slice == s
-            if mine.any():
+            mine = slice(turn[s], turn[s + 1])
+            if turn[s] < turn[s + 1]:
                 key[mine] = span_hashes(data, self.start[mine], self.end[mine])
         self.key, at, self.inv = np.unique(key, return_index=True, return_inverse=True)
         self.sample = at
@@ -203,55 +192,65 @@ class Stretches:
         return out
 
 
-def suffix_array(t: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of t at ``starts`` sorted by their first ``depth`` symbols
-    (prefix doubling from 7 symbols; ties only are sorted again).  t holds 0
-    between stretches and values up to 256 inside."""
-    n = len(t)
-    pad = np.concatenate([t, np.zeros(7, t.dtype)]).astype(np.uint64)
-    key = np.zeros(n, np.uint64)
-    for k in range(7):
-        key = (key << np.uint64(9)) | pad[k: k + n]
-    sa = np.argsort(key, kind="stable")
-    new = np.ones(n, bool)
-    new[1:] = key[sa[1:]] != key[sa[:-1]]
-    group = np.flatnonzero(new)[np.cumsum(new) - 1]
-    rank = np.zeros(n + 1, np.int64)
-    rank[n] = -1
-    rank[sa] = group
-    k = 7
-    tied = np.flatnonzero(~(new & np.append(new[1:], True)))
-    while len(tied) and k < depth:
-        s = sa[tied]
-        g = group[tied]
-        second = rank[np.minimum(s + k, n)]
-        order = np.lexsort((second, g))
-        s, second = s[order], second[order]
-        sa[tied] = s
+def packed_symbols(t: np.ndarray) -> np.ndarray:
+    """Seven symbols (of 9 bits) from each place as one number, in their
+    order; places beyond the end count as 0."""
+    pad = np.concatenate([t, np.zeros(PACK, t.dtype)]).astype(np.uint64)
+    out = pad[: len(t)].copy()
+    for k in range(1, PACK):
+        out <<= np.uint64(9)
+        out |= pad[k: k + len(t)]
+    return np.concatenate([out, [np.uint64(0)]])
+
+
+def suffix_array(pack: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
+    """Suffixes at ``starts`` sorted by their first ``depth`` symbols: seven
+    symbols at a time, of which only ties are sorted again."""
+    n = len(pack) - 1
+    sa = starts[np.argsort(pack[starts])]
+    first = np.ones(len(sa), bool)
+    first[1:] = pack[sa[1:]] != pack[sa[:-1]]
+    group = np.flatnonzero(first)[np.cumsum(first) - 1]
+    tied = np.flatnonzero(~(first & np.append(first[1:], True)))
+    for d in range(PACK, depth, PACK):
+        if not len(tied):
+            break
+        s, g = sa[tied], group[tied]
+        nxt = pack[np.minimum(s + d, n)]
+        same = (g[1:] == g[:-1])
+        if (nxt[1:] < nxt[:-1])[same].any():  # else in order already
+            order = np.lexsort((nxt, g))
+            s, nxt = s[order], nxt[order]
+            sa[tied] = s
         first = np.ones(len(tied), bool)
-        first[1:] = (g[1:] != g[:-1]) | (second[1:] != second[:-1])
-        g = tied[np.flatnonzero(first)][np.cumsum(first) - 1]
-        group[tied] = g
-        rank[s] = g
+        first[1:] = ~same | (nxt[1:] != nxt[:-1])
+        group[tied] = tied[np.flatnonzero(first)][np.cumsum(first) - 1]
         tied = tied[~(first & np.append(first[1:], True))]
-        k *= 2
-    wanted = np.zeros(n, bool)
-    wanted[starts] = True
-    return sa[wanted[sa]]
+    return sa
 
 
-def common_prefixes(t: np.ndarray, left: np.ndarray, sa: np.ndarray) -> np.ndarray:
+def common_prefixes(t: np.ndarray, pack: np.ndarray, left: np.ndarray, sa: np.ndarray) -> np.ndarray:
     """Common-prefix length of each suffix with the one before it, inside their
     stretches; ``left`` are the bytes left in a stretch from each place."""
     lcp = np.zeros(len(sa), np.int64)
-    go = np.arange(1, len(sa))
-    limit = np.minimum(left[sa[1:]], left[sa[:-1]])
+    n = len(pack) - 1
+    a, b = sa[:-1], sa[1:]
+    limit = np.minimum(left[a], left[b])
+    go = np.arange(len(b))
     d = 0
-    while len(go):
-        go = go[limit[go - 1] > d]
-        go = go[t[sa[go] + d] == t[sa[go - 1] + d]]
-        d += 1
-        lcp[go] = d
+    whole = np.zeros(len(b), np.int64)
+    while len(go):  # whole packs of symbols, then the symbols of the first that differs
+        go = go[pack[np.minimum(a[go] + d, n)] == pack[np.minimum(b[go] + d, n)]]
+        d += PACK
+        whole[go] = d
+        go = go[limit[go] > d]
+    go = np.flatnonzero(whole < limit)
+    for _ in range(PACK):
+        at = whole[go]
+        go = go[t[a[go] + at] == t[b[go] + at]]
+        whole[go] += 1
+        go = go[whole[go] < limit[go]]
+    lcp[1:] = np.minimum(whole, limit)
     return lcp
 
 
@@ -263,7 +262,13 @@ def maximal_repeats(t: np.ndarray, sa: np.ndarray, lcp: np.ndarray, doc: np.ndar
     symbol only is a part of the one that starts there."""
     before = t[sa - 1]
     edge = np.flatnonzero(np.diff(np.concatenate([[False], lcp >= least, [False]]).astype(np.int8)))
-    for a, z in zip((edge[::2] - 1).tolist(), edge[1::2].tolist()):
+    begin, end = edge[::2] - 1, edge[1::2]
+    two = end - begin == 2  # a leaf pair: one interval, decided without a stack
+    a = begin[two]
+    p, q = before[a], before[a + 1]
+    a = a[(p == 0) | (q == 0) | (p != q)]
+    yield from zip(lcp[a + 1].tolist(), a.tolist(), (a + 2).tolist(), np.minimum(doc[a], doc[a + 1]).tolist())
+    for a, z in zip(begin[~two].tolist(), end[~two].tolist()):
         # rows a..z-1, in which neighbours share at least ``least`` symbols
         own, prev, depth = doc[a:z].tolist(), before[a:z].tolist(), lcp[a:z].tolist()
         n = z - a
@@ -289,23 +294,38 @@ def covered_stretches(contents: list[bytes], doc: np.ndarray) -> dict[int, list[
     """For distinct stretches with their smallest doc_ids: by number, the
     places (start, end) repeated in a stretch of a smaller doc_id."""
     size = np.array([len(c) for c in contents])
-    t = np.frombuffer(b"".join(c + b"\0" for c in contents), np.uint8).astype(np.int64) + 1
+    t = np.frombuffer(b"".join(c + b"\0" for c in contents), np.uint8).astype(np.int16) + 1
     ends = np.cumsum(size + 1) - 1
     t[ends] = 0
-    owner = np.repeat(np.arange(len(contents)), size + 1)
-    left = ends[owner] - np.arange(len(t))
-    t = np.concatenate([t, [0]])  # t[-1] is what stands before the first place
-    sa = suffix_array(t[:-1], np.flatnonzero(left >= LENGTH), int(size.max()))
-    lcp = common_prefixes(t, left, sa)
-    of = owner[sa]
-    out: dict[int, list[tuple[int, int]]] = {}
     begin = ends - size
+    # a repeat of LENGTH symbols starts where such a window occurs twice: equal
+    # windows have equal hashes, all other places stay out of the suffix array
+    n = size - LENGTH + 1
+    owner = np.repeat(np.arange(len(contents)), n)
+    starts = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n) + begin[owner]
+    h = span_hashes(t, starts, starts + LENGTH)
+    order = np.argsort(h)
+    same = h[order[1:]] == h[order[:-1]]
+    twice = np.zeros(len(h), bool)
+    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    starts = starts[twice]
+    if not len(starts):
+        return {}
+    left = np.zeros(len(t), np.int64)
+    left[starts] = ends[owner[twice]] - starts
+    of_place = np.zeros(len(t), np.int32)
+    of_place[starts] = owner[twice]
+    pack = packed_symbols(t)
+    sa = suffix_array(pack, starts, int(size.max()))
+    lcp = common_prefixes(t, pack, left, sa)
+    t = np.append(t, t.dtype.type(0))  # t[-1] is what stands before the first place
+    of = of_place[sa]
+    out: dict[int, list[tuple[int, int]]] = {}
+    at, own, low = (sa - begin[of]).tolist(), of.tolist(), doc[of].tolist()
     for length, a, z, m in maximal_repeats(t, sa, lcp, doc[of]):
         for r in range(a, z):
-            o = int(of[r])
-            if doc[o] > m:
-                s = int(sa[r] - begin[o])
-                out.setdefault(o, []).append((s, s + length))
+            if low[r] > m:
+                out.setdefault(own[r], []).append((at[r], at[r] + length))
     return out
 
 
@@ -347,7 +367,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         key = np.zeros((len(flat), 8), np.uint8)
         key[:, 2:] = flat
         key = key.view(">u8").ravel().astype(np.uint64)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         new = np.ones(len(key), bool)
         new[1:] = key[order[1:]] != key[order[:-1]]
         at = np.flatnonzero(new)
