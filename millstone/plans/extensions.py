@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millstone.functions import classify as K
 from millstone.functions.numeric import stable
 from millstone.functions.timefn import day_of, epoch_micros, minute_of_day
-from millstone.operators.islands import state_runs
+from millstone.operators.islands import hour_segments, state_runs, stitch_segments
 from millstone.plans.catalog import Pipeline
 from millstone.sources import refdata
 from millstone.sources.refdata import ANOMALOUS_METER, MAIN_METER
@@ -21,21 +21,35 @@ ANOMALY_WINDOW = 168      # preceding hourly rows used as the baseline — ours
 CREST_ALARM, KURTOSIS_ALARM = 6.0, 5.0
 
 
+def zone_alerts(vibration_hourly: DataFrame) -> DataFrame:
+    zone = F.col("dominant_iso_zone")
+    return vibration_hourly.filter(zone.isin("C", "D")).select(
+        F.concat(F.lit("VIBRATION_ZONE_"), zone).alias("rule"), "asset", "hour_utc",
+        F.col("avg_rms_velocity").alias("value"), F.when(zone == "D", "bad").otherwise("warn").alias("severity"))
+
+
+def _low(hourly: DataFrame, value: str, below: float, rule: str, severity: str) -> DataFrame:
+    least = hourly.groupBy("asset", "hour_utc").agg(F.min(value).alias("value")).filter(F.col("value") < below)
+    return least.select(F.lit(rule).alias("rule"), "asset", "hour_utc", "value", F.lit(severity).alias("severity"))
+
+
+def uptime_alerts(production_hourly: DataFrame) -> DataFrame:
+    return _low(production_hourly, "uptime_pct", K.UPTIME_WARN, "LOW_UPTIME", "bad")
+
+
+def power_factor_alerts(energy_hourly: DataFrame) -> DataFrame:
+    return _low(energy_hourly, "min_power_factor", K.LOW_PF, "LOW_PF", "warn")
+
+
+def reported_alerts(a: DataFrame) -> DataFrame:
+    return a.select("rule", "asset", "hour_utc", stable("value").alias("value"), "severity")
+
+
 def alerts(p: Pipeline) -> DataFrame:
     """Alert history — zone C/D hours, hourly uptime < 50 %, PF < 0.85;
     one row per (rule, asset, hour)."""
-    v = p.vibration_hourly.filter(F.col("dominant_iso_zone").isin("C", "D")).select(
-        F.concat(F.lit("VIBRATION_ZONE_"), F.col("dominant_iso_zone")).alias("rule"), "asset", "hour_utc",
-        F.col("avg_rms_velocity").alias("value"),
-        F.when(F.col("dominant_iso_zone") == "D", "bad").otherwise("warn").alias("severity"))
-    u = p.production_hourly.groupBy("asset", "hour_utc").agg(F.min("uptime_pct").alias("value")) \
-        .filter(F.col("value") < K.UPTIME_WARN) \
-        .select(F.lit("LOW_UPTIME").alias("rule"), "asset", "hour_utc", "value", F.lit("bad").alias("severity"))
-    e = p.energy_hourly.groupBy("asset", "hour_utc").agg(F.min("min_power_factor").alias("value")) \
-        .filter(F.col("value") < K.LOW_PF) \
-        .select(F.lit("LOW_PF").alias("rule"), "asset", "hour_utc", "value", F.lit("warn").alias("severity"))
-    a = v.unionByName(u).unionByName(e)
-    return a.select("rule", "asset", "hour_utc", stable("value").alias("value"), "severity")
+    return reported_alerts(zone_alerts(p.vibration_hourly).unionByName(uptime_alerts(p.production_hourly))
+                           .unionByName(power_factor_alerts(p.energy_hourly)))
 
 
 def _daily_rms(p: Pipeline) -> DataFrame:
@@ -112,13 +126,33 @@ def ap_score(p: Pipeline) -> DataFrame:
                     stable(av * pf).alias("ap_score"))
 
 
+PERIOD = "source_period_sec"
+IN_SETUP = "downtime_category = 'PLANNED_STOP'"
+
+
+def _active(production_events: DataFrame) -> DataFrame:
+    return production_events.filter(F.col("machine_category") == "ACTIVE_PRODUCER") \
+        .select("asset", "event_ts", "downtime_category", PERIOD)
+
+
+def _reported_runs(r: DataFrame) -> DataFrame:
+    return r.select("asset", "run_start", "run_end", "readings",
+                    stable(F.col(f"{PERIOD}_sum") / F.lit(60.0)).alias("setup_minutes"))
+
+
 def setup_runs(p: Pipeline) -> DataFrame:
     """X6/ST10: consecutive PLANNED_STOP readings per machine as runs."""
-    s = p.production_events.filter(F.col("machine_category") == "ACTIVE_PRODUCER") \
-        .select("asset", "event_ts", "downtime_category", "source_period_sec")
-    r = state_runs(s, "asset", "event_ts", F.col("downtime_category") == "PLANNED_STOP", weight="source_period_sec")
-    return r.select("asset", "run_start", "run_end", "readings",
-                    stable(F.col("source_period_sec_sum") / F.lit(60.0)).alias("setup_minutes"))
+    return _reported_runs(state_runs(_active(p.production_events), "asset", "event_ts", F.expr(IN_SETUP), weight=PERIOD))
+
+
+def setup_segments(production_events: DataFrame) -> DataFrame:
+    """ST10: the runs cut at the hour, as the Gold stream stores them."""
+    return hour_segments(_active(production_events), "asset", "event_ts", F.expr(IN_SETUP), PERIOD)
+
+
+def setup_runs_of(segments: DataFrame) -> DataFrame:
+    """``setup_runs`` from stored segments."""
+    return _reported_runs(stitch_segments(segments, "asset", PERIOD))
 
 
 def downtime_by_reason(p: Pipeline) -> DataFrame:

@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from millstone.functions.timefn import day_of, hour_start, to_local
 from millstone.operators.keyed_write import _in_partitions, _null_safe_on, overwrite_partitions, table_exists, touched_values, utc_now
 from millstone.operators.rolling import rolling_rows, rolling_time
-from millstone.plans import gold
+from millstone.plans import extensions, gold
 from millstone.session import scratch_path
 from millstone.sources import refdata
+from millstone.streaming.alert_history import append_alerts
 from millstone.streaming.commits import LOG, log_path, touched_keys, visible
 
 PART = "event_date"
@@ -46,7 +47,7 @@ def untouched_gold(spark: SparkSession, path: str, touched: DataFrame, days: lis
     """Stored rows of these days (all days if None) that no commit touched."""
     if not table_exists(spark, path):
         return like.limit(0)
-    old = spark.read.parquet(path)
+    old = spark.read.schema(like.schema).parquet(path)
     if days is not None:
         old = old.filter(_in_partitions(GOLD_PART, days))
     return old.join(touched, _null_safe_on(old, touched, KEYS), "left_anti").select(*like.columns)
@@ -58,8 +59,11 @@ def _merge_hours(fresh: DataFrame, path: str, touched: DataFrame, days: list) ->
 
 
 def refresh_production(spark: SparkSession, tables: str, touched: DataFrame, days: list) -> None:
+    """Hourly production, and the setup runs cut at the hour (ST10): a run that
+    spans hours, batches or late rows is whole again once they are stitched."""
     s = touched_silver(spark, tables, "production_events", touched, days)
     _merge_hours(gold.production_hourly(s, refdata.machine_config(spark)), f"{tables}/production_hourly", touched, days)
+    _merge_hours(extensions.setup_segments(s), f"{tables}/setup_segments", touched, days)
 
 
 def refresh_power(spark: SparkSession, tables: str, touched: DataFrame, days: list) -> None:
@@ -116,6 +120,7 @@ def refresh_commits(tables: str):
             days = touched_values(touched.select(F.to_date("hour_utc").alias("d")), "d")
             if days:
                 REFRESH[stream](spark, tables, touched, days)
+                append_alerts(spark, tables, stream, touched, days, refresh_id)
             touched.unpersist()
     return run
 

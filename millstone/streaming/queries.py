@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millstone import schema as S
-from millstone.plans import registry
+from millstone.plans import extensions, registry
 from millstone.plans.catalog import Pipeline
 from millstone.session import scratch_path
 from millstone.sources.bronze import bronze_from_events
+from millstone.streaming.alert_history import alert_history, standing
 from millstone.streaming.commits import commits
+from millstone.streaming.gold_refresh import run_gold_stream
 from millstone.streaming.runners import (
     deliver, drops_by_key, drops_by_slot, ingest_files, run_pipeline_stream, run_silver_stream)
 
@@ -117,6 +119,26 @@ def stream_gold_energy_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.PLANS["energy_daily"](v).drop("loaded_at", "day_part")
 
 
+def stream_setup_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST10: setup runs from the hourly segments the Gold stream stores; every
+    delivery brings readings of hours that others already filled."""
+    return extensions.setup_runs_of(spark.read.parquet(f"{_run(spark, sf_dir, 'production', True)}/setup_segments"))
+
+
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alerts that stand in the history after two deliveries of all
+    three domains; the second changes and clears what the first raised."""
+    root = scratch_path(spark, f"stream-run/alerts-{uuid.uuid4().hex}")
+
+    def run(landing: str) -> None:
+        for domain in VERSIONS:
+            run_silver_stream(spark, landing, f"{root}/tables", f"{root}/checkpoints", domain)
+        run_gold_stream(spark, f"{root}/tables", f"{root}/checkpoints")
+
+    deliver(drops_by_key(bronze_from_events(spark, sf_dir), 2), root, run)
+    return extensions.reported_alerts(standing(alert_history(spark, f"{root}/tables")))
+
+
 from millstone.streaming.event_time import stream_dedup_within_watermark, stream_hourly_tumbling  # noqa: E402
 
 STREAM_QUERIES = {
@@ -133,5 +155,7 @@ STREAM_QUERIES = {
     "stream_merge_upsert": (stream_merge_upsert, "merge_upsert"),
     "stream_gold_production_hourly": (stream_gold_production_hourly, "production_hourly"),
     "stream_gold_vibration_hourly": (stream_gold_vibration_hourly, "vibration_hourly"),
+    "stream_setup_runs": (stream_setup_runs, "setup_runs"),
+    "stream_alerts": (stream_alerts, "alerts"),
     "stream_gold_energy_daily": (stream_gold_energy_daily, "energy_daily"),
 }
