@@ -27,17 +27,28 @@ def _with_chars(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+def _aside(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and the whole row as ``_row``: whatever columns documents
+    have, none meets a column that an operator adds."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+
+
+def _back(d: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, with the text that ``d`` has."""
+    return _with_chars(d.select(*[(F.col("text") if c == "text" else F.col("_row")[c]).alias(c) for c in docs.columns]))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model of operator 8 does not reject."""
-    scored = subwords.score_texts(docs, subwords.train_toxicity(docs, table(spark, sf_dir, "labels")))
-    return scored.where(F.col("_score") < subwords.CUT).drop("_score")
+    model = subwords.train_toxicity(docs, table(spark, sf_dir, "labels"))
+    return subwords.score_texts(_aside(docs), model).where(F.col("_score") < subwords.CUT).select("_row.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later copies of three-line windows (operator 9); documents
     that lose every line, as later exact copies do, go."""
-    d = lines.dedup_lines(docs).where("_lines_removed = 0 or _lines_removed < _lines_total")
-    return _with_chars(d.drop("_lines_total", "_lines_removed"))
+    d = lines.dedup_lines(_aside(docs)).where("_lines_removed = 0 or _lines_removed < _lines_total")
+    return _back(d, docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +58,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the benchmark's windows (operator 2)."""
-    return _with_chars(decontam.remove_spans(decontam.find_contamination(docs, table(spark, sf_dir, "benchmark"))))
+    found = decontam.find_contamination(_aside(docs), table(spark, sf_dir, "benchmark"))
+    return _back(decontam.remove_spans(found), docs)
 
 
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
