@@ -3,16 +3,16 @@
 Two dictionaries are built from labelled texts, one of each class.  A text is
 compressed in pieces of ``PIECE`` bytes (so a dictionary counts from the first
 to the last) with either; the difference of the compressed sizes over their
-sum, together with the plain compressed share, is calibrated to the probability
-of class 1 by a logistic fit.
+sum is calibrated to the probability of class 1 by a logistic fit.
 
 Training reads at most ``TRAIN_PER_CLASS`` labelled texts per class (smallest
 hash of the id), on the driver; two thirds build the dictionaries, one third
 calibrates, weighted to the class frequencies of all labelled rows.  Every text
 is scored whole, in the tasks.
 
-Defined cases: NULL and empty texts have difference 0 and share 1; NULL labels
-are not labels; conflicting labels of an id each count; without labels of both
+Defined cases: NULL and empty texts have difference 0; a NULL doc_id has a NULL
+``held_out`` (it is in no fold) and is scored; repeated rows are each scored, very
+long texts whole, piece by piece; NULL labels are not labels; conflicting labels of an id each count; without labels of both
 classes the score is the share of the one class (0 without any); empty
 documents give no rows; other columns are ignored.
 """
@@ -41,8 +41,8 @@ CUT = 0.5
 class QualityModel:
     good: bytes
     bad: bytes
-    mean: np.ndarray
-    sd: np.ndarray
+    mean: float
+    sd: float
     coef: np.ndarray
     constant: float | None = None
 
@@ -61,7 +61,7 @@ def build_dictionary(texts: list[bytes], size: int = DICT_BYTES) -> bytes:
 
 
 class Compressors:
-    """Compressed sizes of a text with either dictionary and with none."""
+    """Compressed sizes of a text with either dictionary."""
 
     def __init__(self, good: bytes, bad: bytes):
         self.with_dict = []
@@ -69,33 +69,32 @@ class Compressors:
             kept = zstandard.ZstdCompressionDict(d)
             kept.precompute_compress(level=LEVEL)
             self.with_dict.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=kept, write_content_size=False))
-        self.plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
 
-    def features(self, text: bytes) -> list[float]:
+    def difference(self, text: bytes) -> float:
+        """Normalised difference of the two sizes; 0 for an empty text."""
         if not text:
-            return [0.0, 1.0]
+            return 0.0
         pieces = _pieces(text)
         good, bad = (sum(len(c.compress(p)) for p in pieces) for c in self.with_dict)
-        plain = sum(len(self.plain.compress(p)) for p in pieces)
-        return [(bad - good) / (bad + good), min(plain / len(text), 2.0)]
+        return (bad - good) / (bad + good)
 
 
-def _design(x: np.ndarray, mean: np.ndarray, sd: np.ndarray) -> np.ndarray:
+def _design(x: np.ndarray, mean: float, sd: float) -> np.ndarray:
     z = np.clip((x - mean) / sd, -6, 6)
-    return np.column_stack([np.ones(len(z)), z, z ** 2, z[:, 0] * z[:, 1]])
+    return np.column_stack([np.ones(len(z)), z])
 
 
 def fit_quality(texts: list[str], y: np.ndarray, share: float) -> QualityModel:
     y = np.asarray(y)
     if len(set(y.tolist())) < 2:
-        return QualityModel(b"", b"", np.zeros(2), np.ones(2), np.zeros(6), constant=share)
+        return QualityModel(b"", b"", 0.0, 1.0, np.zeros(2), constant=share)
     raw = [t.encode() for t in texts]
     back = np.arange(len(y)) % 3 == 2
     good, bad = (build_dictionary([raw[i] for i in np.flatnonzero(~back & (y == c))]) for c in (1, 0))
     c = Compressors(good, bad)
-    x, yb = np.array([c.features(raw[i]) for i in np.flatnonzero(back)]), y[back]
+    x, yb = np.array([c.difference(raw[i]) for i in np.flatnonzero(back)]), y[back]
     weight = np.where(yb == 1, share / max(yb.mean(), 1e-9), (1 - share) / max(1 - yb.mean(), 1e-9))
-    mean, sd = x.mean(0), x.std(0) + 1e-9
+    mean, sd = float(x.mean()), float(x.std()) + 1e-9
     return QualityModel(good, bad, mean, sd, logistic(_design(x, mean, sd), yb, weight, 0.1))
 
 
@@ -113,7 +112,7 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = np.array([c.features(t or b"") for t in batch.column(1).cast(pa.large_binary()).to_pylist()])
+            x = np.array([c.difference(t or b"") for t in batch.column(1).cast(pa.large_binary()).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(_sigmoid(_design(x, m.mean, m.sd) @ m.coef))], names=["row", "_score"])
 

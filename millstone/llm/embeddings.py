@@ -3,8 +3,8 @@
 Equal vectors are collapsed first (with their counts), so a vector that holds a
 third of all rows is one row.  Vectors are normalised in double precision and
 turned to principal axes (fitted on at most ``FIT`` vectors, which decides the
-order of the dimensions only).  They are cut into blocks by their leading
-coordinate; a tile compares two blocks, and tiles whose leading coordinates lie
+order of the dimensions only).  They are cut into blocks by quantiles of all
+leading coordinates; a tile compares two blocks, and tiles whose leading coordinates lie
 too far apart for the threshold are not made.  Inside a tile the products of
 the leading dimensions are accumulated first, the rest is bounded by the
 product of the suffix norms, and pairs stop as soon as that bound falls below
@@ -16,9 +16,10 @@ connected components follow.
 
 Defined cases: NULL, empty and zero vectors and such with NULL or non-finite
 components link with nothing; vectors of different lengths do not link; rows
-with equal vectors link with each other; a NULL vec_id sorts first among the
-ids of equal vectors only if all are NULL; an empty table gives no rows; other
-columns are ignored.
+with equal vectors link with each other; vectors of doubles are scaled by their
+largest component, so that none is too long or too short to compare; equal
+vectors go by their smallest id that is not NULL; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millstone.llm.common import connected_components, staged, table, union_pairs
 
@@ -119,14 +121,13 @@ def _links_of_dim(nodes: DataFrame, dim: int, threshold: float, block_rows: int)
     x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
     axes = principal_axes(x)
     blocks = max(1, -(-own.count() // block_rows))
-    lead = np.sort(x @ axes[:, 0])
-    bounds = [-np.inf, *lead[(np.arange(1, blocks) * len(lead)) // blocks].tolist(), np.inf]
     reach = float(np.sqrt(2 * (1 - threshold))) + 1e-6
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, c: s + c.cast("double") * c.cast("double")))
     first = F.aggregate(F.zip_with("v", F.lit(axes[:, 0].tolist()), lambda c, w: c.cast("double") * w),
                         F.lit(0.0), lambda s, c: s + c) / norm
-    inner = F.lit([float(b) for b in bounds[1:-1]]).cast("array<double>")
     own = own.withColumn("lead", first)
+    bounds = [-np.inf, *block_bounds(own, blocks), np.inf]
+    inner = F.lit([float(b) for b in bounds[1:-1]]).cast("array<double>")
     own = own.withColumn("own", F.size(F.filter(inner, lambda b: b <= F.col("lead"))))
     edges = F.lit([float(b) for b in bounds]).cast("array<double>")
     near = F.filter(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda k: (
@@ -139,12 +140,24 @@ def _links_of_dim(nodes: DataFrame, dim: int, threshold: float, block_rows: int)
     return tiles.groupBy("bi", "bj").applyInArrow(_tile(axes, threshold), f"id {kind}, links long, root {kind}")
 
 
+def block_bounds(own: DataFrame, blocks: int) -> list[float]:
+    """Quantiles of all leads: however many blocks there are, each holds about
+    as many of the rows (one number per block comes to the driver)."""
+    if blocks < 2:
+        return []
+    cuts = [k / blocks for k in range(1, blocks)]
+    return own.agg(F.percentile_approx("lead", cuts, max(10_000, 4 * blocks)).alias("b")).first().b
+
+
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                  threshold: float = THRESHOLD, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Per row of ``vectors``: (id, n_links, component_id)."""
     v = F.col(vec_col)
-    norm2 = F.aggregate(v, F.lit(0.0), lambda s, c: s + c.cast("double") * c.cast("double"))
-    fine = (F.size(v) > 0) & ~F.exists(v, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))) & (norm2 > 0)
+    fine = (F.size(v) > 0) & ~F.exists(v, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))) \
+        & F.exists(v, lambda c: c != 0)
+    if isinstance(vectors.schema[vec_col].dataType.elementType, T.DoubleType):
+        # squares of doubles may leave the range of doubles; those of floats don't
+        v = F.when(fine, F.transform(v, lambda c: c / F.array_max(F.transform(v, F.abs))))
     rows = vectors.select(F.col(id_col).alias("vec"), F.when(fine, v).alias("v"))
     copies = rows.where("v is not null").groupBy("v").agg(F.min("vec").alias("vec"), F.count("*").alias("n"))
     nodes = staged(copies.select(F.struct("vec", F.xxhash64("v").alias("h")).alias("id"), "n", "v"), "vectors")
