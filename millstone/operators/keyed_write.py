@@ -18,6 +18,8 @@ covers), so the target read is partition-pruned.
   staging folder below the shared checkpoint dir, then published with
   dynamic partition overwrite (a path is never overwritten while it is
   being read).  Replays rewrite the same staging folder and republish.
+  Below the day there may be a finer partition (the hour): then only the
+  touched hours are read and rewritten, the day's other files stay.
 * ``overwrite_partitions`` — full recompute of some partitions (Gold).
 """
 
@@ -45,6 +47,11 @@ def touched_values(src: DataFrame, partition_col: str) -> list:
     return [r[0] for r in src.select(partition_col).distinct().collect()]
 
 
+def touched_slots(src: DataFrame, partition_cols: list[str]) -> list[tuple]:
+    """Distinct partitions of several levels (hours: 24 a day at most)."""
+    return [tuple(r) for r in src.select(*partition_cols).distinct().collect()]
+
+
 def utc_now():
     """UTC wall clock as NTZ, whatever the session zone."""
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
@@ -61,6 +68,18 @@ def _in_partitions(partition_col: str, values: list):
     return cond | F.col(partition_col).isNull() if len(known) < len(values) else cond
 
 
+def in_slots(partition_cols: list[str], slots: list[tuple]):
+    """Rows of these partitions of one or more levels; NULL is a value."""
+    first, rest = partition_cols[0], partition_cols[1:]
+    if not rest:
+        return _in_partitions(first, [v[0] for v in slots])
+    below: dict = {}
+    for v in slots:
+        below.setdefault(v[0], []).append(v[1:])
+    each = [_in_partitions(first, [v]) & in_slots(rest, subs) for v, subs in below.items()]
+    return reduce(lambda a, b: a | b, each, F.lit(False))
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
@@ -122,30 +141,42 @@ def _with_commit(df: DataFrame, commit: tuple[str, int] | None) -> DataFrame:
     return df.withColumn("stream", F.lit(commit[0])).withColumn("batch_id", F.lit(commit[1]).cast("long"))
 
 
-def upsert(src: DataFrame, path: str, keys: list[str], partition_col: str, batch_tag: str) -> int:
-    """Returns the rows of the batch, all of which are in the table after it."""
+def upsert(src: DataFrame, path: str, keys: list[str], partition_cols: str | list[str], batch_tag: str) -> int:
+    """Returns the rows of the batch, all of which are in the table after it.
+    The table has to have these partition columns from its first write on."""
     spark = src.sparkSession
+    parts = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
     src = _stamp(src).persist()
     try:
-        days = touched_values(src, partition_col)
-        if not days:
+        slots = touched_slots(src, parts)
+        if not slots:
             return 0
         merged = src
         if table_exists(spark, path):
-            old = spark.read.parquet(path).filter(_in_partitions(partition_col, days))
+            if (stored := _partition_columns(spark, path)) != parts:
+                raise ValueError(f"{path} is partitioned by {stored}, not by {parts}")
+            old = spark.read.schema(src.schema).parquet(path).filter(in_slots(parts, slots))
             keep = old.join(src.select(*keys), _null_safe_on(old, src.select(*keys), keys), "left_anti")
             merged = src.unionByName(keep.select(*src.columns))
         stage = scratch_path(spark, f"staging/{path.strip('/').replace('/', '_')}/{batch_tag}")
-        merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-        # the stage's own schema: a partition column of NULLs only has no type on disk
-        overwrite_partitions(spark.read.schema(merged.schema).parquet(stage), path, partition_col)
+        merged.write.mode("overwrite").parquet(stage)
+        # one file a partition, more where a partition is large
+        out = spark.read.schema(merged.schema).parquet(stage).hint("rebalance", *parts)
+        overwrite_partitions(out, path, *parts)
         _remove(spark, stage)
         return src.count()
     finally:
         src.unpersist()
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_col: str) -> None:
+def _partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of a stored table, by the folders of one of its files."""
+    some = spark.read.parquet(path).select("_metadata.file_path").first()
+    root = path.rstrip("/").rsplit("/", 1)[-1]
+    return [f.split("=", 1)[0] for f in some[0].rsplit(f"/{root}/", 1)[-1].split("/")[:-1]] if some else []
+
+
+def overwrite_partitions(df: DataFrame, path: str, *partition_cols: str) -> None:
     """Replace exactly the partitions present in ``df``."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(partition_col).parquet(path))
+       .partitionBy(*partition_cols).parquet(path))

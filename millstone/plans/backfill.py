@@ -21,8 +21,11 @@ def land_raw(bronze: DataFrame, path: str) -> None:
 
 
 def _write(df: DataFrame, path: str, part: str = "event_date", col: str = "event_ts",
-           one_file_per_day: bool = False) -> None:
+           one_file_per_day: bool = False, hour: str | None = None) -> None:
     out = df.withColumn(part, F.to_date(col))
+    parts = [part] + ([hour] if hour else [])
+    if hour:
+        out = out.withColumn(hour, F.hour(col))
     if one_file_per_day:
         # Gold only: a day of Gold is at most assets x 24 rows, so one task
         # per day is bounded whatever the raw volume
@@ -30,12 +33,12 @@ def _write(df: DataFrame, path: str, part: str = "event_date", col: str = "event
     else:
         # ranges of (day, asset, time): a day is cut into as many files as its
         # share of the rows, not into one per task
-        out = out.repartitionByRange(part, "asset", col)
+        out = out.repartitionByRange(*parts, "asset", col)
     # clustered layout (asset, time) inside each date folder: the writer
     # sorts by the partition column anyway; asset-ordered row groups let
     # per-asset reads skip by min/max statistics
-    out = out.sortWithinPartitions(part, "asset", col)
-    out.write.mode("overwrite").partitionBy(part).parquet(path)
+    out = out.sortWithinPartitions(*parts, "asset", col)
+    out.write.mode("overwrite").partitionBy(*parts).parquet(path)
 
 
 def write_silver(p: Pipeline, out: str) -> None:
@@ -44,7 +47,8 @@ def write_silver(p: Pipeline, out: str) -> None:
     _write(silver.silver_vibration(routed), f"{out}/vibration_events")
     _write(silver.silver_quarantine(routed), f"{out}/vibration_quarantine")
     routed.unpersist()
-    _write(p.power_events, f"{out}/power_events")
+    # the layout of the streaming upsert, which rewrites touched hours
+    _write(p.power_events, f"{out}/power_events", hour="event_hour")
     _write(silver.silver_unparsable(p.bronze), f"{out}/message_quarantine")
 
 

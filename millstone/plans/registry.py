@@ -18,7 +18,7 @@ from millstone.plans import profiling as V
 from millstone.plans.catalog import Pipeline
 
 
-AUDIT_COLS = ("loaded_at", "event_date", "hour_date", "day_part")
+AUDIT_COLS = ("loaded_at", "event_date", "event_hour", "hour_date", "day_part")
 
 
 def _stable_doubles(df: DataFrame, drop=()) -> DataFrame:

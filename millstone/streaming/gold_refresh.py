@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millstone.functions.timefn import day_of, hour_start, to_local
-from millstone.operators.keyed_write import _in_partitions, _null_safe_on, overwrite_partitions, table_exists, touched_values, utc_now
+from millstone.operators.keyed_write import (
+    _in_partitions, _null_safe_on, in_slots, overwrite_partitions, table_exists, touched_slots, touched_values, utc_now)
 from millstone.operators.rolling import rolling_rows, rolling_time
 from millstone.plans import extensions, gold
 from millstone.session import scratch_path
@@ -23,7 +24,7 @@ from millstone.sources import refdata
 from millstone.streaming.alert_history import append_alerts
 from millstone.streaming.commits import LOG, log_path, touched_keys, visible
 
-PART = "event_date"
+PART, HOUR = "event_date", "event_hour"
 GOLD_PART = "hour_date"
 KEYS = ["asset", "hour_utc"]
 ROLLING = ["rolling_7day_avg_rms", "rolling_7d_time_avg_rms"]
@@ -37,8 +38,15 @@ def _staged_overwrite(df: DataFrame, path: str, part: str) -> None:
 
 
 def touched_silver(spark: SparkSession, tables: str, name: str, touched: DataFrame, days: list) -> DataFrame:
-    """Rows of the touched hours, from the days they lie in."""
-    s = visible(spark, tables, name).filter(_in_partitions(PART, days)).withColumn("_hour", hour_start("event_ts"))
+    """Rows of the touched hours, from the days (in an hourly table: the
+    hours) they lie in."""
+    s = visible(spark, tables, name)
+    if HOUR in s.columns:
+        slots = touched_slots(touched.select(F.to_date("hour_utc").alias(PART), F.hour("hour_utc").alias(HOUR)), [PART, HOUR])
+        s = s.filter(in_slots([PART, HOUR], slots))
+    else:
+        s = s.filter(_in_partitions(PART, days))
+    s = s.withColumn("_hour", hour_start("event_ts"))
     on = s["asset"].eqNullSafe(touched["asset"]) & s["_hour"].eqNullSafe(touched["hour_utc"])
     return s.join(touched, on, "left_semi").drop("_hour")
 

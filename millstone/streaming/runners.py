@@ -23,7 +23,7 @@ from millstone.sources import refdata
 from millstone.streaming.commits import commit, log_path, write_touched
 from millstone.streaming.gold_refresh import run_gold_stream
 
-PART = "event_date"
+PART, HOUR = "event_date", "event_hour"
 
 
 DROP = "_drop"
@@ -84,7 +84,7 @@ def silver_batch(domain: str, tables: str, strict_reference: bool = False):
     """The foreachBatch body for one domain.  All sinks are written below the
     batch's own partitions; the commit row, written last, makes them visible
     together (A12, M4).  Power is upserted in place: its replay republishes the
-    same days."""
+    same hours."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
@@ -100,8 +100,8 @@ def silver_batch(domain: str, tables: str, strict_reference: bool = False):
                 out = silver.silver_production(batch, refdata.machine_config(spark), strict_reference)
                 written = sink(_with_part(out), f"{tables}/production_events")
             else:
-                written = upsert(_with_part(silver.silver_power(batch)), f"{tables}/power_events", ["event_id"], PART,
-                                 f"power-{batch_id}")
+                power = _with_part(silver.silver_power(batch)).withColumn(HOUR, F.hour("event_ts"))
+                written = upsert(power, f"{tables}/power_events", ["event_id"], [PART, HOUR], f"power-{batch_id}")
             rejected = sink(_with_part(silver.silver_unparsable(batch)), f"{tables}/message_quarantine")
         batch.unpersist()
         commit(spark, tables, domain, batch_id, rows_in, written, rejected)

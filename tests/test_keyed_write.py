@@ -106,3 +106,36 @@ def test_null_key_and_null_date(spark, scratch):
     assert got == {("a", 1), (None, 2), ("b", 4), ("c", 5)}
     only = spark.createDataFrame([("d", 6, None)], SCHEMA)
     assert upsert(only, f"{scratch}/null-only", ["event_id"], "event_date", "n3") == 1
+
+
+def _files(spark, path, where):
+    rows = spark.read.parquet(path).where(where).select("_metadata.file_path").distinct().collect()
+    return sorted(r[0] for r in rows)
+
+
+def test_upsert_rewrites_touched_hours_only(spark, scratch):
+    """A late row of one hour leaves the files of the day's other hours alone,
+    and only that hour's files are opened."""
+    import pytest
+
+    from millstone.operators.keyed_write import in_slots
+    s = "event_id string, v long, event_date date, event_hour int"
+    d, parts, path = date(2024, 1, 1), ["event_date", "event_hour"], f"{scratch}/hourly"
+    first = [("a", 1, d, 0), ("b", 2, d, 1), ("c", 3, date(2024, 1, 2), 1), ("n", 4, d, None), (None, 5, None, None)]
+    upsert(spark.createDataFrame(first, s), path, ["event_id"], parts, "h1")
+    rest = "not (event_date <=> date'2024-01-01' and event_hour <=> 1)"
+    before, hour = _files(spark, path, rest), _files(spark, path, f"not ({rest})")
+    late = spark.createDataFrame([("b", 9, d, 1), ("e", 6, d, 1)], s)
+    for _ in range(2):      # and its replay
+        assert upsert(late, path, ["event_id"], parts, "h2") == 2
+    assert _files(spark, path, rest) == before and _files(spark, path, f"not ({rest})") != hour
+    got = {(r.event_id, r.v) for r in spark.read.parquet(path).collect()}
+    assert got == {("a", 1), ("b", 9), ("c", 3), ("n", 4), (None, 5), ("e", 6)}
+    upsert(spark.createDataFrame([("n", 7, d, None)], s), path, ["event_id"], parts, "h3")
+    assert {(r.event_id, r.v) for r in spark.read.parquet(path).where("event_id = 'n'").collect()} == {("n", 7)}
+    read = spark.read.schema(s).parquet(path).filter(in_slots(parts, [(d, 1)]))
+    assert len(read.select("_metadata.file_path").distinct().collect()) == 1
+    assert "PartitionFilters: [isnotnull" in read._jdf.queryExecution().toString() or "PartitionFilters: [(" in \
+        read._jdf.queryExecution().toString()
+    with pytest.raises(ValueError):     # a table of another layout is not touched
+        upsert(late.drop("event_hour"), path, ["event_id"], "event_date", "h4")
