@@ -3,10 +3,11 @@
 Three base rules find spans by pattern.  On top, two first-order character
 models - one of random strings, one of ordinary identifiers - are counted from
 labelled tokens, and a token is reported as ``markov`` where the sum of its
-log-likelihood ratios reaches ``MIN_LLR``.  The training tokens come from a
-bounded sample of documents (``TRAIN_DOCS``, by hash of the id); their labels
-are the base rules: values of base spans are random strings, all other tokens
-are ordinary.  Every document is scanned whole.
+log-likelihood ratios reaches ``MIN_LLR``.  The training tokens come from two
+bounded samples of ``TRAIN_DOCS`` documents (by hash of id and text): of those
+that hold a base span, however rare they are, and of all.  Their labels are the
+base rules: values of base spans are random strings, all other tokens are
+ordinary.  Every document is scanned whole.
 
 Defined cases: NULL text is empty and has no span; a NULL id is kept; repeated
 rows are scanned each on their own; an empty table gives no rows (and a model
@@ -35,6 +36,8 @@ HINT = {
     "access": r"AKIA[A-Z0-9]{16}",
     "hex": r"[0-9a-f]{24}",
 }
+#: a text that these match holds a base span
+HOLDS = "|".join([BASE["assign"][0].removesuffix("+)") + "{6,})", HINT["access"], HINT["hex"]])
 KINDS = [*BASE, "markov"]
 TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 TRAIN_TOKEN = r"[A-Za-z0-9+/_=-]{6,}"
@@ -96,7 +99,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counts reach the driver."""
     d = docs.select(F.col(id_col).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     d = d.withColumn("h", F.xxhash64("i", "t"))
-    picked = d.select("h").distinct().orderBy("h").limit(sample)
+    picked = (d.select("h").distinct().orderBy("h").limit(sample)
+              .union(d.where(F.col("t").rlike(HOLDS)).select("h").distinct().orderBy("h").limit(sample)).distinct())
     d = d.join(F.broadcast(picked), "h").withColumn("b", base_spans(F.col("t")))
     values = F.concat(
         F.filter(F.regexp_extract_all("t", F.lit(BASE["assign"][0]), F.lit(2)), lambda v: F.length(v) >= 16),

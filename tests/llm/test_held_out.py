@@ -83,3 +83,21 @@ def test_secret_spans_of_every_row(spark, secret_dir):
         assert [got[i].n_assign, got[i].n_access, got[i].n_hex] == n and got[i].base_sha256 == digest, t
         totals = [a + b for a, b in zip(totals, n)]
     assert min(totals) >= 3
+
+
+def test_secret_model_where_secrets_are_rare(spark):
+    """Three documents of 400 hold secrets, the sample is ten: the model is
+    trained all the same, and tells random strings from identifiers."""
+    import random
+    import string
+    rng = random.Random(4)
+    key = lambda n: "".join(rng.choices(string.ascii_letters + string.digits, k=n))
+    names = ["window_counter", "partitionColumn", "the", "configuration", "session_builder", "document", "checkpoint"]
+    rows = [(i, " ".join(rng.choices(names, k=30))) for i in range(400)]
+    rows += [(1000 + i, " ".join(f"token={key(40)}" for _ in range(30))) for i in range(3)]
+    probe = [(1, f"here {key(40)} ends"), (2, "partitionColumn_configuration_window and session_builder_checkpoint")]
+    schema = "doc_id long, text string"
+    model = secrets.train(spark.createDataFrame(rows, schema), sample=10)
+    assert any(model)
+    got = {r.doc_id: [s["kind"] for s in r.spans] for r in secrets.scan(spark.createDataFrame(probe, schema), model).collect()}
+    assert got == {1: [3], 2: []}
