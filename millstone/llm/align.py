@@ -157,6 +157,9 @@ def cut_units(data: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     space |= (((third == 0xE2) & ((second == 0x80) | (second == 0x81))) | ((third == 0xE1) & (second == 0x9A))
               | ((third == 0xE3) & (second == 0x80))) & (last >= 0x80)
     first = (data == 0x20) & ~space
+    # a blank that ends a text stays with what it follows: alone, it would be an empty text to B
+    first[texts[1:] - 1] = False
+    first[-1:] = False
     first[texts] = True
     start = np.flatnonzero(first)
     behind = np.append(start[1:], n)
@@ -440,7 +443,7 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_
                 "pairs": pa.array([_pack(np.diff(pairs, prepend=0).astype(np.uint32))], pa.binary()),
                 "held": pa.array([_pack(held.astype(np.uint32))], pa.binary()),
                 "pos": pa.array([_pack(np.diff(pos, prepend=0).astype(np.int32))], pa.binary()),
-                "times": pa.array([_pack(times.astype(np.uint32))], pa.binary())})
+                "times": pa.array([_pack(times.astype(np.uint64))], pa.binary())})
         release()
 
     return src.mapInArrow(align_texts, f"block string, ids array<{kind}>, "
@@ -512,7 +515,7 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, id_col: str = "do
             if len(pairs):
                 count[order] = np.concatenate([_unpack(found[c], np.int64) for c in np.unique(cell).tolist()])
             pos = np.cumsum(_unpack(r["pos"], np.int32), dtype=np.int64)
-            times = _unpack(r["times"], np.uint32).astype(np.int64)
+            times = _unpack(r["times"], np.uint64).astype(np.int64)
             owner = np.repeat(np.arange(len(r["docs"])), r["docs"])
             total, good = np.zeros((2, len(r["docs"])), np.int64)
             np.add.at(total, owner, times * count[pos])

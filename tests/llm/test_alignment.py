@@ -108,3 +108,11 @@ def test_byte_ends_refine_characters(files):
             got = align.byte_ends(tok, raw.decode(), raw) if t else None
             if got:
                 assert got[1].tolist()[-1] == len(raw) and (got[1] == tok.size[got[0]].cumsum()).all()
+
+
+def test_a_blank_that_ends_a_text_is_encoded_with_it(spark, files):
+    texts = ["foo ", "a b c ", "é ", "日本 ", "x\n y ", ". ", "a  ", "a \n", "a\u3000 ", "foo", " foo", None, "\u2581 "]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = sorted(map(tuple, align.align_documents(spark.createDataFrame(rows, "doc_id long, text string"), *files).collect()))
+    assert got == brute(rows, direct(*files))
+    assert all(r[1] > 0 and r[2] > 0 for r in got[:11])
