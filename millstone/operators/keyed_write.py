@@ -32,6 +32,9 @@ from pyspark.sql import functions as F
 
 from millstone.session import scratch_path
 
+#: partitions that name the commit of a row
+COMMIT = ["stream", "batch_id"]
+
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -120,8 +123,7 @@ def insert_only(src: DataFrame, path: str, key: str, partition_col: str,
             new = src.join(known, src[key].eqNullSafe(known[key]), "left_anti")
         new = _with_commit(_stamp(new), commit)
         if commit:
-            (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy(partition_col, "stream", "batch_id").parquet(path))
+            overwrite_partitions(new, path, partition_col, *COMMIT)
             # counted in the footers of this batch's files
             return (spark.read.schema(stored).parquet(path).filter(_in_partitions(partition_col, days))
                     .filter((F.col("stream") == commit[0]) & (F.col("batch_id") == commit[1])).count())
@@ -160,9 +162,7 @@ def upsert(src: DataFrame, path: str, keys: list[str], partition_cols: str | lis
             merged = src.unionByName(keep.select(*src.columns))
         stage = scratch_path(spark, f"staging/{path.strip('/').replace('/', '_')}/{batch_tag}")
         merged.write.mode("overwrite").parquet(stage)
-        # one file a partition, more where a partition is large
-        out = spark.read.schema(merged.schema).parquet(stage).hint("rebalance", *parts)
-        overwrite_partitions(out, path, *parts)
+        overwrite_partitions(spark.read.schema(merged.schema).parquet(stage), path, *parts)
         _remove(spark, stage)
         return src.count()
     finally:
@@ -177,6 +177,7 @@ def _partition_columns(spark: SparkSession, path: str) -> list[str]:
 
 
 def overwrite_partitions(df: DataFrame, path: str, *partition_cols: str) -> None:
-    """Replace exactly the partitions present in ``df``."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Replace exactly the partitions present in ``df``: one file each, more
+    where a partition is large, whatever the number of tasks that made ``df``."""
+    (df.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols).parquet(path))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millstone.operators.keyed_write import _in_partitions, _null_safe_on, table_exists, utc_now
+from millstone.operators.keyed_write import _in_partitions, _null_safe_on, overwrite_partitions, table_exists, utc_now
 from millstone.plans import extensions as X
 
 PART = "hour_date"
@@ -60,5 +60,4 @@ def append_alerts(spark: SparkSession, tables: str, stream: str, touched: DataFr
     rows = j.select(*now_or_was, action.alias("action")).filter("action is not null").select(
         "*", utc_now().alias("recorded_at"), F.to_date("hour_utc").alias(PART), F.lit(stream).alias("stream"),
         F.lit(refresh_id).cast("long").alias("refresh_id"))
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PART, "stream", "refresh_id").parquet(history_path(tables)))
+    overwrite_partitions(rows, history_path(tables), PART, "stream", "refresh_id")

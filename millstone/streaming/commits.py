@@ -20,13 +20,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millstone.functions.timefn import hour_start
-from millstone.operators.keyed_write import table_exists, utc_now
+from millstone.operators.keyed_write import COMMIT, table_exists, utc_now
 
 LOG = ("stream string, batch_id long, rows_in long, rows_written long, rows_quarantined long, "
        "committed_at timestamp_ntz")
 TOUCHED = "asset string, hour_utc timestamp_ntz, messages long, stream string, batch_id long"
-#: partitions that name the commit of a row
-COMMIT_COLS = ["stream", "batch_id"]
+COMMIT_COLS = COMMIT
 
 
 def log_path(tables: str) -> str:

@@ -6,6 +6,7 @@ equal the batch backfill (ST13) — same oracle as their batch twins."""
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +47,9 @@ def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST14/U2/X11: per stream, what its commits say they read, wrote and
     rejected over all deliveries."""
-    logs = [commits(spark, _run(spark, sf_dir, d, False)) for d in VERSIONS]
+    with ThreadPoolExecutor(len(VERSIONS)) as side_by_side:      # each stream has its own tables
+        tables = list(side_by_side.map(lambda d: _run(spark, sf_dir, d, False), VERSIONS))
+    logs = [commits(spark, t) for t in tables]
     log = logs[0].unionByName(logs[1]).unionByName(logs[2])
     return log.groupBy("stream").agg(
         F.count(F.lit(1)).alias("batches"), F.sum("rows_in").alias("rows_in"), F.sum("rows_written").alias("rows_written"),

@@ -86,15 +86,15 @@ def silver_batch(domain: str, tables: str, strict_reference: bool = False):
     together (A12, M4).  Power is upserted in place: its replay republishes the
     same hours."""
     def run(batch: DataFrame, batch_id: int) -> None:
+        # the batch is read from its files by each sink: held in memory, the text of
+        # one compressed split would be read back as gigabytes by one task
         spark = batch.sparkSession
-        batch = batch.persist()
         sink = partial(insert_only, key="event_id", partition_col=PART, commit=(domain, batch_id))
         rows_in = write_touched(batch, tables, domain, batch_id)
         if domain == "vibration":
-            routed = silver.route_vibration(batch).persist()
+            routed = silver.route_vibration(batch)
             written = sink(_with_part(silver.silver_vibration(routed)), f"{tables}/vibration_events")
             rejected = sink(_with_part(silver.silver_quarantine(routed)), f"{tables}/vibration_quarantine")
-            routed.unpersist()
         else:
             if domain == "production":
                 out = silver.silver_production(batch, refdata.machine_config(spark), strict_reference)
@@ -103,7 +103,6 @@ def silver_batch(domain: str, tables: str, strict_reference: bool = False):
                 power = _with_part(silver.silver_power(batch)).withColumn(HOUR, F.hour("event_ts"))
                 written = upsert(power, f"{tables}/power_events", ["event_id"], [PART, HOUR], f"power-{batch_id}")
             rejected = sink(_with_part(silver.silver_unparsable(batch)), f"{tables}/message_quarantine")
-        batch.unpersist()
         commit(spark, tables, domain, batch_id, rows_in, written, rejected)
     return run
 
