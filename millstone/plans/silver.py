@@ -28,13 +28,20 @@ def _tiebreak():
     return F.xxhash64("payload").alias("_tiebreak")
 
 
+def _built_once(messages: DataFrame) -> DataFrame:
+    """The payload as a generated column: a filter on it stays above the text.
+    Pushed into the projection that builds the text, it would build it again,
+    and once more for each of its uses, without shared subexpressions."""
+    return messages.withColumn("payload", F.explode(F.array("payload")))
+
+
 def silver_production(bronze: DataFrame, machine_config: DataFrame,
                       strict_reference: bool = False, dedup=latest_per_key) -> DataFrame:
     """D1.  ``strict_reference=True`` keeps the original status rule where a
     60 s message (no status key) can never be EXCLUDED.  ``dedup(df, keys)``
     picks the surviving delivery per key (default: latest ingest wins).  Text
     that is no JSON object goes to ``silver_unparsable`` instead."""
-    src = bronze.filter((F.col("schema_version") == S.V_PRODUCTION) & is_object("payload"))
+    src = _built_once(bronze.filter(F.col("schema_version") == S.V_PRODUCTION)).filter(is_object("payload"))
     p = parse("payload", S.PRODUCTION_PAYLOAD)
     typed = src.select(
         event_id().alias("event_id"), "event_ts", to_local("event_ts").alias("event_ts_local"),
@@ -73,7 +80,7 @@ def route_vibration(bronze: DataFrame) -> DataFrame:
     """One pass over vibration messages, tagged ``events`` or ``quarantine``
     (A12/ST12).  Full GOOD payloads (> 5 keys) go to events; BAD, sparse,
     and unparsable messages go to quarantine with a reason."""
-    src = bronze.filter(F.col("schema_version").isin(*S.VIBRATION_VERSIONS))
+    src = _built_once(bronze.filter(F.col("schema_version").isin(*S.VIBRATION_VERSIONS)))
     n = key_count("payload")
     good = F.coalesce((F.col("quality") == "GOOD") & (n > K.SPARSE_MAX_KEYS), F.lit(False))
     keyed = F.col("asset").isNotNull() & F.col("event_ts").isNotNull()
@@ -124,8 +131,9 @@ def silver_unparsable(bronze: DataFrame) -> DataFrame:
     cut off, another JSON type), kept with their text instead of becoming
     events of NULLs.  Meter rows that D4 ignores are not routed either."""
     power = (F.col("schema_version") == S.V_POWER) & (F.col("quality") != "BAD")
-    q = bronze.filter(((F.col("schema_version") == S.V_PRODUCTION) | power) & ~is_object("payload")
-                      & F.col("asset").isNotNull() & F.col("event_ts").isNotNull()).select(
+    src = _built_once(bronze.filter(((F.col("schema_version") == S.V_PRODUCTION) | power)
+                                    & F.col("asset").isNotNull() & F.col("event_ts").isNotNull()))
+    q = src.filter(~is_object("payload")).select(
         event_id().alias("event_id"), "event_ts", "asset", "schema_version", "quality",
         F.lit("UNROUTABLE").alias("quarantine_reason"), F.col("payload").alias("raw_payload"),
         "ingested_ts", _tiebreak())
@@ -134,8 +142,8 @@ def silver_unparsable(bronze: DataFrame) -> DataFrame:
 
 def silver_power(bronze: DataFrame, dedup=latest_per_key) -> DataFrame:
     """GOOD (non-BAD, non-NULL quality) meter readings with time context."""
-    src = bronze.filter((F.col("schema_version") == S.V_POWER) & (F.col("quality") != "BAD")
-                        & F.col("asset").isNotNull() & is_object("payload"))
+    src = _built_once(bronze.filter((F.col("schema_version") == S.V_POWER) & (F.col("quality") != "BAD")
+                                    & F.col("asset").isNotNull())).filter(is_object("payload"))
     p = parse("payload", S.POWER_PAYLOAD)
     typed = src.select(
         event_id().alias("event_id"), "event_ts", to_local("event_ts").alias("event_ts_local"),
