@@ -10,6 +10,7 @@ writes; the write path itself (anti-join / staged overwrite) runs in the
 
 from __future__ import annotations
 
+import uuid
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -20,6 +21,7 @@ from millstone.functions.timefn import day_of
 from millstone.operators.dedup import merged_per_key
 from millstone.plans import gold, silver
 from millstone.plans.catalog import Pipeline
+from millstone.session import scratch_path
 
 
 def merge_insert_only(p: Pipeline) -> DataFrame:
@@ -35,13 +37,23 @@ def merge_upsert(p: Pipeline) -> DataFrame:
     return silver.silver_power(p.bronze, dedup=partial(merged_per_key, first_batch_wins=False))
 
 
+def _derived_once(p: Pipeline, silver_rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Silver columns that several branches and scalar subqueries read: written
+    once where they would be derived from the input each time."""
+    if p.tables_dir:
+        return silver_rows.select(*columns)
+    rows, path = silver_rows.select(*columns), scratch_path(p.spark, f"staging/silver/{uuid.uuid4().hex}")
+    rows.write.parquet(path)
+    return p.spark.read.schema(rows.schema).parquet(path)
+
+
 def watermark_filter(p: Pipeline, lag_days: int = 1) -> DataFrame:
     """P10/ST7: rows a high-water-mark load would pick up next.  The target
     holds the meter readings older than the newest one minus ``lag_days``;
     its watermark is their newest ingest time (a scalar aggregate, planned
     as a scalar subquery — nothing reaches the driver).  New rows are those
     ingested after it; a NULL ingest time never passes ``>`` (T2)."""
-    pw = p.power_events
+    pw = _derived_once(p, p.power_events, ["asset", "event_ts", "event_ts_local", "ingested_ts"])
     newest = pw.select(F.max("event_ts")).scalar()
     loaded = pw.filter(F.col("event_ts") < newest - F.make_dt_interval(F.lit(lag_days)))
     mark = loaded.select(F.max("ingested_ts")).scalar()
@@ -82,6 +94,11 @@ def dedup_power(p: Pipeline) -> DataFrame:
     return _deliveries(p, cond, ["asset", "event_ts"])
 
 
+#: what hourly production reads of Silver, and the ingest time
+GOLD_COLUMNS = ["asset", "event_ts", "event_ts_local", "ingested_ts", "machine_category", "downtime_category",
+                "parts_delta", "source_period_sec", "wo_cycle_time_sec"]
+
+
 def gold_refresh_incremental(p: Pipeline, late_days: int = 2) -> DataFrame:
     """ST3/ST11 (T3): hourly production Gold after a late batch.  Gold was
     built from the rows loaded up to a high-water mark; the rows ingested
@@ -89,9 +106,8 @@ def gold_refresh_incremental(p: Pipeline, late_days: int = 2) -> DataFrame:
     the whole of Silver — never by adding the new rows to the old
     aggregates.  Untouched days keep their old rows.  Must equal a full
     rebuild.  On written tables each branch is a partition-pruned read; when
-    Silver is derived from the input, its dedup exchange is reused across
-    the branches."""
-    pe, mc = p.production_events, p.machine_config
+    Silver is derived from the input, it is written once for all branches."""
+    pe, mc = _derived_once(p, p.production_events, GOLD_COLUMNS), p.machine_config
     newest = pe.select(F.max("event_ts")).scalar()
     mark = pe.filter(F.col("event_ts") < newest - F.make_dt_interval(F.lit(late_days))) \
         .select(F.max("ingested_ts")).scalar()

@@ -103,3 +103,19 @@ def test_last_seven_days_opens_a_few_days_of_silver(spark, scratch):
     plan = _plan(spark, written)
     scans = [x.split("]")[0] for x in plan.split("PartitionFilters: [")[1:]]
     assert sum("event_date" in x for x in scans) >= 1 and not any(x == "" and "vibration_events" in x for x in scans)
+
+
+def test_a_payload_filter_does_not_build_the_text_again(spark):
+    p = Pipeline(spark, SF_SMALL)
+    for df in (p.production_events, p.power_events, p.vibration_events):
+        plan = _plan(spark, df)
+        filters = "\n".join(x for x in plan.splitlines() if re.match(r"[^A-Za-z]*(\*\(\d+\) )?Filter", x))
+        assert "json_object_keys" in filters and "to_json" not in filters and "get_json_object" not in filters
+
+
+def test_silver_of_an_incremental_plan_is_derived_once(spark):
+    from millstone.plans import incremental as M
+    p = Pipeline(spark, SF_SMALL)
+    for df in (M.gold_refresh_incremental(p), M.watermark_filter(p)):
+        plan = _plan(spark, df)
+        assert "from_json" not in plan and "events.parquet" not in plan
