@@ -14,26 +14,31 @@ covers), so the target read is partition-pruned.
   With ``commit=(stream, batch_id)`` the rows go below those partitions: a
   replay overwrites what its batch left, looks for known keys in earlier
   batches only, and nothing has to be held or counted before the write.
-* ``upsert`` — the batch wins: merged touched partitions are written to a
-  staging folder below the shared checkpoint dir, then published with
-  dynamic partition overwrite (a path is never overwritten while it is
-  being read).  Replays rewrite the same staging folder and republish.
+* ``upsert`` — the batch wins: the touched partitions are merged and
+  published.  Replays merge and publish them again.
   Below the day there may be a finer partition (the hour): then only the
   touched hours are read and rewritten, the day's other files stay.
-* ``overwrite_partitions`` — full recompute of some partitions (Gold).
+* ``overwrite_partitions`` — replaces some partitions.  They are written to a
+  staging folder beside the table by the tasks alone (a path is never
+  overwritten while it is being read), then each folder is moved into its
+  place, many at a time: the driver's share of a write is one move a partition.
 """
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millstone.session import scratch_path
-
 #: partitions that name the commit of a row
 COMMIT = ["stream", "batch_id"]
+#: folders moved at once
+MOVERS = 16
+#: rows of a partition that one task writes
+LARGE = 1_000_000
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -55,6 +60,11 @@ def touched_slots(src: DataFrame, partition_cols: list[str]) -> list[tuple]:
     return [tuple(r) for r in src.select(*partition_cols).distinct().collect()]
 
 
+def _rows_of(src: DataFrame, partition_cols: list[str]) -> dict[tuple, int]:
+    """Rows of each partition in a batch."""
+    return {tuple(r)[:-1]: r[-1] for r in src.groupBy(*partition_cols).agg(F.count(F.lit(1))).collect()}
+
+
 def utc_now():
     """UTC wall clock as NTZ, whatever the session zone."""
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
@@ -102,9 +112,10 @@ def insert_only(src: DataFrame, path: str, key: str, partition_col: str,
     spark = src.sparkSession
     src = src.persist()
     try:
-        days = touched_values(src, partition_col)
-        if not days:
+        rows_of = _rows_of(src, [partition_col])
+        if not rows_of:
             return 0
+        days = [v[0] for v in rows_of]
         new = src
         stored = _with_commit(_stamp(src), commit).schema
         if table_exists(spark, path):
@@ -123,10 +134,7 @@ def insert_only(src: DataFrame, path: str, key: str, partition_col: str,
             new = src.join(known, src[key].eqNullSafe(known[key]), "left_anti")
         new = _with_commit(_stamp(new), commit)
         if commit:
-            overwrite_partitions(new, path, partition_col, *COMMIT)
-            # counted in the footers of this batch's files
-            return (spark.read.schema(stored).parquet(path).filter(_in_partitions(partition_col, days))
-                    .filter((F.col("stream") == commit[0]) & (F.col("batch_id") == commit[1])).count())
+            return overwrite_partitions(new, path, partition_col, *COMMIT, large=max(rows_of.values()) > LARGE)
         new = new.persist()
         n = new.count()
         if n:
@@ -150,9 +158,10 @@ def upsert(src: DataFrame, path: str, keys: list[str], partition_cols: str | lis
     parts = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
     src = _stamp(src).persist()
     try:
-        slots = touched_slots(src, parts)
-        if not slots:
+        rows_of = _rows_of(src, parts)
+        if not rows_of:
             return 0
+        slots = list(rows_of)
         merged = src
         if table_exists(spark, path):
             if (stored := _partition_columns(spark, path)) != parts:
@@ -160,10 +169,7 @@ def upsert(src: DataFrame, path: str, keys: list[str], partition_cols: str | lis
             old = spark.read.schema(src.schema).parquet(path).filter(in_slots(parts, slots))
             keep = old.join(src.select(*keys), _null_safe_on(old, src.select(*keys), keys), "left_anti")
             merged = src.unionByName(keep.select(*src.columns))
-        stage = scratch_path(spark, f"staging/{path.strip('/').replace('/', '_')}/{batch_tag}")
-        merged.write.mode("overwrite").parquet(stage)
-        overwrite_partitions(spark.read.schema(merged.schema).parquet(stage), path, *parts)
-        _remove(spark, stage)
+        overwrite_partitions(merged, path, *parts, large=max(rows_of.values()) > LARGE)
         return src.count()
     finally:
         src.unpersist()
@@ -176,8 +182,48 @@ def _partition_columns(spark: SparkSession, path: str) -> list[str]:
     return [f.split("=", 1)[0] for f in some[0].rsplit(f"/{root}/", 1)[-1].split("/")[:-1]] if some else []
 
 
-def overwrite_partitions(df: DataFrame, path: str, *partition_cols: str) -> None:
-    """Replace exactly the partitions present in ``df``: one file each, more
-    where a partition is large, whatever the number of tasks that made ``df``."""
-    (df.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_cols).parquet(path))
+def overwrite_partitions(df: DataFrame, path: str, *partition_cols: str, large: bool = False) -> int:
+    """Replace exactly the partitions present in ``df``: one file each, whatever
+    the number of tasks that made ``df``, dealt to as many tasks as a shuffle
+    has.  Where a partition may be ``large``, it is split, and tasks take several
+    small ones.  Returns the rows, counted in the footers of the files."""
+    spark = df.sparkSession
+    # a file costs a task the same time however few its rows: few rows in many
+    # partitions would all be one task's if tasks were sized by their bytes
+    df = (df.hint("rebalance", *partition_cols) if large
+          else df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *partition_cols))
+    table, name = path.rstrip("/").rsplit("/", 1)
+    stage = f"{table}/_staging/{name}-{uuid.uuid4().hex}"
+    try:
+        # nobody reads the stage before the job's end: tasks may put their files there themselves
+        (df.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+           .partitionBy(*partition_cols).parquet(stage))
+        rows = spark.read.schema(df.schema).parquet(stage).count()
+        _move_partitions(spark, stage, path, len(partition_cols))
+    finally:
+        _remove(spark, stage)
+    return rows
+
+
+def _move_partitions(spark: SparkSession, stage: str, path: str, levels: int) -> None:
+    """Moves the partition folders of ``stage`` into the places of those of ``path``."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = at(stage).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(at(path))
+
+    def below(folder: str) -> list[str]:
+        names = [s.getPath().getName() for s in fs.listStatus(at(f"{stage}{folder}")) if s.isDirectory()]
+        return [f"{folder}/{n}" for n in names if "=" in n]
+
+    def move(folder: str) -> None:
+        old = at(f"{path}{folder}")
+        fs.delete(old, True)
+        fs.mkdirs(old.getParent())
+        if not fs.rename(at(f"{stage}{folder}"), old):
+            raise RuntimeError(f"{old} could not be replaced")
+
+    with ThreadPoolExecutor(MOVERS) as pool:
+        folders = [""]
+        for _ in range(levels):
+            folders = [f for some in pool.map(below, folders) for f in some]
+        list(pool.map(move, folders))

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -67,3 +69,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for staged writes."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def side_by_side(*calls: Callable) -> list:
+    """Results of calls whose jobs do not depend on each other.  All of them
+    end before the first error is raised."""
+    with ThreadPoolExecutor(len(calls)) as pool:
+        done = [pool.submit(c) for c in calls]
+    return [d.result() for d in done]

@@ -14,6 +14,7 @@ keeps the last row of each batch.
 
 from __future__ import annotations
 
+import threading
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -26,6 +27,8 @@ LOG = ("stream string, batch_id long, rows_in long, rows_written long, rows_quar
        "committed_at timestamp_ntz")
 TOUCHED = "asset string, hour_utc timestamp_ntz, messages long, stream string, batch_id long"
 COMMIT_COLS = COMMIT
+#: two appends to one folder would clean up each other's unfinished files
+_APPEND = threading.Lock()
 
 
 def log_path(tables: str) -> str:
@@ -49,7 +52,8 @@ def commit(spark: SparkSession, tables: str, stream: str, batch_id: int, rows_in
            rows_quarantined: int) -> None:
     row = spark.createDataFrame([(stream, batch_id, rows_in, rows_written, rows_quarantined)],
                                 LOG.split(", committed_at")[0])
-    row.withColumn("committed_at", utc_now()).coalesce(1).write.mode("append").parquet(log_path(tables))
+    with _APPEND:
+        row.withColumn("committed_at", utc_now()).coalesce(1).write.mode("append").parquet(log_path(tables))
 
 
 def commits(spark: SparkSession, tables: str) -> DataFrame:

@@ -10,6 +10,7 @@ same tables.
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from millstone.operators.keyed_write import (
     _in_partitions, _null_safe_on, in_slots, overwrite_partitions, table_exists, touched_slots, touched_values, utc_now)
 from millstone.operators.rolling import rolling_rows, rolling_time
 from millstone.plans import extensions, gold
-from millstone.session import scratch_path
+from millstone.session import scratch_path, side_by_side
 from millstone.sources import refdata
 from millstone.streaming.alert_history import append_alerts
 from millstone.streaming.commits import LOG, log_path, touched_keys, visible
@@ -30,13 +31,6 @@ KEYS = ["asset", "hour_utc"]
 ROLLING = ["rolling_7day_avg_rms", "rolling_7d_time_avg_rms"]
 
 
-def _staged_overwrite(df: DataFrame, path: str, part: str) -> None:
-    """``df`` may read the table it replaces days of."""
-    stage = scratch_path(df.sparkSession, f"staging/gold/{uuid.uuid4().hex}")
-    df.write.parquet(stage)
-    overwrite_partitions(df.sparkSession.read.schema(df.schema).parquet(stage), path, part)
-
-
 def touched_silver(spark: SparkSession, tables: str, name: str, touched: DataFrame, days: list) -> DataFrame:
     """Rows of the touched hours, from the days (in an hourly table: the
     hours) they lie in."""
@@ -63,15 +57,16 @@ def untouched_gold(spark: SparkSession, path: str, touched: DataFrame, days: lis
 
 def _merge_hours(fresh: DataFrame, path: str, touched: DataFrame, days: list) -> None:
     fresh = fresh.withColumn(GOLD_PART, F.to_date("hour_utc")).withColumn("loaded_at", utc_now())
-    _staged_overwrite(fresh.unionByName(untouched_gold(fresh.sparkSession, path, touched, days, fresh)), path, GOLD_PART)
+    overwrite_partitions(fresh.unionByName(untouched_gold(fresh.sparkSession, path, touched, days, fresh)), path, GOLD_PART)
 
 
 def refresh_production(spark: SparkSession, tables: str, touched: DataFrame, days: list) -> None:
     """Hourly production, and the setup runs cut at the hour (ST10): a run that
     spans hours, batches or late rows is whole again once they are stitched."""
     s = touched_silver(spark, tables, "production_events", touched, days)
-    _merge_hours(gold.production_hourly(s, refdata.machine_config(spark)), f"{tables}/production_hourly", touched, days)
-    _merge_hours(extensions.setup_segments(s), f"{tables}/setup_segments", touched, days)
+    hourly, runs = gold.production_hourly(s, refdata.machine_config(spark)), extensions.setup_segments(s)
+    side_by_side(lambda: _merge_hours(hourly, f"{tables}/production_hourly", touched, days),
+                 lambda: _merge_hours(runs, f"{tables}/setup_segments", touched, days))
 
 
 def refresh_power(spark: SparkSession, tables: str, touched: DataFrame, days: list) -> None:
@@ -123,13 +118,16 @@ def refresh_commits(tables: str):
         new: dict[str, list[int]] = {}
         for r in log.select("stream", "batch_id").distinct().collect():      # one row per commit
             new.setdefault(r.stream, []).append(r.batch_id)
-        for stream, ids in sorted(new.items()):
+
+        def refresh(stream: str, ids: list[int]) -> None:
             touched = touched_keys(spark, tables, stream, ids).persist()
             days = touched_values(touched.select(F.to_date("hour_utc").alias("d")), "d")
             if days:
                 REFRESH[stream](spark, tables, touched, days)
                 append_alerts(spark, tables, stream, touched, days, refresh_id)
             touched.unpersist()
+        if new:                                  # each stream has tables, and partitions of the history, of its own
+            side_by_side(*[partial(refresh, stream, ids) for stream, ids in sorted(new.items())])
     return run
 
 

@@ -6,7 +6,7 @@ equal the batch backfill (ST13) — same oracle as their batch twins."""
 from __future__ import annotations
 
 import uuid
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from millstone import schema as S
 from millstone.plans import extensions, registry
 from millstone.plans.catalog import Pipeline
-from millstone.session import scratch_path
+from millstone.session import scratch_path, side_by_side
 from millstone.sources.bronze import bronze_from_events
 from millstone.streaming.alert_history import alert_history, standing
 from millstone.streaming.commits import commits
@@ -47,8 +47,7 @@ def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST14/U2/X11: per stream, what its commits say they read, wrote and
     rejected over all deliveries."""
-    with ThreadPoolExecutor(len(VERSIONS)) as side_by_side:      # each stream has its own tables
-        tables = list(side_by_side.map(lambda d: _run(spark, sf_dir, d, False), VERSIONS))
+    tables = side_by_side(*[partial(_run, spark, sf_dir, d, False) for d in VERSIONS])      # each stream has its own tables
     logs = [commits(spark, t) for t in tables]
     log = logs[0].unionByName(logs[1]).unionByName(logs[2])
     return log.groupBy("stream").agg(
@@ -134,8 +133,9 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, f"stream-run/alerts-{uuid.uuid4().hex}")
 
     def run(landing: str) -> None:
-        for domain in VERSIONS:
-            run_silver_stream(spark, landing, f"{root}/tables", f"{root}/checkpoints", domain)
+        # the streams write tables, or partitions, of their own
+        side_by_side(*[partial(run_silver_stream, spark, landing, f"{root}/tables", f"{root}/checkpoints", domain)
+                       for domain in VERSIONS])
         run_gold_stream(spark, f"{root}/tables", f"{root}/checkpoints")
 
     deliver(drops_by_key(bronze_from_events(spark, sf_dir), 2), root, run)

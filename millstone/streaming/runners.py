@@ -19,6 +19,7 @@ from millstone import schema as S
 from millstone.operators.dedup import batch_slot
 from millstone.operators.keyed_write import insert_only, table_exists, touched_values, upsert
 from millstone.plans import silver
+from millstone.session import side_by_side
 from millstone.sources import refdata
 from millstone.streaming.commits import commit, log_path, write_touched
 from millstone.streaming.gold_refresh import run_gold_stream
@@ -90,19 +91,25 @@ def silver_batch(domain: str, tables: str, strict_reference: bool = False):
         # one compressed split would be read back as gigabytes by one task
         spark = batch.sparkSession
         sink = partial(insert_only, key="event_id", partition_col=PART, commit=(domain, batch_id))
-        rows_in = write_touched(batch, tables, domain, batch_id)
-        if domain == "vibration":
-            routed = silver.route_vibration(batch)
-            written = sink(_with_part(silver.silver_vibration(routed)), f"{tables}/vibration_events")
-            rejected = sink(_with_part(silver.silver_quarantine(routed)), f"{tables}/vibration_quarantine")
-        else:
+
+        def events() -> int:
+            if domain == "vibration":
+                return sink(_with_part(silver.silver_vibration(silver.route_vibration(batch))), f"{tables}/vibration_events")
             if domain == "production":
                 out = silver.silver_production(batch, refdata.machine_config(spark), strict_reference)
-                written = sink(_with_part(out), f"{tables}/production_events")
+                return sink(_with_part(out), f"{tables}/production_events")
+            power = _with_part(silver.silver_power(batch)).withColumn(HOUR, F.hour("event_ts"))
+            return upsert(power, f"{tables}/power_events", ["event_id"], [PART, HOUR], f"power-{batch_id}")
+
+        def rejects() -> int:
+            if domain == "vibration":
+                out, name = silver.silver_quarantine(silver.route_vibration(batch)), "vibration_quarantine"
             else:
-                power = _with_part(silver.silver_power(batch)).withColumn(HOUR, F.hour("event_ts"))
-                written = upsert(power, f"{tables}/power_events", ["event_id"], [PART, HOUR], f"power-{batch_id}")
-            rejected = sink(_with_part(silver.silver_unparsable(batch)), f"{tables}/message_quarantine")
+                out, name = silver.silver_unparsable(batch), "message_quarantine"
+            return sink(_with_part(out), f"{tables}/{name}")
+
+        # the sinks share nothing but the batch's files
+        rows_in, written, rejected = side_by_side(lambda: write_touched(batch, tables, domain, batch_id), events, rejects)
         commit(spark, tables, domain, batch_id, rows_in, written, rejected)
     return run
 
