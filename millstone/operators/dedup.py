@@ -26,6 +26,19 @@ def latest_per_key(df: DataFrame, keys: list[str], order_col: str = "ingested_ts
     return out.drop(tiebreak) if tiebreak and tiebreak in df.columns else out
 
 
+def latest_in_slots(slots: list[Column], tasks: int, buckets: int = 1):
+    """``latest_per_key`` for rows that are written by ``slots`` (functions of
+    the keys, like the day of an event time): rows meet by slot, so the exchange
+    of the deduplication is that of the write as well.  A slot of many rows
+    is cut into ``buckets`` by the key."""
+    def dedup(df: DataFrame, keys: list[str]) -> DataFrame:
+        at = {f"_slot{k}": c for k, c in enumerate(slots)}
+        if buckets > 1:
+            at["_bucket"] = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+        return latest_per_key(df.withColumns(at).repartition(tasks, *at), [*at, *keys]).drop(*at)
+    return dedup
+
+
 def batch_slot(ingested: str = "ingested_ts", fallback: str = "event_ts",
                every_us: int = 900_000_000) -> Column:
     """Micro-batch a delivery lands in: its 15-minute ingest slot.  A delivery

@@ -12,12 +12,17 @@ covers), so the target read is partition-pruned.
   and appends nothing, so the write is idempotent.
   A NULL key matches a NULL key, a NULL partition value is a partition.
   With ``commit=(stream, batch_id)`` the rows go below those partitions: a
-  replay overwrites what its batch left, looks for known keys in earlier
-  batches only, and nothing has to be held or counted before the write.
-* ``upsert`` — the batch wins: the touched partitions are merged and
-  published.  Replays merge and publish them again.
+  replay overwrites what its batch left and looks for known keys in earlier
+  batches only.
+* ``upsert`` — the batch wins: touched partitions that hold one of its keys are
+  merged and published, to the others its files are added.  Replays find all
+  of their keys, merge and publish again.
   Below the day there may be a finer partition (the hour): then only the
-  touched hours are read and rewritten, the day's other files stay.
+  touched hours are read, and of these the merged ones rewritten; other files stay.
+* Both write the batch to its staging folder first and compare keys afterwards,
+  from those files: only keys cross a shuffle, and only where a key is known are
+  rows written again.  A batch that is ``placed`` (its tasks hold whole
+  partitions, or large shares of them) is written as it is.
 * ``overwrite_partitions`` — replaces some partitions.  They are written to a
   staging folder beside the table by the tasks alone (a path is never
   overwritten while it is being read), then each folder is moved into its
@@ -27,7 +32,9 @@ covers), so the target read is partition-pruned.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Collection, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +46,8 @@ COMMIT = ["stream", "batch_id"]
 MOVERS = 16
 #: rows of a partition that one task writes
 LARGE = 1_000_000
+#: sorted by these, rows of a file pack better and are skipped by their statistics
+FILE_ORDER = ["asset", "event_ts"]
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -103,39 +112,27 @@ def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]):
 
 
 def insert_only(src: DataFrame, path: str, key: str, partition_col: str,
-                range_col: str | None = "event_ts", commit: tuple[str, int] | None = None) -> int:
+                range_col: str | None = "event_ts", commit: tuple[str, int] | None = None,
+                placed: bool = False) -> int:
     """Returns the rows written.  ``range_col``: a column the key embeds (event
     ids embed the event time); existing rows outside the batch's [min, max]
     cannot collide, so the target read is narrowed by a pushed-down range filter
     (row-group skipping on time-sorted files) instead of reading whole days of
     keys."""
+    if commit:
+        return _insert_committed(src, path, key, partition_col, range_col, commit, placed)
     spark = src.sparkSession
     src = src.persist()
     try:
-        rows_of = _rows_of(src, [partition_col])
-        if not rows_of:
+        days = touched_values(src, partition_col)
+        if not days:
             return 0
-        days = [v[0] for v in rows_of]
         new = src
-        stored = _with_commit(_stamp(src), commit).schema
         if table_exists(spark, path):
-            existing = spark.read.schema(stored).parquet(path).filter(_in_partitions(partition_col, days))
-            if commit:
-                existing = existing.filter((F.col("stream") == commit[0]) & (F.col("batch_id") < commit[1]))
-            if range_col and range_col in src.columns:
-                # bounds travel as text and are cast back to the column's type
-                # (a Python datetime literal would be a session-zone TIMESTAMP)
-                typ = src.schema[range_col].dataType
-                lo, hi = src.agg(F.min(range_col).cast("string"), F.max(range_col).cast("string")).first()
-                if lo is not None:
-                    existing = existing.filter(F.col(range_col).between(F.lit(lo).cast(typ), F.lit(hi).cast(typ))
-                                               | F.col(range_col).isNull())
-            known = existing.select(key)
+            existing = spark.read.schema(_stamp(src).schema).parquet(path).filter(_in_partitions(partition_col, days))
+            known = _in_range_of(src, existing, range_col).select(key)
             new = src.join(known, src[key].eqNullSafe(known[key]), "left_anti")
-        new = _with_commit(_stamp(new), commit)
-        if commit:
-            return overwrite_partitions(new, path, partition_col, *COMMIT, large=max(rows_of.values()) > LARGE)
-        new = new.persist()
+        new = _stamp(new).persist()
         n = new.count()
         if n:
             new.write.mode("append").partitionBy(partition_col).parquet(path)
@@ -145,34 +142,74 @@ def insert_only(src: DataFrame, path: str, key: str, partition_col: str,
         src.unpersist()
 
 
+def _in_range_of(src: DataFrame, existing: DataFrame, range_col: str | None) -> DataFrame:
+    """Existing rows that may hold a key of ``src``."""
+    if not range_col or range_col not in src.columns:
+        return existing
+    # bounds travel as text and are cast back to the column's type
+    # (a Python datetime literal would be a session-zone TIMESTAMP)
+    typ = src.schema[range_col].dataType
+    lo, hi = src.agg(F.min(range_col).cast("string"), F.max(range_col).cast("string")).first()
+    if lo is None:
+        return existing
+    return existing.filter(F.col(range_col).between(F.lit(lo).cast(typ), F.lit(hi).cast(typ)) | F.col(range_col).isNull())
+
+
+def _insert_committed(src: DataFrame, path: str, key: str, partition_col: str, range_col: str | None,
+                      commit: tuple[str, int], placed: bool) -> int:
+    spark = src.sparkSession
+    parts = [partition_col, *COMMIT]
+    src = _with_commit(_stamp(src), commit)
+    with _staged(src, path, parts, placed) as (stage, rows):
+        if rows and table_exists(spark, path):
+            fresh = spark.read.schema(src.schema).parquet(stage)
+            earlier = (spark.read.schema(src.schema).parquet(path)
+                       .filter(_in_partitions(partition_col, touched_values(fresh, partition_col)))
+                       .filter((F.col("stream") == commit[0]) & (F.col("batch_id") < commit[1])))
+            known = _in_range_of(fresh, earlier, range_col).select(key)
+            keys = fresh.select(key)
+            if not keys.join(known, _null_safe_on(keys, known, [key]), "left_semi").isEmpty():
+                return overwrite_partitions(fresh.join(known, _null_safe_on(fresh, known, [key]), "left_anti"), path, *parts,
+                                            large=max(_rows_of(fresh, parts).values()) > LARGE)
+        if rows:
+            _move_partitions(spark, stage, path, len(parts))
+        return rows
+
+
 def _with_commit(df: DataFrame, commit: tuple[str, int] | None) -> DataFrame:
     if not commit:
         return df
     return df.withColumn("stream", F.lit(commit[0])).withColumn("batch_id", F.lit(commit[1]).cast("long"))
 
 
-def upsert(src: DataFrame, path: str, keys: list[str], partition_cols: str | list[str], batch_tag: str) -> int:
+def upsert(src: DataFrame, path: str, keys: list[str], partition_cols: str | list[str], batch_tag: str,
+           placed: bool = False) -> int:
     """Returns the rows of the batch, all of which are in the table after it.
     The table has to have these partition columns from its first write on."""
     spark = src.sparkSession
     parts = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
-    src = _stamp(src).persist()
-    try:
-        rows_of = _rows_of(src, parts)
-        if not rows_of:
+    src = _stamp(src)
+    with _staged(src, path, parts, placed) as (stage, rows):
+        if not rows:
             return 0
-        slots = list(rows_of)
-        merged = src
+        published: set[str] = set()
         if table_exists(spark, path):
             if (stored := _partition_columns(spark, path)) != parts:
                 raise ValueError(f"{path} is partitioned by {stored}, not by {parts}")
-            old = spark.read.schema(src.schema).parquet(path).filter(in_slots(parts, slots))
-            keep = old.join(src.select(*keys), _null_safe_on(old, src.select(*keys), keys), "left_anti")
-            merged = src.unionByName(keep.select(*src.columns))
-        overwrite_partitions(merged, path, *parts, large=max(rows_of.values()) > LARGE)
-        return src.count()
-    finally:
-        src.unpersist()
+            fresh = spark.read.schema(src.schema).parquet(stage)
+            old = spark.read.schema(src.schema).parquet(path).filter(in_slots(parts, touched_slots(fresh, parts)))
+            of = fresh.select(*keys)
+            old_keys = old.select(*dict.fromkeys([*keys, *parts]))
+            merged = touched_slots(old_keys.join(of, _null_safe_on(old_keys, of, keys), "left_semi"), parts)
+            if merged:
+                of_merged = fresh.filter(in_slots(parts, merged))
+                old = old.filter(in_slots(parts, merged))
+                keep = old.join(of, _null_safe_on(old, of, keys), "left_anti")
+                rows_of = _rows_of(of_merged.select(*parts).unionByName(old.select(*parts)), parts)
+                _, published = _replace(of_merged.unionByName(keep.select(*src.columns)), path, parts,
+                                        max(rows_of.values()) > LARGE)
+        _move_partitions(spark, stage, path, len(parts), added=True, but=published)
+        return rows
 
 
 def _partition_columns(spark: SparkSession, path: str) -> list[str]:
@@ -187,26 +224,52 @@ def overwrite_partitions(df: DataFrame, path: str, *partition_cols: str, large:
     the number of tasks that made ``df``, dealt to as many tasks as a shuffle
     has.  Where a partition may be ``large``, it is split, and tasks take several
     small ones.  Returns the rows, counted in the footers of the files."""
-    spark = df.sparkSession
+    return _replace(df, path, list(partition_cols), large)[0]
+
+
+def _replace(df: DataFrame, path: str, parts: list[str], large: bool) -> tuple[int, set[str]]:
+    """``overwrite_partitions``; the folders, too."""
+    with _staged(_dealt(df, parts, large), path, parts, True) as (stage, rows):
+        return rows, _move_partitions(df.sparkSession, stage, path, len(parts))
+
+
+def _dealt(df: DataFrame, parts: list[str], large: bool) -> DataFrame:
     # a file costs a task the same time however few its rows: few rows in many
     # partitions would all be one task's if tasks were sized by their bytes
-    df = (df.hint("rebalance", *partition_cols) if large
-          else df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *partition_cols))
+    return (df.hint("rebalance", *parts) if large
+            else df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *parts))
+
+
+@contextmanager
+def _staged(df: DataFrame, path: str, parts: list[str], placed: bool) -> Iterator[tuple[str, int]]:
+    """The rows of ``df`` in a folder beside the table, and their number.  The
+    tasks of a ``placed`` frame write the partitions that they hold; others are dealt
+    by partitions first, after a count of their rows."""
+    spark = df.sparkSession
     table, name = path.rstrip("/").rsplit("/", 1)
     stage = f"{table}/_staging/{name}-{uuid.uuid4().hex}"
+    held = None
     try:
+        if not placed:
+            held = df.persist()
+            df = _dealt(df, parts, max(_rows_of(df, parts).values(), default=0) > LARGE)
         # nobody reads the stage before the job's end: tasks may put their files there themselves
-        (df.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-           .partitionBy(*partition_cols).parquet(stage))
-        rows = spark.read.schema(df.schema).parquet(stage).count()
-        _move_partitions(spark, stage, path, len(partition_cols))
+        (df.sortWithinPartitions(*parts, *[c for c in FILE_ORDER if c in df.columns and c not in parts])
+           .write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").option("compression", "zstd")
+           .partitionBy(*parts).parquet(stage))
+        if held:
+            held.unpersist()
+        yield stage, spark.read.schema(df.schema).parquet(stage).count()
     finally:
+        if held:
+            held.unpersist()
         _remove(spark, stage)
-    return rows
 
 
-def _move_partitions(spark: SparkSession, stage: str, path: str, levels: int) -> None:
-    """Moves the partition folders of ``stage`` into the places of those of ``path``."""
+def _move_partitions(spark: SparkSession, stage: str, path: str, levels: int, added: bool = False,
+                     but: Collection[str] = ()) -> set[str]:
+    """Moves the partition folders of ``stage`` into the places of those of
+    ``path``, or ``added`` to their files.  Returns the folders."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = at(stage).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(at(path))
@@ -215,15 +278,24 @@ def _move_partitions(spark: SparkSession, stage: str, path: str, levels: int) ->
         names = [s.getPath().getName() for s in fs.listStatus(at(f"{stage}{folder}")) if s.isDirectory()]
         return [f"{folder}/{n}" for n in names if "=" in n]
 
+    def rename(name: str) -> None:
+        if not fs.rename(at(f"{stage}{name}"), at(f"{path}{name}")):
+            raise RuntimeError(f"{path}{name} could not be replaced")
+
     def move(folder: str) -> None:
         old = at(f"{path}{folder}")
+        if added and fs.exists(old):
+            for s in fs.listStatus(at(f"{stage}{folder}")):
+                rename(f"{folder}/{s.getPath().getName()}")
+            return
         fs.delete(old, True)
         fs.mkdirs(old.getParent())
-        if not fs.rename(at(f"{stage}{folder}"), old):
-            raise RuntimeError(f"{old} could not be replaced")
+        rename(folder)
 
     with ThreadPoolExecutor(MOVERS) as pool:
         folders = [""]
         for _ in range(levels):
             folders = [f for some in pool.map(below, folders) for f in some]
+        folders = [f for f in folders if f not in but]
         list(pool.map(move, folders))
+    return set(folders)

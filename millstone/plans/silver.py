@@ -89,7 +89,7 @@ def route_vibration(bronze: DataFrame) -> DataFrame:
                .filter(F.col("route").isNotNull()))
 
 
-def silver_vibration(routed: DataFrame) -> DataFrame:
+def silver_vibration(routed: DataFrame, dedup=latest_per_key) -> DataFrame:
     """D3 (input: ``route_vibration`` output)."""
     p = parse("payload", S.VIBRATION_PAYLOAD)
     typed = routed.filter(F.col("route") == "events").select(
@@ -106,7 +106,7 @@ def silver_vibration(routed: DataFrame) -> DataFrame:
         text_flag("p.device_available").alias("device_available"),
         text_flag("p.device_error").alias("device_error"),
     ).drop("p")
-    deduped = latest_per_key(typed, ["asset", "event_ts", "schema_version"])
+    deduped = dedup(typed, ["asset", "event_ts", "schema_version"])
     out = deduped.select(
         "*",
         K.motor_state("device_available", "rotational_speed_rpm").alias("machine_state"),

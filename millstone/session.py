@@ -10,12 +10,18 @@ from __future__ import annotations
 
 import os
 import tempfile
-from collections.abc import Callable
+import threading
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: whether shuffle files go when the query that wrote them ends
+SHUFFLE_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_cleaning = {"users": 0, "before": None}
+_CLEANING = threading.Lock()
 
 
 def build_session(master: str | None = None, app: str = "millstone",
@@ -71,6 +77,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of each query are removed at its end (streams
+    that start inside take the setting along).  Otherwise they lie on the disk until the driver's
+    garbage collector happens to meet the query's plan, and a run of many writes
+    holds all of their rows at once.  Threads may enter at the same time."""
+    with _CLEANING:
+        if not _cleaning["users"]:
+            _cleaning["before"] = spark.conf.get(SHUFFLE_CLEANUP_CONF, None)
+            spark.conf.set(SHUFFLE_CLEANUP_CONF, "true")
+        _cleaning["users"] += 1
+    try:
+        yield
+    finally:
+        with _CLEANING:
+            _cleaning["users"] -= 1
+            if not _cleaning["users"]:
+                if _cleaning["before"] is None:
+                    spark.conf.unset(SHUFFLE_CLEANUP_CONF)
+                else:
+                    spark.conf.set(SHUFFLE_CLEANUP_CONF, _cleaning["before"])
+
+
 def side_by_side(*calls: Callable) -> list:
     """Results of calls whose jobs do not depend on each other.  All of them
     end before the first error is raised."""

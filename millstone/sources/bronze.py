@@ -52,6 +52,9 @@ BAD_METER_EVERY = 500
 TEXT_FLOOR_MOD = (100, 1)
 EPOCH_US_2024 = 1704067200000000   # 2024-01-01 00:00:00 UTC in µs
 V2_FROM = "2024-01-16 00:00:00"
+#: of the stored events a task of the fan-out gets so much: a writer sorts the messages of
+#: a task, and some hundred thousand with their text still fit its memory
+TASK_BYTES = 1 << 20
 
 
 def _explode_readings(ev: DataFrame) -> DataFrame:
@@ -65,12 +68,13 @@ def bronze_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     filters ``event_type`` (pushed to the Parquet scan) and carries a
     constant or CASE ``schema_version``, so a downstream filter on the
     discriminator prunes whole branches at plan time."""
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "event_id", "ts", "user_id", "event_type", "value", "props")
+    stored = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ev = stored.select("event_id", "ts", "user_id", "event_type", "value", "props")
     # Each event fans out into 6-12 messages with JSON built per message: the
     # narrow events are dealt out first, at any size, so that the fan-out does
     # not follow the input's file layout.
-    ev = ev.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
+    size = int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    ev = ev.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES)), "event_id")
     parts = [_domain_rows(ev, d) for d in ("production", "vibration", "power")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 

@@ -48,6 +48,14 @@ def write_touched(batch: DataFrame, tables: str, stream: str, batch_id: int) ->
     return batch.sparkSession.read.schema(schema).parquet(path).agg(F.coalesce(F.sum("messages"), F.lit(0))).first()[0]
 
 
+def largest_slot(spark: SparkSession, tables: str, stream: str, batch_id: int, hourly: bool) -> int:
+    """Most messages that the batch has for one day (``hourly``: one hour)."""
+    path = f"{touched_path(tables)}/stream={stream}/batch_id={batch_id}"
+    slot = F.col("hour_utc") if hourly else F.to_date("hour_utc")
+    each = spark.read.schema(TOUCHED.split(", stream")[0]).parquet(path).groupBy(slot).agg(F.sum("messages").alias("n"))
+    return each.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+
+
 def commit(spark: SparkSession, tables: str, stream: str, batch_id: int, rows_in: int, rows_written: int,
            rows_quarantined: int) -> None:
     row = spark.createDataFrame([(stream, batch_id, rows_in, rows_written, rows_quarantined)],

@@ -31,7 +31,7 @@ def _run(spark: SparkSession, sf_dir: str, domain: str, pipeline: bool, by_slot:
     raw = bronze_from_events(spark, sf_dir).filter(F.col("schema_version").isin(*VERSIONS[domain]))
     runner = run_pipeline_stream if pipeline else run_silver_stream
     deliver(drops_by_slot(raw) if by_slot else drops_by_key(raw, DROPS), root, lambda landing: runner(
-        spark, landing, f"{root}/tables", f"{root}/checkpoints", domain))
+        spark, landing, f"{root}/tables", f"{root}/checkpoints", domain), keep=False)
     return f"{root}/tables"
 
 

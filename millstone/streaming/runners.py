@@ -10,22 +10,24 @@ replay.  Gold is a stream of its own over the commit log (``gold_refresh``).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millstone import schema as S
-from millstone.operators.dedup import batch_slot
-from millstone.operators.keyed_write import insert_only, table_exists, touched_values, upsert
+from millstone.operators.dedup import batch_slot, latest_in_slots
+from millstone.operators.keyed_write import MOVERS, insert_only, table_exists, upsert
 from millstone.plans import silver
-from millstone.session import side_by_side
+from millstone.session import shuffles_removed, side_by_side
 from millstone.sources import refdata
-from millstone.streaming.commits import commit, log_path, write_touched
+from millstone.streaming.commits import commit, largest_slot, log_path, write_touched
 from millstone.streaming.gold_refresh import run_gold_stream
 
 PART, HOUR = "event_date", "event_hour"
-
+#: messages that one task sorts: more would not fit its memory, and go to disk once more
+TASK_ROWS = 250_000
 
 DROP = "_drop"
 
@@ -46,15 +48,35 @@ def drops_by_slot(bronze: DataFrame) -> DataFrame:
     return bronze.withColumn(DROP, F.dense_rank().over(w) - 1)
 
 
-def deliver(dropped: DataFrame, root: str, run) -> None:
+def deliver(dropped: DataFrame, root: str, run, keep: bool = True) -> None:
     """Land one drop after the other and ``run`` the stream over each: all
-    files that a drop adds are one micro-batch, whatever their number."""
+    files that a drop adds are one micro-batch, whatever their number.  The files
+    are moved, so that a message lies on disk once; those that the stream has
+    committed may be dropped from the landing folder (``keep``)."""
     spark = dropped.sparkSession
-    dropped.write.partitionBy(DROP).parquet(f"{root}/outbox")
-    outbox = spark.read.schema(dropped.schema).parquet(f"{root}/outbox")
-    for k in sorted(touched_values(outbox, DROP)):
-        outbox.filter(F.col(DROP) == k).drop(DROP).write.mode("append").parquet(f"{root}/landing")
-        run(f"{root}/landing")
+    with shuffles_removed(spark):
+        dropped.write.option("compression", "zstd").partitionBy(DROP).parquet(f"{root}/outbox")
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        fs = at(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        drops = [s.getPath().getName() for s in fs.listStatus(at(f"{root}/outbox")) if s.isDirectory()]
+        fs.mkdirs(at(f"{root}/landing"))
+        for drop in sorted((d for d in drops if d.startswith(f"{DROP}=")), key=lambda d: int(d.split("=")[1])):
+            k = drop.split("=")[1]
+
+            def land(name: str) -> str:
+                # files of different drops may have one name
+                landed = f"{root}/landing/{k}-{name}"
+                if not fs.rename(at(f"{root}/outbox/{drop}/{name}"), at(landed)):
+                    raise RuntimeError(f"{landed} could not be landed")
+                return landed
+
+            with ThreadPoolExecutor(MOVERS) as pool:
+                names = [s.getPath().getName() for s in fs.listStatus(at(f"{root}/outbox/{drop}"))]
+                landed = list(pool.map(land, [n for n in names if n.endswith(".parquet")]))
+            run(f"{root}/landing")
+            if not keep:
+                with ThreadPoolExecutor(MOVERS) as pool:
+                    list(pool.map(lambda f: fs.delete(at(f), False), landed))
 
 
 def _landed(spark: SparkSession, landing: str, max_bytes: str | None) -> DataFrame:
@@ -91,15 +113,21 @@ def silver_batch(domain: str, tables: str, strict_reference: bool = False):
         # one compressed split would be read back as gigabytes by one task
         spark = batch.sparkSession
         sink = partial(insert_only, key="event_id", partition_col=PART, commit=(domain, batch_id))
+        rows_in = write_touched(batch, tables, domain, batch_id)
+        largest = largest_slot(spark, tables, domain, batch_id, hourly=domain == "power")
+        slots = [F.to_date("event_ts"), *([F.hour("event_ts")] if domain == "power" else [])]
+        dedup = latest_in_slots(slots, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows_in // TASK_ROWS)),
+                                -(-largest // TASK_ROWS))
 
         def events() -> int:
             if domain == "vibration":
-                return sink(_with_part(silver.silver_vibration(silver.route_vibration(batch))), f"{tables}/vibration_events")
+                out = silver.silver_vibration(silver.route_vibration(batch), dedup)
+                return sink(_with_part(out), f"{tables}/vibration_events", placed=True)
             if domain == "production":
-                out = silver.silver_production(batch, refdata.machine_config(spark), strict_reference)
-                return sink(_with_part(out), f"{tables}/production_events")
-            power = _with_part(silver.silver_power(batch)).withColumn(HOUR, F.hour("event_ts"))
-            return upsert(power, f"{tables}/power_events", ["event_id"], [PART, HOUR], f"power-{batch_id}")
+                out = silver.silver_production(batch, refdata.machine_config(spark), strict_reference, dedup)
+                return sink(_with_part(out), f"{tables}/production_events", placed=True)
+            power = _with_part(silver.silver_power(batch, dedup)).withColumn(HOUR, F.hour("event_ts"))
+            return upsert(power, f"{tables}/power_events", ["event_id"], [PART, HOUR], f"power-{batch_id}", placed=True)
 
         def rejects() -> int:
             if domain == "vibration":
@@ -109,7 +137,7 @@ def silver_batch(domain: str, tables: str, strict_reference: bool = False):
             return sink(_with_part(out), f"{tables}/{name}")
 
         # the sinks share nothing but the batch's files
-        rows_in, written, rejected = side_by_side(lambda: write_touched(batch, tables, domain, batch_id), events, rejects)
+        written, rejected = side_by_side(events, rejects)
         commit(spark, tables, domain, batch_id, rows_in, written, rejected)
     return run
 
