@@ -138,7 +138,7 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
                        for domain in VERSIONS])
         run_gold_stream(spark, f"{root}/tables", f"{root}/checkpoints")
 
-    deliver(drops_by_key(bronze_from_events(spark, sf_dir), 2), root, run)
+    deliver(drops_by_key(bronze_from_events(spark, sf_dir), 2), root, run, keep=False)
     return extensions.reported_alerts(standing(alert_history(spark, f"{root}/tables")))
 
 

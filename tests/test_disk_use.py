@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 
 from millstone.operators.dedup import latest_in_slots, latest_per_key
 from millstone.operators.keyed_write import insert_only, upsert
+from millstone.plans import registry
+from millstone.plans.catalog import Pipeline
 from millstone.session import SHUFFLE_CLEANUP_CONF, shuffles_removed
 from millstone.sources import bronze
+from millstone.streaming import queries
 from millstone.streaming.runners import DROP, deliver
 
 S = "asset string, event_ts timestamp_ntz, ingested_ts timestamp_ntz, v long"
@@ -134,3 +137,28 @@ def test_tasks_of_the_fan_out_follow_the_stored_bytes(spark, scratch, monkeypatc
     many = bronze.bronze_from_events(spark, scratch)
     assert many.rdd.getNumPartitions() >= 3 * 40 and few.rdd.getNumPartitions() <= 3 * 8
     assert many.exceptAll(few).isEmpty() and few.exceptAll(many).isEmpty() and few.count() > 1800
+
+
+def test_alerts_of_two_deliveries_hold_each_message_once(spark, scratch, monkeypatch):
+    rows = [(k, AT + timedelta(minutes=7 * k), k % 9, ["view", "error", "purchase"][k % 3], 60.0 + k % 40, f'{{"k": {k % 100}}}')
+            for k in range(300)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+        .write.parquet(f"{scratch}/events.parquet")
+    raw = bronze.bronze_from_events(spark, scratch).count()
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: f"{scratch}/root")
+    gold, seen = queries.run_gold_stream, []
+
+    def messages(folder):
+        return sum(spark.read.parquet(f).count() for f in glob.glob(f"{scratch}/root/{folder}/**/*.parquet", recursive=True))
+
+    def run(spark, tables, checkpoints):
+        seen.append((messages("outbox"), messages("landing")))
+        gold(spark, tables, checkpoints)
+
+    monkeypatch.setattr(queries, "run_gold_stream", run)
+    got = queries.stream_alerts(spark, scratch)
+    want = registry.PLANS["alerts"](Pipeline(spark, scratch))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.count() > 0
+    (later, first), (none, second) = seen
+    assert first > 0 and second == later > 0 == none and first + second == raw
+    assert messages("outbox") == messages("landing") == 0
